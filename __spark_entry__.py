@@ -32,6 +32,7 @@ from barlake.schema import BUSINESS_KEY, MARKET_ZONE, NUMERICS, PRICES
 from barlake.sinks import layers
 from barlake.sources import history_csv, payloads
 from barlake.sources.lake import read_silver
+from barlake.sources.raw_events import read_raw_events
 from barlake.streaming import ingest, publish
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -99,6 +100,38 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_lineitem(_table(spark, sf_dir, "lineitem"))
 
 
+def minutes_from_events(table: DataFrame) -> DataFrame:
+    """``events`` as raw events on whole minutes: repeats per minute, low values out of range."""
+    at = F.col("ts").cast("timestamp")
+    minute = F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:00"), F.lit("Z"))
+    day = F.date_format(F.from_utc_timestamp(at, MARKET_ZONE), "yyyy-MM-dd")
+    value = F.col("value")
+    return table.select(
+        F.lit("ohlcv_raw_v1").alias("schema_version"),
+        F.col("event_type").alias("symbol"),
+        minute.alias("event_time"),
+        day.alias("trading_date"),
+        F.lit("1m").alias("timeframe"),
+        (value + 1).alias("open"),
+        (value * 2).alias("high"),
+        F.least(value, F.lit(1.0)).alias("low"),
+        value.alias("close"),
+        F.regexp_extract("props", "[0-9]+", 0).cast("double").alias("volume"),
+        F.lit("events").alias("source"),
+        F.lit(None).cast("string").alias("source_record_id"),
+        F.lit("r1").alias("ingest_run_id"),
+        minute.alias("published_at"),
+        F.lit(None).cast("string").alias("kafka_key"),
+        F.lit(0).alias("kafka_partition"),
+        F.col("event_id").alias("kafka_offset"),
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("consumed_at"),
+    )
+
+
+def minute_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minutes_from_events(_table(spark, sf_dir, "events"))
+
+
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.flag_events(raw_events(spark, sf_dir))
 
@@ -166,7 +199,7 @@ def _newest(scope: str) -> Callable[[SparkSession, str], DataFrame]:
 def batch_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job over JSON files; returns the Silver layer read back."""
     root = scratch_path(spark, "batch-job")
-    raw_events(spark, sf_dir).write.json(f"{root}/raw")
+    minute_events(spark, sf_dir).write.json(f"{root}/raw")
     job = BatchJob(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/report")
     run_batch(spark, job)
     return _naive(read_silver(spark, job.silver_root))
@@ -174,7 +207,7 @@ def batch_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "batch-job")
-    raw_events(spark, sf_dir).write.json(f"{root}/raw")
+    minute_events(spark, sf_dir).write.json(f"{root}/raw")
     run_batch(
         spark, BatchJob(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/report")
     )
@@ -280,19 +313,17 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_stream(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "stream")
-    schema = _table(spark, sf_dir, "lineitem").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
+    schema = _table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
     query = ingest.start_ingest(
-        as_messages(raw_from_lineitem(stream)), f"{root}/bronze", f"{root}/dlq", f"{root}/cp"
+        as_messages(minutes_from_events(stream)), f"{root}/bronze", f"{root}/dlq", f"{root}/cp"
     )
     query.awaitTermination()
     return root
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys accepted by a Structured Streaming run over ``lineitem``."""
-    from barlake.sources.raw_events import read_raw_events
-
+    """Keys accepted by a Structured Streaming run over ``events``."""
     bronze = read_raw_events(spark, f"{_run_stream(spark, sf_dir)}/bronze")
     return bronze.select("kafka_key", "symbol", "event_time", "timeframe", "trading_date")
 
@@ -320,7 +351,7 @@ def _family(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = add_features(with_position(_quarter_hours(spark, sf_dir)))
-        digits = oracles.DIGITS
+        digits = oracles.digits(name)
         return _naive(
             built.select("symbol", "event_time", *[F.round(c, digits).alias(c) for c in columns])
         )

@@ -18,7 +18,7 @@ def _write_dynamic(df: DataFrame, root: str, partitions: Sequence[str]) -> None:
     AQE splits a partition that holds much of the table over several tasks.
     """
     (
-        df.hint("rebalance", *[F.col(c) for c in partitions])
+        df.hint("rebalance", *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)

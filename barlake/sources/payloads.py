@@ -8,8 +8,6 @@ normalising needs no shuffle; a rejected response contributes no bars.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,139 +16,135 @@ from barlake.functions import times
 from barlake.schema import EPOCH_MILLIS_FROM, MARKET_ZONE, NUMERICS, PAYLOAD_ALIASES
 
 _FIELDS = dict(zip("tohlcv", ("event_time", *NUMERICS)))
+_NAMES = [alias for aliases in PAYLOAD_ALIASES.values() for alias in aliases]
+_ARRAYS = ", ".join(f"{name} array<string>" for name in _NAMES)
+_RECORDS = f"array<struct<{', '.join(f'{name}:string' for name in _NAMES)}>>"
+
+
+def _field(field: str) -> Column:
+    """Text values of one field: the first alias present, for either shape.
+
+    In a record list the first record decides which alias counts.
+    """
+    aliases = PAYLOAD_ALIASES[field]
+    arrays = F.coalesce(*[F.col(f"arrays.{name}") for name in aliases])
+    first = F.get("records", F.lit(0))
+    records = F.coalesce(
+        *[F.when(first[name].isNotNull(), F.col(f"records.{name}")) for name in aliases]
+    )
+    return F.when(F.col("is_arrays"), arrays).otherwise(records)
+
 
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns through a one-row generator.
 
-def _get(value: str, path: str, kind: str) -> Column:
-    return F.expr(f"try_variant_get({value}, '{path}', '{kind}')")
-
-
-def _pick(shape: str) -> dict[str, Column]:
-    """Text arrays per field for one payload shape; null where the field is absent."""
-    out = {}
-    for field, aliases in PAYLOAD_ALIASES.items():
-        choice = F.lit(None).cast("array<string>")
-        for alias in reversed(aliases):
-            if shape == "object":
-                values = F.coalesce(
-                    _get("body", f"$.{alias}", "array<string>"),
-                    F.array(_get("body", f"$.{alias}", "string")),
-                )
-                present = _get("body", f"$.{alias}", "variant").isNotNull()
-            else:
-                values = F.transform(
-                    "records", lambda r, a=alias: F.try_variant_get(r, f"$.{a}", "string")
-                )
-                present = F.try_variant_get(F.get("records", F.lit(0)), f"$.{alias}", "variant")
-                present = present.isNotNull()
-            choice = F.when(present, values).otherwise(choice)
-        out[field] = choice
-    return out
+    Filters on what follows are then not rewritten into copies of these expressions.
+    """
+    packed = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.inline(packed))
 
 
 def parse_payloads(responses: DataFrame) -> DataFrame:
-    """Add ``bars`` (array of structs), ``timeframe`` and ``error`` to each response."""
-    body = responses.withColumn("doc", F.try_parse_json("payload")).withColumn(
-        "body",
-        F.expr(
-            "CASE WHEN try_variant_get(doc, '$', 'map<string,variant>') IS NOT NULL"
-            " AND map_contains_key(try_variant_get(doc, '$', 'map<string,variant>'), 'data')"
-            " THEN try_variant_get(doc, '$.data', 'variant') ELSE doc END"
-        ),
-    )
-    body = body.withColumns(
+    """Add ``timeframe``, ``error`` and ``bars`` (array of structs) to each response."""
+    body = F.coalesce(F.get_json_object("payload", "$.data"), F.col("payload"))
+    shaped = responses.withColumn("body", F.trim(body)).withColumns(
         {
-            "as_map": _get("body", "$", "map<string,variant>"),
-            "records": _get("body", "$", "array<variant>"),
+            "arrays": F.from_json("body", _ARRAYS),
+            "records": F.from_json("body", _RECORDS),
+            "is_list": F.col("body").startswith("["),
         }
     )
-    all_objects = F.forall(
-        "records", lambda r: F.try_variant_get(r, "$", "map<string,variant>").isNotNull()
+    times_array = F.coalesce(*[F.col(f"arrays.{name}") for name in PAYLOAD_ALIASES["t"]])
+    shaped = shaped.withColumn("is_arrays", ~F.col("is_list") & times_array.isNotNull())
+    found = _once(
+        shaped,
+        {f: _field(f) for f in _FIELDS}
+        | {
+            "is_json": F.get_json_object("body", "$").isNotNull(),
+            "is_empty": F.col("is_list") & (F.size("records") == 0),
+            "timeframe": B.resolution_to_timeframe(F.col("resolution")),
+        },
     )
-    is_object = F.col("as_map").isNotNull()
-    is_records = F.coalesce(all_objects, F.lit(False))
-    from_object, from_records = _pick("object"), _pick("records")
-    picked = body.withColumns(
+    volume = F.coalesce("v", F.transform("t", lambda _: F.lit("0.0")))
+    seconds = F.transform("t", B.to_number)
+    bars = _once(
+        found.withColumn("v", volume).withColumn("seconds", seconds),
         {
-            "readable": is_object | is_records,
-            "is_empty_list": is_records & (F.size("records") == 0),
-            **{
-                f: F.when(is_object, from_object[f]).when(is_records, from_records[f])
-                for f in _FIELDS
-            },
-        }
-    )
-    picked = picked.withColumn(
-        "v", F.coalesce("v", F.transform("t", lambda _: F.lit("0.0")))
-    )
-    to_double = {f"n_{f}": F.transform(f, B.to_number) for f in _FIELDS}
-    parsed = picked.withColumns(to_double).withColumn("timeframe", B.resolution_to_timeframe(F.col("resolution")))
-    numeric_time = F.forall("n_t", lambda x: x.isNotNull())
-    millis = F.array_max(F.transform("n_t", F.abs)) >= EPOCH_MILLIS_FROM
-    stamps = F.when(
-        numeric_time, F.transform("n_t", lambda x: times.from_epoch(x, millis))
-    ).otherwise(F.transform("t", times.parse_instant))
-    zipped = F.arrays_zip("stamps", *[f"n_{f}" for f in "ohlcv"])
-    named = F.transform(
-        zipped,
-        lambda z: F.struct(
-            z["stamps"].alias("event_time"),
-            *[z[f"n_{f}"].alias(_FIELDS[f]) for f in "ohlcv"],
-        ),
-    )
-    parsed = parsed.withColumn("stamps", stamps).withColumn("bars", named)
-    return parsed.withColumn("error", _payload_error()).select(
-        *responses.columns,
-        "timeframe",
-        "error",
-        F.when(F.col("error").isNull(), F.coalesce("bars", F.array().cast("array<struct<event_time:timestamp,open:double,high:double,low:double,close:double,volume:double>>"))).alias("bars"),
+            "numeric_time": F.forall("seconds", lambda x: x.isNotNull()),
+            "millis": F.array_max(F.transform("seconds", F.abs)) >= EPOCH_MILLIS_FROM,
+            "zipped": F.arrays_zip("t", "seconds", "o", "h", "l", "c", "v"),
+        },
     )
 
+    def bar(z: Column) -> Column:
+        stamp = F.when(
+            F.col("numeric_time"), times.from_epoch(z["seconds"], F.col("millis"))
+        ).otherwise(times.parse_instant(z["t"]))
+        return F.struct(
+            stamp.alias("event_time"), *[B.to_number(z[f]).alias(_FIELDS[f]) for f in "ohlcv"]
+        )
+
+    checked = _once(bars, {"bars": F.transform("zipped", bar)})
+    checked = _once(checked, {"rule": F.array_min(F.transform("bars", _broken_rule))})
+    error = _payload_error()
+    return checked.select(*responses.columns, "timeframe", error.alias("error"), "bars")
 
-def _payload_error() -> Column:
-    """First broken rule of the response, or null."""
-    required = ("t", "o", "h", "l", "c")
-    missing = F.array_sort(
-        F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in required]))
-    )
-    sizes = [F.size(f) for f in _FIELDS]
-    uneven = reduce(lambda a, b: a | b, [s != sizes[0] for s in sizes[1:]])
 
-    def some_bar(rule) -> Column:
-        return F.exists("bars", lambda b: F.coalesce(rule(b), F.lit(False)))
+# Reasons per bar, in the order in which the rules are reported.
+_BAR_RULES = (
+    "invalid timestamp",
+    "non-numeric values",
+    "non-finite values",
+    "negative volume",
+    "OHLC bounds are violated",
+)
 
-    def any_number(rule):
-        return lambda b: reduce(lambda x, y: x | y, [rule(b[n]) for n in NUMERICS])
 
-    def out_of_bounds(b) -> Column:
-        o, h, l, c = (b[n] for n in ("open", "high", "low", "close"))
-        return (h < F.greatest(o, c, l)) | (l > F.least(o, c, h))
+def _broken_rule(b: Column) -> Column:
+    """Index of the first rule in ``_BAR_RULES`` that the bar breaks, or null."""
+    o, h, l, c = (b[n] for n in ("open", "high", "low", "close"))
+    numbers = [b[n] for n in NUMERICS]
+    broken = [
+        b["event_time"].isNull(),
+        B.any_of([n.isNull() for n in numbers]),
+        B.any_of([~B.is_finite(n) for n in numbers]),
+        b["volume"] < 0,
+        (h < F.greatest(o, c, l)) | (l > F.least(o, c, h)),
+    ]
+    return F.coalesce(*[F.when(bad, F.lit(n)) for n, bad in enumerate(broken)])
 
-    empty = F.col("is_empty_list")
+
+def _payload_error() -> Column:
+    """First broken rule of the response, or null."""
+    missing = F.array_compact(
+        F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in ("c", "h", "l", "o", "t")])
+    )
+    sizes = [F.size(f) for f in _FIELDS]
+    uneven = B.any_of([s != sizes[0] for s in sizes[1:]])
+    stamps = F.col("bars.event_time")
+    filled = ~F.coalesce(F.col("is_empty"), F.lit(False))
+    reasons = F.array(*[F.lit(r) for r in _BAR_RULES])
     return (
         F.when(F.col("timeframe").isNull(), "unsupported resolution")
         .when(F.length(F.trim("symbol")) == 0, "symbol must not be empty")
-        .when(F.col("doc").isNull(), "payload is not valid JSON")
-        .when(~F.col("readable"), "payload must be an object or a list of records")
+        .when(~F.col("is_json"), "payload is not valid JSON")
         .when(
-            ~empty & (F.size(missing) > 0),
+            filled & (F.size(missing) > 0),
             F.concat(F.lit("missing fields: "), F.array_join(missing, ", ")),
         )
-        .when(~empty & uneven, "arrays have inconsistent lengths")
-        .when(F.exists("stamps", lambda s: s.isNull()), "invalid timestamp")
-        .when(some_bar(any_number(lambda x: x.isNull())), "non-numeric values")
-        .when(some_bar(any_number(lambda x: ~B.is_finite(x))), "non-finite values")
-        .when(some_bar(lambda b: b["volume"] < 0), "negative volume")
-        .when(some_bar(out_of_bounds), "OHLC bounds are violated")
-        .when(F.size(F.array_distinct("stamps")) < F.size("stamps"), "duplicate timestamps")
+        .when(filled & uneven, "arrays have inconsistent lengths")
+        .when(F.col("rule").isNotNull(), F.get(reasons, F.col("rule")))
+        .when(F.size(F.array_distinct(stamps)) < F.size(stamps), "duplicate timestamps")
     )
 
 
 def payload_bars(parsed: DataFrame, source: str, record_prefix: str) -> DataFrame:
     """Bars of the accepted responses, with provenance named by the caller."""
     symbol = F.upper(F.trim("symbol"))
-    exploded = parsed.filter(F.col("error").isNull()).select(
-        symbol.alias("symbol"), "timeframe", F.inline("bars")
-    )
+    accepted = F.when(F.col("error").isNull(), F.col("bars"))
+    exploded = parsed.select(
+        symbol.alias("symbol"), "timeframe", F.inline_outer(accepted)
+    ).filter("event_time IS NOT NULL")
     stamp = F.regexp_replace(times.utc_iso(F.col("event_time")), "Z$", "+00:00")
     return exploded.select(
         "symbol",

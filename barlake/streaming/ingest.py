@@ -49,6 +49,7 @@ def write_bronze_batch(accepted: DataFrame, root: str, batch_id: int) -> None:
         records.withColumns(folders)
         .select(body, *folders)
         .withColumnsRenamed({name: name[2:] for name in folders})
+        .hint("rebalance", "symbol", "timeframe", "trading_date")
         .write.mode("overwrite")
         .partitionBy("symbol", "timeframe", "trading_date")
         .text(f"{root}/batch={batch_id}")

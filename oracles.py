@@ -6,7 +6,11 @@ rolling windows as plain frames, so nothing here mirrors the Spark plans.
 
 from __future__ import annotations
 
-DIGITS = 5
+
+
+def digits(family: str) -> int:
+    """Rounding of feature values; returns are ratios with ties at five digits."""
+    return 9 if family == "returns" else 5
 
 _BARS = """
 bars AS (
@@ -76,16 +80,30 @@ _LAYER = """schema_version, symbol, event_time, trading_date, timeframe, open, h
 _NEWEST = "ORDER BY consumed_at DESC NULLS LAST, kafka_offset DESC NULLS LAST"
 
 
-def _newest(scope: str, columns: str = _LAYER) -> str:
+_MINUTES = """
+minutes AS (
+  SELECT event_type AS symbol, date_trunc('minute', ts) AS event_time,
+         CAST(ts + INTERVAL 7 HOUR AS DATE) AS trading_date, '1m' AS timeframe,
+         value + 1 AS open, value * 2 AS high, least(value, 1.0) AS low, value AS close,
+         CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS volume,
+         ts AS consumed_at, event_id AS kafka_offset
+  FROM events),
+counted AS (
+  SELECT *, count(*) OVER (PARTITION BY symbol, event_time, timeframe) AS duplicate_count,
+         CASE WHEN value_ok AND high >= open THEN 'valid' ELSE 'rejected' END AS quality_status
+  FROM (SELECT *, close > 0 AS value_ok FROM minutes))"""
+
+
+def _newest(scope: str, columns: str = _LAYER, raw: str = _RAW) -> str:
     keep = "quality_status = 'valid'"
     source = "counted" if scope == "all" else f"(SELECT * FROM counted WHERE {keep})"
-    return f"""WITH {_RAW}, ranked AS (
+    return f"""WITH {raw}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY symbol, event_time, timeframe {_NEWEST}) AS rnk
   FROM {source})
 SELECT {columns} FROM ranked WHERE rnk = 1 AND {keep}"""
 
 
-_METRICS = f"""WITH {_RAW}
+_METRICS = """WITH {0}
 SELECT count(*) AS input_rows,
        count(DISTINCT (symbol, event_time, timeframe)) AS distinct_business_keys,
        CAST(sum(CASE WHEN duplicate_count > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_rows,
@@ -117,6 +135,16 @@ UNION ALL SELECT 'dead_lettered', dead FROM totals"""
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"
 
 
+_MINUTE_MESSAGES = f"""{_MINUTES},
+messages AS (
+  SELECT symbol || '|' || strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') || '|1m' AS key, symbol,
+         strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS event_time, timeframe,
+         strftime(trading_date, '%Y-%m-%d') AS trading_date,
+         CASE WHEN least(high, low, close) <= 0 THEN 'OHLC prices must be greater than zero'
+              WHEN high < open THEN 'OHLC bounds are invalid' END AS error
+  FROM minutes)"""
+
+
 # ---- features -------------------------------------------------------------------
 
 E = "1e-12"
@@ -132,10 +160,10 @@ def _roll(call: str, n: int, first: int = 0) -> str:
     return f"CASE WHEN i >= {first + n - 1} THEN {call} OVER {frame} END"
 
 
-def _features(ctes: str, last: str, features: dict[str, str]) -> str:
+def _features(ctes: str, last: str, features: dict[str, str], places: int = 5) -> str:
     body = ",\n  ".join(f"{sql} AS {name}" for name, sql in features.items())
     out = ",\n  ".join(
-        f"round(lag({n}, 1) OVER {W}, {DIGITS}) + 0.0 AS {n}" for n in features
+        f"round(lag({n}, 1) OVER {W}, {places}) + 0.0 AS {n}" for n in features
     )
     return f"""WITH {_BARS}, {_resampled(15)},
 x AS (
@@ -196,7 +224,7 @@ def _ft_returns() -> str:
     for n in (1, 2, 3, 5, 8, 13, 21, 34, 55):
         out[f"ret_{n}"] = f"c / {_lag('c', n)} - 1"
         out[f"mom_points_{n}"] = f"c - {_lag('c', n)}"
-    return _simple(out)
+    return _features("", "dm", out, digits("returns"))
 
 
 def _ft_price_windows() -> str:
@@ -367,14 +395,16 @@ FROM raw GROUP BY ALL HAVING count(*) > 1""",
         "quality_flags": f"""WITH {_RAW}
 SELECT kafka_offset, kafka_partition, symbol, event_time, timeframe, trading_date,
        quality_status, open, high, low, close, volume FROM flagged""",
-        "quality_metrics": _METRICS,
+        "quality_metrics": _METRICS.format(_RAW),
         "bronze_rows": f"WITH {_RAW} SELECT {_LAYER} FROM counted",
         "dedupe_silver": _newest("all"),
         "dedupe_silver_valid_scope": _newest("valid"),
         "batch_silver": _newest(
-            "all", "symbol, event_time, trading_date, timeframe, open, high, low, close, volume"
+            "all",
+            "symbol, event_time, trading_date, timeframe, open, high, low, close, volume",
+            _MINUTES,
         ),
-        "batch_report": _METRICS,
+        "batch_report": _METRICS.format(_MINUTES),
         "history_csv_bars": f"""WITH {_BARS}
 SELECT 'ALL' AS symbol, event_time, trading_date, timeframe, open, high, low, close, volume,
        'historical_csv' AS source, 'valid' AS quality_status FROM bars""",
@@ -420,10 +450,10 @@ SELECT key, CASE WHEN error IS NOT NULL THEN 'ContractViolation' END AS error_ty
 SELECT 'ohlcv_raw_dlq_v1' AS schema_version, key AS original_key,
        'ContractViolation' AS error_type, error FROM messages WHERE error IS NOT NULL""",
         "ingest_outcomes": _OUTCOMES,
-        "stream_bronze": f"""WITH {_MESSAGES}
+        "stream_bronze": f"""WITH {_MINUTE_MESSAGES}
 SELECT DISTINCT key AS kafka_key, symbol, event_time, timeframe, trading_date
 FROM messages WHERE error IS NULL""",
-        "stream_dead_letters": f"""WITH {_MESSAGES}
+        "stream_dead_letters": f"""WITH {_MINUTE_MESSAGES}
 SELECT error, count(*) AS rows FROM messages WHERE error IS NOT NULL GROUP BY ALL""",
         "publish_first": f"""WITH {_BARS}, top AS (
   SELECT * FROM bars ORDER BY symbol, event_time LIMIT 1000)
