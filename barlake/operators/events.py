@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions import bars as B
 from barlake.functions import times
+from barlake.functions.frames import evaluate_once
 from barlake.schema import (
     DLQ_SCHEMA_VERSION,
     EVENT_FIELDS,
@@ -64,7 +65,7 @@ def to_messages(events: DataFrame) -> DataFrame:
 
 def decode(messages: DataFrame) -> DataFrame:
     """Add ``fields``: the JSON object as a map of texts, null if it is no object."""
-    return messages.withColumn("fields", F.from_json("value", "map<string,string>"))
+    return evaluate_once(messages, {"fields": F.from_json("value", "map<string,string>")})
 
 
 def _event_error(fields: Column, key: Column | None) -> Column:
@@ -143,21 +144,22 @@ def validate_messages(messages: DataFrame, check_key: bool = True) -> DataFrame:
     not_object = F.when(F.try_parse_json("value").isNotNull(), F.lit(VIOLATION)).otherwise(
         F.lit(MALFORMED)
     )
-    reason = _event_error(fields, F.col("key") if check_key else None)
-    staged = decoded.withColumn("error", F.when(fields.isNotNull(), reason))
-    return staged.withColumns(
+    staged = evaluate_once(
+        decoded, {"reason": _event_error(fields, F.col("key") if check_key else None)}
+    )
+    reason = F.when(fields.isNotNull(), F.col("reason"))
+    unreadable = F.when(not_object == VIOLATION, "Kafka payload must be a JSON object").otherwise(
+        "payload is not valid JSON"
+    )
+    return evaluate_once(
+        staged,
         {
             "error_type": F.when(fields.isNull(), not_object).when(
-                F.col("error").isNotNull(), F.lit(VIOLATION)
+                reason.isNotNull(), F.lit(VIOLATION)
             ),
-            "error": F.when(
-                fields.isNull(),
-                F.when(not_object == VIOLATION, "Kafka payload must be a JSON object").otherwise(
-                    "payload is not valid JSON"
-                ),
-            ).otherwise(F.col("error")),
-        }
-    )
+            "error": F.when(fields.isNull(), unreadable).otherwise(reason),
+        },
+    ).drop("reason")
 
 
 def event_columns() -> list[Column]:

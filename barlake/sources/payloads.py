@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions import bars as B
 from barlake.functions import times
+from barlake.functions.frames import evaluate_once
 from barlake.schema import EPOCH_MILLIS_FROM, MARKET_ZONE, NUMERICS, PAYLOAD_ALIASES
 
 _FIELDS = dict(zip("tohlcv", ("event_time", *NUMERICS)))
@@ -35,15 +36,6 @@ def _field(field: str) -> Column:
     return F.when(F.col("is_arrays"), arrays).otherwise(records)
 
 
-def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add columns through a one-row generator.
-
-    Filters on what follows are then not rewritten into copies of these expressions.
-    """
-    packed = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
-    return df.select("*", F.inline(packed))
-
-
 def parse_payloads(responses: DataFrame) -> DataFrame:
     """Add ``timeframe``, ``error`` and ``bars`` (array of structs) to each response."""
     body = F.coalesce(F.get_json_object("payload", "$.data"), F.col("payload"))
@@ -56,7 +48,7 @@ def parse_payloads(responses: DataFrame) -> DataFrame:
     )
     times_array = F.coalesce(*[F.col(f"arrays.{name}") for name in PAYLOAD_ALIASES["t"]])
     shaped = shaped.withColumn("is_arrays", ~F.col("is_list") & times_array.isNotNull())
-    found = _once(
+    found = evaluate_once(
         shaped,
         {f: _field(f) for f in _FIELDS}
         | {
@@ -67,7 +59,7 @@ def parse_payloads(responses: DataFrame) -> DataFrame:
     )
     volume = F.coalesce("v", F.transform("t", lambda _: F.lit("0.0")))
     seconds = F.transform("t", B.to_number)
-    bars = _once(
+    bars = evaluate_once(
         found.withColumn("v", volume).withColumn("seconds", seconds),
         {
             "numeric_time": F.forall("seconds", lambda x: x.isNotNull()),
@@ -84,8 +76,8 @@ def parse_payloads(responses: DataFrame) -> DataFrame:
             stamp.alias("event_time"), *[B.to_number(z[f]).alias(_FIELDS[f]) for f in "ohlcv"]
         )
 
-    checked = _once(bars, {"bars": F.transform("zipped", bar)})
-    checked = _once(checked, {"rule": F.array_min(F.transform("bars", _broken_rule))})
+    checked = evaluate_once(bars, {"bars": F.transform("zipped", bar)})
+    checked = evaluate_once(checked, {"rule": F.array_min(F.transform("bars", _broken_rule))})
     error = _payload_error()
     return checked.select(*responses.columns, "timeframe", error.alias("error"), "bars")
 
