@@ -20,6 +20,7 @@ from barlake.schema import (
 
 MALFORMED = "MalformedPayload"
 VIOLATION = "ContractViolation"
+_NOT_JSON = "payload is not valid JSON"
 
 
 def message_key(symbol: Column, event_time: Column, timeframe: Column) -> Column:
@@ -63,52 +64,65 @@ def to_messages(events: DataFrame) -> DataFrame:
     return events.select(key.alias("key"), body.alias("value"))
 
 
-def decode(messages: DataFrame) -> DataFrame:
-    """Add ``fields``: the JSON object as a map of texts, null if it is no object."""
-    return evaluate_once(messages, {"fields": F.from_json("value", "map<string,string>")})
+_EVENT_TEXTS = ", ".join(f"{name} string" for name in EVENT_FIELDS)
 
 
-def _event_error(fields: Column, key: Column | None) -> Column:
-    """Reason of the first broken rule in contract order, or null."""
+def _parsed_fields() -> Column:
+    """Everything the rules look at, read from ``fields`` once per message.
 
-    def text(name: str) -> Column:
-        return fields[name]
-
-    missing = F.array_sort(
-        F.array_compact(
-            F.array(
-                *[
-                    F.when(~F.map_contains_key(fields, F.lit(n)), F.lit(n))
-                    for n in REQUIRED_EVENT_FIELDS
-                ]
-            )
-        )
+    Only a message with a null required field is parsed a second time, as a map,
+    to tell an absent field from a null one and an object from anything else.
+    """
+    fields = F.col("fields")
+    texts = ("schema_version", "symbol", "timeframe", "trading_date")
+    gaps = B.any_of([fields[n].isNull() for n in REQUIRED_EVENT_FIELDS])
+    return F.struct(
+        *[fields[n].alias(n) for n in texts],
+        *[B.to_number(fields[n]).alias(n) for n in NUMERICS],
+        times.parse_instant(fields["event_time"]).alias("event_at"),
+        times.parse_instant(fields["published_at"]).alias("published_at"),
+        (times.has_offset(fields["event_time"]) & times.has_offset(fields["published_at"])).alias(
+            "aware"
+        ),
+        message_key(fields["symbol"], fields["event_time"], fields["timeframe"]).alias("own_key"),
+        F.coalesce(gaps, F.lit(True)).alias("gaps"),
+        F.when(gaps, F.map_keys(F.from_json("value", "map<string,string>"))).alias("names"),
     )
-    event_at = times.parse_instant(text("event_time"))
-    published_at = times.parse_instant(text("published_at"))
-    o, h, l, c, v = numbers = [B.to_number(text(n)) for n in NUMERICS]
+
+
+def _event_error(key: Column | None) -> Column:
+    """Reason of the first broken rule in contract order, or null; reads ``parsed``."""
+    p = F.col("parsed")
+    o, h, l, c, v = numbers = [p[n] for n in NUMERICS]
 
     def blank(name: str) -> Column:
-        return F.coalesce(F.length(F.trim(text(name))) == 0, F.lit(True))
+        return F.coalesce(F.length(F.trim(p[name])) == 0, F.lit(True))
 
     def unknown(condition: Column) -> Column:
         return ~F.coalesce(condition, F.lit(False))
 
-    aware = times.has_offset(text("event_time")) & times.has_offset(text("published_at"))
-    readable = event_at.isNotNull() & published_at.isNotNull()
-    day = times.local_date_text(event_at, MARKET_ZONE)
+    readable = p["event_at"].isNotNull() & p["published_at"].isNotNull()
+    day = times.local_date_text(p["event_at"], MARKET_ZONE)
+    required = F.array(*[F.lit(n) for n in sorted(REQUIRED_EVENT_FIELDS)])
+    missing = F.when(p["gaps"], F.array_except(required, p["names"]))
+    no_object = p["gaps"] & p["names"].isNull()
     rules = [
-        (F.size(missing) > 0, F.concat(F.lit("Missing event fields: "), F.array_join(missing, ", "))),
+        (no_object & F.try_parse_json("value").isNull(), F.lit(_NOT_JSON)),
+        (no_object, F.lit("Kafka payload must be a JSON object")),
+        (
+            F.size(missing) > 0,
+            F.concat(F.lit("Missing event fields: "), F.array_join(missing, ", ")),
+        ),
         (
-            unknown(text("schema_version") == RAW_SCHEMA_VERSION),
+            unknown(p["schema_version"] == RAW_SCHEMA_VERSION),
             F.concat(
                 F.lit("Unsupported schema_version: "),
-                F.coalesce(text("schema_version"), F.lit("null")),
+                F.coalesce(p["schema_version"], F.lit("null")),
             ),
         ),
         (blank("symbol") | blank("timeframe"), F.lit("symbol and timeframe must not be empty")),
-        (unknown(readable), F.lit("Invalid event value: unreadable timestamp")),
-        (unknown(aware), F.lit("Invalid event value: timestamps must be timezone-aware")),
+        (~readable, F.lit("Invalid event value: unreadable timestamp")),
+        (unknown(p["aware"]), F.lit("Invalid event value: timestamps must be timezone-aware")),
         (B.any_of([n.isNull() for n in numbers]), F.lit("Invalid event value: not a number")),
         (
             B.any_of([~B.is_finite(n) for n in numbers]),
@@ -120,13 +134,12 @@ def _event_error(fields: Column, key: Column | None) -> Column:
             F.lit("OHLC bounds are invalid"),
         ),
         (v < 0, F.lit("volume must not be negative")),
-        (unknown(text("trading_date") == day), F.lit("trading_date does not match event_time")),
+        (unknown(p["trading_date"] == day), F.lit("trading_date does not match event_time")),
     ]
     if key is not None:
-        own = message_key(text("symbol"), text("event_time"), text("timeframe"))
         rules.append(
             (
-                unknown(key == own),
+                unknown(key == p["own_key"]),
                 F.lit("Kafka message key does not match the event business key"),
             )
         )
@@ -134,32 +147,19 @@ def _event_error(fields: Column, key: Column | None) -> Column:
 
 
 def validate_messages(messages: DataFrame, check_key: bool = True) -> DataFrame:
-    """Add ``fields``, ``error_type`` and ``error`` to ``key``/``value`` rows.
+    """Add ``fields`` (texts), ``error_type`` and ``error`` to ``key``/``value`` rows.
 
     A null symbol is refused as empty. Readable JSON that is not an object and
     unreadable text are told apart by ``error_type``.
     """
-    decoded = decode(messages)
-    fields = F.col("fields")
-    not_object = F.when(F.try_parse_json("value").isNotNull(), F.lit(VIOLATION)).otherwise(
-        F.lit(MALFORMED)
+    decoded = evaluate_once(messages, {"fields": F.from_json("value", _EVENT_TEXTS)})
+    parsed = evaluate_once(decoded, {"parsed": _parsed_fields()})
+    error = _event_error(F.col("key") if check_key else None)
+    kind = F.when(F.col("error") == _NOT_JSON, MALFORMED).when(
+        F.col("error").isNotNull(), VIOLATION
     )
-    staged = evaluate_once(
-        decoded, {"reason": _event_error(fields, F.col("key") if check_key else None)}
-    )
-    reason = F.when(fields.isNotNull(), F.col("reason"))
-    unreadable = F.when(not_object == VIOLATION, "Kafka payload must be a JSON object").otherwise(
-        "payload is not valid JSON"
-    )
-    return evaluate_once(
-        staged,
-        {
-            "error_type": F.when(fields.isNull(), not_object).when(
-                reason.isNotNull(), F.lit(VIOLATION)
-            ),
-            "error": F.when(fields.isNull(), unreadable).otherwise(reason),
-        },
-    ).drop("reason")
+    checked = evaluate_once(parsed, {"error": error}).drop("parsed")
+    return checked.withColumn("error_type", kind)
 
 
 def event_columns() -> list[Column]:
