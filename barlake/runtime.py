@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_CONF = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_staged: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def require_utc(spark: SparkSession) -> None:
@@ -45,16 +47,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _staged[stored] = path
+    return stored
 
 
 def unstage(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete tables written by ``stage`` once nothing reads them any more."""
-    root = scratch_root(spark)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for frame in frames:
-        for name in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
-            if root in name:
-                path = jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(conf).delete(path, True)
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop(frame))
+        path.getFileSystem(conf).delete(path, True)
