@@ -8,6 +8,8 @@ their own. The SQL side lives in ``oracles.py``.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -382,6 +384,18 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- text preparation ----------------------------------------------------------
+
+
+def _text_modules() -> tuple:
+    """The text operators' queries and the pipeline, as far as they are installed."""
+    names = ("barlake.llm", "corpus_pipeline")
+    queries_in = {"barlake.llm": "barlake.llm.queries", "corpus_pipeline": "corpus_pipeline"}
+    return tuple(
+        importlib.import_module(queries_in[name]) for name in names if importlib.util.find_spec(name)
+    )
+
+
 # ---- contract -----------------------------------------------------------------
 
 
@@ -423,8 +437,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ft_counts": feature_counts,
         "gold_layer": gold_layer,
     }
+    for module in _text_modules():
+        out |= module.queries()
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_queries()
+    out = oracles.all_queries()
+    for module in _text_modules():
+        out |= module.oracle_sql()
+    return out
