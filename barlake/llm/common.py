@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.runtime import stage
 
-#: White space of the contracts, as a Java and as a Python pattern.
+#: White space and words of the contracts.
 BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: For str.translate: A-Z only, so that no other letter changes.
-LOWER_TABLE = {ord(c): ord(c) + 32 for c in _UPPER}
-
-_word = re.compile(WORD).findall
-_other_blank = re.compile(r"[^\S\x20\x09-\x0D]").search
+#: For bytes.translate: A-Z only, so that no other letter changes.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def text_of(column: str) -> Column:
@@ -25,13 +19,15 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def words(text: str) -> list[str]:
-    """Words of a text: runs without the six ASCII white-space characters.
+def lower_words(text: bytes | None) -> list[bytes]:
+    """Words of a UTF-8 text with A-Z in lower case; bytes split at exactly those blanks."""
+    return text.translate(_LOWER).split() if text else []
 
-    ``str.split()`` is quicker but knows more blanks, so it serves only where a text
-    holds none of those.
-    """
-    return text.split() if _other_blank(text) is None else _word(text)
+
+def in_fold(id_col: str, folds: int, fold: int) -> Column:
+    """Whether crc32 of the id as text leaves the remainder ``fold``; a null id counts as "null"."""
+    text = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    return F.crc32(text.cast("binary")) % folds == fold
 
 
 def numbered(df: DataFrame, order: list[Column], column: str, label: str, tasks: int = 16) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import best_fit, exact_dedup, mixing, oracles
+from barlake.llm import best_fit, bloom_lm, exact_dedup, mixing, oracles, url_filter
 
 
 def tokenizer_file() -> str:
@@ -19,10 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -33,7 +41,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_url_filter": op2_url_filter,
         "op3_exact_dedup": op3_exact_dedup,
+        "op8_bloom_lm": op8_bloom_lm,
         "op9_best_fit": op9_best_fit,
         "op10_mixing": op10_mixing,
     }
