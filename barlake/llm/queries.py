@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import best_fit, bloom_lm, exact_dedup, mixing, oracles, url_filter
+from barlake.llm import best_fit, bloom_lm, exact_dedup, mixing, oracles, toxicity, url_filter
 
 
 def tokenizer_file() -> str:
@@ -27,6 +27,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_url_filter": op2_url_filter,
         "op3_exact_dedup": op3_exact_dedup,
+        "op5_toxicity": op5_toxicity,
         "op8_bloom_lm": op8_bloom_lm,
         "op9_best_fit": op9_best_fit,
         "op10_mixing": op10_mixing,

@@ -90,10 +90,11 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
         F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), _REFRESH_URL, 1),
     )
     found = pages.where(url.contains("://")).select(url.alias("_u"), F.explode(links).alias("_l"))
-    edges = found.where("_l <> ''").select(
-        normal_url(F.col("_u")).alias("a"),
-        normal_url(resolve(F.col("_u"), F.replace(F.col("_l"), F.lit("&amp;"), F.lit("&")))).alias("b"),
-    )
+    # Staged twice: a long expression over another one would be repeated by the optimizer.
+    found = stage(found.where("_l <> ''"), "url-links")
+    target = resolve(F.col("_u"), F.replace(F.col("_l"), F.lit("&amp;"), F.lit("&")))
+    edges = stage(found.select(normal_url(F.col("_u")).alias("a"), target.alias("_t")), "url-targets")
+    edges = stage(edges.select("a", normal_url(F.col("_t")).alias("b")), "url-edges")
     return edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct()
 
 
