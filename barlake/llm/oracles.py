@@ -2,6 +2,44 @@
 
 from __future__ import annotations
 
+PIVOT_TOPK = """
+WITH v AS (
+  SELECT vec_id, rowid_ AS r, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM (SELECT *, row_number() OVER () AS rowid_ FROM embeddings)
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score, q.r
+  FROM v q JOIN v ON q.vec_id % 20 = 0 AND q.r <> v.r
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+URL_FILTER = """
+WITH u AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), h AS (
+  SELECT page_id, url, regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1) AS raw,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+), n AS (
+  SELECT *, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM h
+), r AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM n
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
 EXACT_DEDUP = r"""
 WITH k AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
@@ -48,4 +86,9 @@ FROM run
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP, "op10_mixing": MIXING}
+    return {
+        "op1_pivot_topk": PIVOT_TOPK,
+        "op2_url_filter": URL_FILTER,
+        "op3_exact_dedup": EXACT_DEDUP,
+        "op10_mixing": MIXING,
+    }

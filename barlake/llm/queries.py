@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import best_fit, bloom_lm, exact_dedup, mixing, oracles, toxicity, url_filter
+from barlake.llm import best_fit, bloom_lm, exact_dedup, mixing, oracles, pivot_topk, toxicity, url_filter
 
 
 def tokenizer_file() -> str:
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -45,6 +49,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pivot_topk": op1_pivot_topk,
         "op2_url_filter": op2_url_filter,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_toxicity": op5_toxicity,
