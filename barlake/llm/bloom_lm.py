@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import in_fold, lower_words
+from barlake.llm.common import in_fold, lower_words, mix, record_batch
 from barlake.runtime import stage
 
 BASE, HASHES, BITS_PER_ENTRY, MAX_BYTES = 1.5, 3, 10, 1 << 26
@@ -39,15 +39,6 @@ xxh64 = xxhash.xxh64_intdigest
 _SALT = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0x7FB5D329728EA185)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * _SALT[0] + (second ^ _SALT[1]))
 
@@ -188,11 +179,6 @@ def _merge(table: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)})
 
 
-def _rows(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-
 def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
     """Staged counts of words and levels of words and pairs, a row for each hash range.
 
@@ -208,10 +194,10 @@ def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
                 ids.append(found)
                 size += len(found)
                 if size >= CHUNK:
-                    yield _rows(list(_count_chunk(ids, index.words, shards)), names, kinds)
+                    yield record_batch(list(_count_chunk(ids, index.words, shards)), names, kinds)
                     index, ids, size = _Index([END]), [], 0
         if ids:
-            yield _rows(list(_count_chunk(ids, index.words, shards)), names, kinds)
+            yield record_batch(list(_count_chunk(ids, index.words, shards)), names, kinds)
 
     packed = texts.mapInArrow(run, _PACKED)
     return stage(packed.groupBy("shard").applyInArrow(_merge, _TABLE), "lm-counts")
@@ -228,7 +214,7 @@ def build_filter(table: DataFrame, shards: int, entries: int, max_bytes: int = M
                 (r["shard"], filter_part(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["levels"], np.uint8), part_bits))
                 for r in batch.to_pylist()
             ]
-            yield _rows(rows, ["shard", "bits"], [pa.int32(), pa.binary()])
+            yield record_batch(rows, ["shard", "bits"], [pa.int32(), pa.binary()])
 
     bits = np.zeros(shards * part_bits // 8, np.uint8)
     for row in table.select("shard", "keys", "levels").mapInArrow(run, "shard int, bits binary").toLocalIterator():
@@ -361,10 +347,10 @@ def score(
                 docs.append((row[0], row[1], text))
                 size += len(text or b"")
                 if size >= 6 * CHUNK:
-                    yield _rows(scorer.score(docs), names, kinds)
+                    yield record_batch(scorer.score(docs), names, kinds)
                     docs, size = [], 0
             if docs:
-                yield _rows(scorer.score(docs), names, kinds)
+                yield record_batch(scorer.score(docs), names, kinds)
 
     scored = stage(texts.mapInArrow(run, _SCORED).withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
     rare = scored.select("_row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(

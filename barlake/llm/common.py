@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +27,32 @@ def lower_words(text: bytes | None) -> list[bytes]:
     return text.translate(_LOWER).split() if text else []
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser."""
+    x = x ^ (x >> np.uint64(31))
+    x = x * np.uint64(0x7FB5D329728EA185)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> np.uint64(33))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered; ``trim`` keeps the memory bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+    def trim(self, most: int = 500_000) -> None:
+        if len(self) > most:
+            self.clear()
+
+
+def record_batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
 def in_fold(id_col: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves the remainder ``fold``; a null id counts as "null"."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import best_fit, bloom_lm, exact_dedup, mixing, oracles, pivot_topk, toxicity, url_filter
+from barlake.llm import best_fit, bloom_lm, exact_dedup, jaccard_join, mixing, oracles, pivot_topk, toxicity, url_filter
 
 
 def tokenizer_file() -> str:
@@ -35,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.assign(table(spark, sf_dir, "documents"))
+
+
 def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_url_filter": op2_url_filter,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_toxicity": op5_toxicity,
+        "op6_jaccard_join": op6_jaccard_join,
         "op8_bloom_lm": op8_bloom_lm,
         "op9_best_fit": op9_best_fit,
         "op10_mixing": op10_mixing,
