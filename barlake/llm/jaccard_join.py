@@ -349,3 +349,13 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     found = components(docs, id_col, text_col)
     return found.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component: the one whose id is the component's, all columns kept.
+
+    Texts without words link with nothing and stay, as do rows without an id.
+    """
+    found = components(docs, id_col, text_col)
+    others = found.where("_id IS NOT NULL AND component_id < _id").select(F.col("_id").alias(id_col))
+    return docs.join(others.distinct(), id_col, "left_anti").select(*docs.columns)

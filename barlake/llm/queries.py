@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import best_fit, bloom_lm, exact_dedup, jaccard_join, mixing, oracles, pivot_topk, toxicity, url_filter
+from barlake.llm import best_fit, bloom_lm, exact_dedup, jaccard_join, mixing, oracles, pivot_topk, site_quality, toxicity, url_filter
 
 
 def tokenizer_file() -> str:
@@ -39,6 +39,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.assign(table(spark, sf_dir, "documents"))
 
 
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_dedup": op3_exact_dedup,
         "op5_toxicity": op5_toxicity,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_site_quality": op7_site_quality,
         "op8_bloom_lm": op8_bloom_lm,
         "op9_best_fit": op9_best_fit,
         "op10_mixing": op10_mixing,
