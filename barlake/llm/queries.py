@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import best_fit, bloom_lm, exact_dedup, jaccard_join, mixing, oracles, pivot_topk, site_quality, toxicity, url_filter
+from barlake.llm import (
+    best_fit,
+    bloom_lm,
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    oracles,
+    pivot_topk,
+    repeat_index,
+    site_quality,
+    toxicity,
+    url_filter,
+)
 
 
 def tokenizer_file() -> str:
@@ -31,6 +43,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op4_repeat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_index.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pivot_topk": op1_pivot_topk,
         "op2_url_filter": op2_url_filter,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_repeat_index": op4_repeat_index,
         "op5_toxicity": op5_toxicity,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_site_quality": op7_site_quality,
