@@ -139,10 +139,9 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_messages(raw: DataFrame) -> DataFrame:
-    """Raw events as Kafka-shaped messages."""
-    return events.to_messages(raw.withColumnRenamed("kafka_key", "_k")).withColumns(
-        {"partition": F.lit(0), "offset": F.lit(0).cast("bigint")}
-    )
+    """Raw events as Kafka-shaped messages, at the position they carry."""
+    position = {"partition": F.col("kafka_partition"), "offset": F.col("kafka_offset")}
+    return events.to_messages(raw.withColumnRenamed("kafka_key", "_k"), position)
 
 
 def _naive(df: DataFrame) -> DataFrame:
@@ -318,21 +317,39 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> str:
     schema = _table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
     query = ingest.start_ingest(
-        as_messages(minutes_from_events(stream)), f"{root}/bronze", f"{root}/dlq", f"{root}/cp"
+        as_messages(minutes_from_events(stream)),
+        f"{root}/bronze",
+        f"{root}/dlq",
+        f"{root}/cp",
+        outcomes_root=f"{root}/outcomes",
     )
     query.awaitTermination()
     return root
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys accepted by a Structured Streaming run over ``events``."""
+    """Events accepted by a Structured Streaming run over ``events``, whole records."""
     bronze = read_raw_events(spark, f"{_run_stream(spark, sf_dir)}/bronze")
-    return bronze.select("kafka_key", "symbol", "event_time", "timeframe", "trading_date")
+    return bronze.drop("consumed_at", "_corrupt_record")
+
+
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.run_outcomes(spark, f"{_run_stream(spark, sf_dir)}/outcomes")
+
+
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of the stream through the batch job; returns the Silver layer."""
+    root = _run_stream(spark, sf_dir)
+    run_batch(spark, BatchJob(f"{root}/bronze", f"{root}/b", f"{root}/silver", f"{root}/report"))
+    return _naive(read_silver(spark, f"{root}/silver"))
 
 
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dlq = spark.read.json(f"{_run_stream(spark, sf_dir)}/dlq/*")
-    return dlq.groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+    dlq = spark.read.json(f"{_run_stream(spark, sf_dir)}/dlq/query=*/batch=*")
+    sent = {c: F.get_json_object("payload", f"$.{c}") for c in ("symbol", "trading_date", "close")}
+    return dlq.withColumns(sent).groupBy("error", "symbol", "trading_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.col("close").cast("double")), 4).alias("closes")
+    )
 
 
 def publish_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,6 +445,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dead_letters": dead_letters,
         "ingest_outcomes": ingest_outcomes,
         "stream_bronze": stream_bronze,
+        "stream_outcomes": stream_outcomes,
+        "stream_silver": stream_silver,
         "stream_dead_letters": stream_dead_letters,
         "publish_first": publish_first,
     }

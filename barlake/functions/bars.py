@@ -20,15 +20,6 @@ def all_of(predicates: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, predicates)
 
 
-def flag(condition: Column) -> Column:
-    """1.0 / 0.0, with an unknown condition counted as 0.0."""
-    return F.coalesce(condition, F.lit(False)).cast("double")
-
-
-def finite_or_null(value: Column) -> Column:
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(_INF)), value)
-
-
 def is_finite(value: Column) -> Column:
     return ~F.isnan(value) & (F.abs(value) != F.lit(_INF))
 
@@ -45,6 +36,11 @@ def numerics_present(prefix: str = "") -> Column:
     return all_of([c.isNotNull() for c in _cols(NUMERICS, prefix)])
 
 
+def numerics_known(prefix: str = "") -> Column:
+    """Neither null nor NaN, which is how an unreadable number may also arrive."""
+    return all_of([c.isNotNull() & ~F.isnan(c) for c in _cols(NUMERICS, prefix)])
+
+
 def numerics_finite(prefix: str = "") -> Column:
     return all_of([is_finite(c) for c in _cols(NUMERICS, prefix)])
 
@@ -76,8 +72,3 @@ def resolution_to_timeframe(resolution: Column) -> Column:
     minutes = F.regexp_replace(F.lower(F.trim(resolution.cast("string"))), "m$", "")
     name = F.concat(minutes, F.lit("m"))
     return F.when(timeframe_ok(name), name)
-
-
-def safe_name(text: Column) -> Column:
-    """Replace everything but letters, digits, dot, dash and underscore."""
-    return F.regexp_replace(text, r"[^A-Za-z0-9_.-]", "_")

@@ -32,13 +32,18 @@ def _present(df: DataFrame, name: str, kind: str = "string") -> Column:
     return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+def _filled(text: Column) -> Column:
+    text = text.cast("string")
+    return F.when(text != "", text)
+
+
 def build_events(
     rows: DataFrame, source: str | None = None, ingest_run_id: str | None = None
 ) -> DataFrame:
     """Canonical or API bars to the fourteen fields of the raw event.
 
     ``source`` and ``ingest_run_id`` override the row's own values; without either,
-    the source is ``unknown`` and the run id is drawn per row.
+    the source is ``unknown`` and the run id is drawn per row. An empty value is none.
     """
     day = times.local_date_text(F.col("event_time"), MARKET_ZONE)
     return rows.select(
@@ -48,20 +53,26 @@ def build_events(
         F.coalesce(_present(rows, "trading_date"), day).alias("trading_date"),
         F.trim("timeframe").alias("timeframe"),
         *[F.col(n).cast("double").alias(n) for n in NUMERICS],
-        F.coalesce(F.lit(source), _present(rows, "source"), F.lit("unknown")).alias("source"),
-        _present(rows, "source_record_id").alias("source_record_id"),
-        F.coalesce(F.lit(ingest_run_id), _present(rows, "ingest_run_id"), F.uuid()).alias(
-            "ingest_run_id"
+        F.coalesce(_filled(F.lit(source)), _filled(_present(rows, "source")), F.lit("unknown")).alias(
+            "source"
         ),
+        _present(rows, "source_record_id").alias("source_record_id"),
+        F.coalesce(
+            _filled(F.lit(ingest_run_id)), _filled(_present(rows, "ingest_run_id")), F.uuid()
+        ).alias("ingest_run_id"),
         times.utc_iso(F.current_timestamp()).alias("published_at"),
     )
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """Events to ``key``/``value`` rows; null optional fields stay in the JSON."""
+def to_messages(events: DataFrame, carried: dict[str, Column] | None = None) -> DataFrame:
+    """Events to ``key``/``value`` rows, with ``carried`` columns beside them.
+
+    Null optional fields stay in the JSON.
+    """
     key = message_key(F.col("symbol"), F.col("event_time"), F.col("timeframe"))
     body = F.to_json(F.struct(*EVENT_FIELDS), {"ignoreNullFields": "false"})
-    return events.select(key.alias("key"), body.alias("value"))
+    more = [column.alias(name) for name, column in (carried or {}).items()]
+    return events.select(key.alias("key"), body.alias("value"), *more)
 
 
 _EVENT_TEXTS = ", ".join(f"{name} string" for name in EVENT_FIELDS)

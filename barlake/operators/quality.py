@@ -79,9 +79,14 @@ Rule = tuple[str, Column]
 DUPLICATE_KEY = "duplicate business key"
 
 
+def _null_key() -> Rule:
+    parts = [F.col(name).isNull() for name in BUSINESS_KEY]
+    return ("business key must not be null", bars.any_of(parts))
+
+
 def _shared_rules() -> dict[str, Rule]:
     return {
-        "null": ("OHLCV contains null or non-numeric values", ~bars.numerics_present()),
+        "null": ("OHLCV contains null or non-numeric values", ~bars.numerics_known()),
         "finite": ("OHLCV contains non-finite values", ~bars.numerics_finite()),
         "positive": ("OHLC prices must be greater than zero", ~bars.prices_positive()),
         "volume": ("volume must not be negative", ~bars.volume_ok()),
@@ -101,6 +106,7 @@ def landing_rules() -> list[Rule]:
             ~F.coalesce(bars.timeframe_ok(F.col("timeframe")), F.lit(False)),
         ),
         *(shared[name] for name in ("null", "finite", "positive", "volume", "high", "low")),
+        _null_key(),
     ]
 
 
@@ -114,6 +120,7 @@ def silver_rules() -> list[Rule]:
         shared["null"],
         (DUPLICATE_KEY, F.lit(False)),
         *(shared[name] for name in ("positive", "volume", "high", "low")),
+        _null_key(),
     ]
 
 

@@ -31,6 +31,14 @@ def _bucket_counts(bars: DataFrame, micros: int) -> DataFrame:
     )
 
 
+def _join_series(left: DataFrame, right: DataFrame, extra: str) -> DataFrame:
+    """Inner join on the series and ``extra`` in which a null part equals a null part."""
+    names = {name: f"_{name}" for name in (*SERIES, extra)}
+    other = right.withColumnsRenamed(names)
+    same = [F.col(name).eqNullSafe(F.col(alias)) for name, alias in names.items()]
+    return left.join(other, same).drop(*names.values())
+
+
 def _bucket_starts(counts: DataFrame) -> DataFrame:
     """Rows before each bucket of each series, by a two-level prefix sum."""
     before = (Window.unboundedPreceding, -1)
@@ -41,10 +49,9 @@ def _bucket_starts(counts: DataFrame) -> DataFrame:
     group_start = groups.select(
         *SERIES, "grp", F.coalesce(F.sum("n").over(in_series), F.lit(0)).alias("group_start")
     )
-    return (
-        grouped.withColumn("in_group", F.coalesce(F.sum("n").over(in_group), F.lit(0)))
-        .join(group_start, [*SERIES, "grp"])
-        .select(*SERIES, "bucket", (F.col("group_start") + F.col("in_group")).alias("start"))
+    placed = grouped.withColumn("in_group", F.coalesce(F.sum("n").over(in_group), F.lit(0)))
+    return _join_series(placed, group_start, "grp").select(
+        *SERIES, "bucket", (F.col("group_start") + F.col("in_group")).alias("start")
     )
 
 
@@ -66,7 +73,7 @@ def with_position(bars: DataFrame, max_bucket_rows: int = 1_000_000) -> DataFram
         "rank", F.row_number().over(order)
     )
     return (
-        ranked.join(starts, [*SERIES, "bucket"])
+        _join_series(ranked, starts, "bucket")
         .withColumn("pos", F.col("start") + F.col("rank") - 1)
         .drop("bucket", "rank", "start")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 import weakref
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _DIR_CONF = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_paths: dict[str, SparkSession] = {}
 _staged: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -29,13 +31,33 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_DIR_CONF} to a folder that all executors share")
-    return _local_dirs.setdefault(
-        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="barlake-")
-    )
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="barlake-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder name; the folder goes with the session at the latest."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _paths:
+        atexit.register(_drop_left_over)
+    _paths[path] = spark
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _paths.pop(path, None)
+
+
+def _drop_left_over() -> None:
+    """Deletes what lazily returned frames still needed; a session that has ended is left alone."""
+    for path, spark in list(_paths.items()):
+        if spark.sparkContext._jsc is None:
+            break
+        _delete(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -54,8 +76,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def unstage(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete tables written by ``stage`` once nothing reads them any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for frame in frames:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop(frame))
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _staged.pop(frame))

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.functions import bars as B
 from barlake.schema import FEATURE_INPUTS, LAYER_PARTITIONS, ContractError
 
 
@@ -15,10 +14,12 @@ def _write_dynamic(df: DataFrame, root: str, partitions: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``.
 
     Rows are rebalanced by partition value, so a small partition gets one file and
-    AQE splits a partition that holds much of the table over several tasks.
+    AQE splits a partition that holds much of the table over several tasks. Every file
+    is in time order.
     """
     (
         df.hint("rebalance", *partitions)
+        .sortWithinPartitions(*partitions, "event_time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
@@ -32,9 +33,17 @@ def write_layer(df: DataFrame, root: str) -> None:
 
 
 def write_landing(df: DataFrame, root: str) -> None:
-    """Canonical bars; loading the same run again replaces that run's files only."""
-    named = df.withColumn("ingest_run_id", B.safe_name(F.col("ingest_run_id")))
-    _write_dynamic(named, root, (*LAYER_PARTITIONS, "ingest_run_id"))
+    """Canonical bars; loading the same run again replaces that run's files only.
+
+    The run id stays as it is; the folder is named by a column of its own, whose value
+    Spark escapes, so that no two runs share one.
+    """
+    _write_dynamic(_named(df, "run", "ingest_run_id"), root, (*LAYER_PARTITIONS, "run"))
+
+
+def _named(df: DataFrame, folder: str, column: str) -> DataFrame:
+    prefix = F.lit(f"{folder}-")
+    return df.withColumn(folder, F.coalesce(F.concat(prefix, F.col(column)), F.lit("none")))
 
 
 def write_gold(df: DataFrame, root: str) -> None:
@@ -43,8 +52,8 @@ def write_gold(df: DataFrame, root: str) -> None:
     missing = sorted(needed - set(df.columns))
     if missing:
         raise ContractError(f"missing feature output columns: {missing}")
-    named = df.withColumn("feature_set_version", B.safe_name(F.col("feature_set_version")))
-    _write_dynamic(named, root, ("feature_set_version", *LAYER_PARTITIONS))
+    named = _named(df, "version", "feature_set_version")
+    _write_dynamic(named, root, ("version", *LAYER_PARTITIONS))
 
 
 def write_report(report: DataFrame, root: str) -> None:

@@ -19,7 +19,6 @@ from barlake.schema import (
 )
 
 SOURCE_NAME = "historical_csv"
-_WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 
 
 def resolve_columns(header: list[str]) -> dict[str, str]:
@@ -36,57 +35,47 @@ def resolve_columns(header: list[str]) -> dict[str, str]:
 
 
 def content_run_ids(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, ingest_run_id)``: a run id made from the bytes of each file.
+    """``(file, ingest_run_id)``: a run id made from the lines of each file and their order.
 
-    Files up to 256 MB are hashed whole, inside tasks. A larger file would have to
-    pass through one task as a single value, so its id is built from line hashes:
-    order-independent sums that every task computes over its own part.
+    Every line is hashed with its place in the file; sums of those hashes do not depend on
+    how the file is split, so files of any size take the same way through many tasks.
     """
-    files = spark.read.format("binaryFile").load(path)
-    small = (
-        files.filter(F.col("length") <= _WHOLE_FILE_LIMIT)
-        .select(F.col("path").alias("file"), F.sha2("content", 256).alias("digest"))
-    )
-    large = files.filter(F.col("length") > _WHOLE_FILE_LIMIT).select(
-        F.col("path").alias("large_file")
-    )
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.xxhash64("value").alias("h")
+        F.xxhash64("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("seq"),
     )
-    by_lines = (
-        lines.join(large, F.col("file") == F.col("large_file"), "left_semi")
-        .groupBy("file")
-        .agg(
-            F.sha2(
-                F.concat_ws(
-                    "|", F.count("h"), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(20,0)"))
-                ),
-                256,
-            ).alias("digest")
-        )
+    placed = _number_rows(stage(lines, "csv-lines")).select("file", F.xxhash64("row", "line").alias("h"))
+    sums = placed.groupBy("file").agg(
+        F.sha2(
+            F.concat_ws("|", F.count("h"), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(20,0)"))), 256
+        ).alias("digest")
     )
     run_id = F.concat(F.lit("csv_"), F.substring("digest", 1, 16))
-    return small.unionByName(by_lines).select("file", run_id.alias("ingest_run_id"))
+    return sums.select("file", run_id.alias("ingest_run_id"))
 
 
 def _number_rows(rows: DataFrame) -> DataFrame:
     """Add ``row``, the zero-based position in the file.
 
-    A file may span many splits: rows are ranked inside their split and the rows of
-    earlier splits are added from a small per-split table. ``rows`` must be a
-    stored table, so that both reads see the same ``split`` and ``seq``.
+    A file may span many splits. A split is read by one task, where ``seq`` counts without
+    gaps, so only the first ``seq`` and the size of each split are needed. ``rows`` must be
+    a stored table, so that both reads see the same ``split`` and ``seq``.
     """
-    sizes = rows.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("file", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first")
+    )
     earlier = (
         Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = sizes.select(
-        "file", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+        "file", "split", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    )
+    numbered = rows.join(starts, ["file", "split"])
+    return numbered.withColumn("row", F.col("start") + F.col("seq") - F.col("first")).drop(
+        "first", "start", "seq", "split"
     )
-    in_split = Window.partitionBy("file", "split").orderBy("seq")
-    return rows.withColumn("rank", F.row_number().over(in_split)).join(
-        starts, ["file", "split"]
-    ).withColumn("row", F.col("start") + F.col("rank") - 1).drop("rank", "start", "seq", "split")
 
 
 def read_history(
@@ -99,11 +88,13 @@ def read_history(
 ) -> DataFrame:
     """Canonical ``1m`` bars of one CSV file or of a directory of equal headers.
 
+    A file of the directory whose header differs is refused when it is read.
     Times without an offset are wall-clock times in ``source_zone``. Unreadable
     times raise, naming up to five rows; unreadable numbers become null and fail
     the table contract later.
     """
-    raw = spark.read.option("header", "true").csv(path)
+    reader = spark.read.option("header", "true").option("enforceSchema", "false")
+    raw = reader.csv(path)
     names = resolve_columns(raw.columns)
     picked = raw.select(
         *[F.col(f"`{source}`").alias(target) for target, source in names.items()],

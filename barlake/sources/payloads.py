@@ -23,17 +23,16 @@ _RECORDS = f"array<struct<{', '.join(f'{name}:string' for name in _NAMES)}>>"
 
 
 def _field(field: str) -> Column:
-    """Text values of one field: the first alias present, for either shape.
+    """Text values of one field: the first alias present, even as null, for either shape.
 
     In a record list the first record decides which alias counts.
     """
-    aliases = PAYLOAD_ALIASES[field]
-    arrays = F.coalesce(*[F.col(f"arrays.{name}") for name in aliases])
-    first = F.get("records", F.lit(0))
-    records = F.coalesce(
-        *[F.when(first[name].isNotNull(), F.col(f"records.{name}")) for name in aliases]
-    )
-    return F.when(F.col("is_arrays"), arrays).otherwise(records)
+    shape = F.when(F.col("is_list"), F.lit("records")).otherwise(F.lit("arrays"))
+    value = F.lit(None).cast("array<string>")
+    for name in reversed(PAYLOAD_ALIASES[field]):
+        here = F.when(shape == "records", F.col(f"records.{name}")).otherwise(F.col(f"arrays.{name}"))
+        value = F.when(F.array_contains("names", name), here).otherwise(value)
+    return value
 
 
 def parse_payloads(responses: DataFrame) -> DataFrame:
@@ -41,23 +40,33 @@ def parse_payloads(responses: DataFrame) -> DataFrame:
     body = F.coalesce(F.get_json_object("payload", "$.data"), F.col("payload"))
     shaped = responses.withColumn("body", F.trim(body)).withColumns(
         {
-            "arrays": F.from_json("body", _ARRAYS),
-            "records": F.from_json("body", _RECORDS),
-            "is_list": F.col("body").startswith("["),
+            "is_list": F.startswith(F.trim(body), F.lit("[")),
         }
     )
-    times_array = F.coalesce(*[F.col(f"arrays.{name}") for name in PAYLOAD_ALIASES["t"]])
-    shaped = shaped.withColumn("is_arrays", ~F.col("is_list") & times_array.isNotNull())
+    # Only the shape that the first character shows is parsed.
+    one = F.when(F.col("is_list"), F.get_json_object("body", "$[0]")).otherwise(F.col("body"))
+    shaped = evaluate_once(
+        shaped,
+        {
+            "arrays": F.from_json(F.when(~F.col("is_list"), F.col("body")), _ARRAYS),
+            "records": F.from_json(F.when(F.col("is_list"), F.col("body")), _RECORDS),
+            "names": F.json_object_keys(one),
+        },
+    )
+    has_volume = F.arrays_overlap("names", F.array(*[F.lit(n) for n in PAYLOAD_ALIASES["v"]]))
     found = evaluate_once(
         shaped,
         {f: _field(f) for f in _FIELDS}
         | {
+            "has_volume": F.coalesce(has_volume, F.lit(False)),
             "is_json": F.get_json_object("body", "$").isNotNull(),
             "is_empty": F.col("is_list") & (F.size("records") == 0),
             "timeframe": B.resolution_to_timeframe(F.col("resolution")),
         },
     )
-    volume = F.coalesce("v", F.transform("t", lambda _: F.lit("0.0")))
+    # Without volumes they are zero; a volume field that is there must hold numbers.
+    stand_in = F.when(~F.col("has_volume"), F.lit("0.0"))
+    volume = F.coalesce("v", F.transform("t", lambda _: stand_in))
     seconds = F.transform("t", B.to_number)
     bars = evaluate_once(
         found.withColumn("v", volume).withColumn("seconds", seconds),

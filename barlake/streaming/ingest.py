@@ -1,46 +1,76 @@
 """Validate, deduplicate and route a stream of raw messages.
 
-Input rows carry ``key``, ``value``, ``partition`` and ``offset``. Valid events
-claim their key once and forever; repeats are dropped and counted; everything
-else goes to the dead-letter side with its reason.
+Input rows carry ``key``, ``value``, ``partition`` and ``offset``. The first valid event
+of a key, in partition and offset order, claims the key once and forever: in a
+micro-batch by one aggregate per key, across batches by what Bronze holds. Repeats are
+dropped and counted; everything else goes to the dead-letter side with its reason.
+
+Every batch writes to ``query=<id>/batch=<n>``, with the id that the checkpoint keeps. A
+retried batch replaces its own folder only; another query, or the same one with a new
+checkpoint, adds folders beside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.operators import events as E
+from barlake.runtime import stage, unstage
 
 OUTCOMES = ("accepted", "duplicate", "dead_lettered")
-_METRICS = "ingest"
 
 
-def route(messages: DataFrame) -> DataFrame:
-    """Accepted and invalid messages in one stream, told apart by ``error_type``.
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a streaming query keeps in its checkpoint; Spark writes it at the start."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
-    Only valid messages take part in deduplication, so a bad event never claims a
-    key. The key state has no watermark: the first event of a key wins for good.
-    Keep it in RocksDB when the number of keys outgrows executor memory.
+
+def first_per_key(valid: DataFrame) -> DataFrame:
+    """The row of each key with the smallest (partition, offset), combined before the shuffle."""
+    whole = F.struct(*valid.columns)
+    first = valid.groupBy("key").agg(F.min_by(whole, F.struct("partition", "offset")).alias("first"))
+    return first.select("first.*")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def unclaimed(first: DataFrame, bronze_root: str, own_folder: str) -> DataFrame:
+    """Rows whose key Bronze does not hold yet, this batch's own earlier try left aside.
+
+    A key holds the event time, so only the days from the batch's first to its last are
+    read; Bronze is partitioned by them.
     """
-    checked = E.validate_messages(messages)
-    counted = checked.observe(
-        _METRICS,
-        F.count(F.lit(1)).alias("seen"),
-        F.count_if(F.col("error_type").isNotNull()).alias("dead_lettered"),
+    spark = first.sparkSession
+    if not _exists(spark, bronze_root):
+        return first
+    day = F.col("fields")["trading_date"]
+    low, high = first.agg(F.min(day), F.max(day)).first()
+    if low is None:
+        return first
+    days = spark.read.option("basePath", bronze_root).schema(
+        "value string, query string, batch string, symbol string, timeframe string, trading_date string"
     )
-    valid = counted.filter(F.col("error_type").isNull()).dropDuplicates(["key"])
-    return valid.unionByName(checked.filter(F.col("error_type").isNotNull()))
+    held = (
+        days.text(f"{bronze_root}/query=*/batch=*")
+        .where(F.concat(F.lit("query="), "query", F.lit("/batch="), "batch") != own_folder)
+        .where(F.col("trading_date").between(low, high))
+        .select(F.get_json_object("value", "$.kafka_key").alias("held"))
+    )
+    return first.join(held, F.col("key") == F.col("held"), "left_anti")
 
 
-def write_bronze_batch(accepted: DataFrame, root: str, batch_id: int) -> None:
-    """JSON lines under ``batch=N/symbol=/timeframe=/trading_date=``.
+def write_bronze_batch(accepted: DataFrame, root: str, folder: str) -> None:
+    """JSON lines under ``<folder>/symbol=/timeframe=/trading_date=``.
 
-    The batch directory is replaced when a micro-batch is retried. Partition
-    columns also stay in the record, so readers need not interpret directories.
+    The folder is replaced when its micro-batch is retried. Partition columns also stay in
+    the record, so readers need not interpret directories.
     """
     records = E.bronze_records(accepted)
     folders = {f"p_{c}": F.col(c) for c in ("symbol", "timeframe", "trading_date")}
@@ -52,12 +82,12 @@ def write_bronze_batch(accepted: DataFrame, root: str, batch_id: int) -> None:
         .hint("rebalance", "symbol", "timeframe", "trading_date")
         .write.mode("overwrite")
         .partitionBy("symbol", "timeframe", "trading_date")
-        .text(f"{root}/batch={batch_id}")
+        .text(f"{root}/{folder}")
     )
 
 
-def write_dead_letter_batch(invalid: DataFrame, root: str, batch_id: int) -> None:
-    E.dead_letters(invalid).write.mode("overwrite").json(f"{root}/batch={batch_id}")
+def write_dead_letter_batch(invalid: DataFrame, root: str, folder: str) -> None:
+    E.dead_letters(invalid).write.mode("overwrite").json(f"{root}/{folder}")
 
 
 def start_ingest(
@@ -67,28 +97,46 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     send_dead_letters: Callable[[DataFrame, int], None] | None = None,
+    outcomes_root: str | None = None,
 ) -> StreamingQuery:
     """Start the ingestion query.
 
     ``trigger`` defaults to ``{"availableNow": True}``: read what is there, then
-    stop. Pass ``{"processingTime": "10 seconds"}`` to keep running. Offsets and
-    key state commit together after both writes, so a failed batch is repeated.
+    stop. Pass ``{"processingTime": "10 seconds"}`` to keep running. Offsets commit
+    after both writes, so a failed batch is repeated. With ``outcomes_root`` each batch
+    also writes its accepted, duplicate and dead-lettered counts there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark = batch.sparkSession
+        folder = f"query={query_id(spark, checkpoint)}/batch={batch_id}"
+        # Written once: the source is read, decoded and checked a single time a batch.
+        checked = stage(batch, "ingest-batch")
+        accepted = stage(
+            unclaimed(first_per_key(checked.filter("error_type IS NULL")), bronze_root, folder), "ingest-accepted"
+        )
         try:
-            valid = F.col("error_type").isNull()
-            write_bronze_batch(batch.filter(valid), bronze_root, batch_id)
+            invalid = checked.filter("error_type IS NOT NULL")
+            if accepted.isEmpty() and not _exists(spark, f"{bronze_root}/{folder}"):
+                pass  # nothing to add, and no earlier try to replace
+            else:
+                write_bronze_batch(accepted, bronze_root, folder)
             if send_dead_letters is None:
-                write_dead_letter_batch(batch.filter(~valid), dead_letter_root, batch_id)
+                write_dead_letter_batch(invalid, dead_letter_root, folder)
             else:
-                send_dead_letters(E.dead_letters(batch.filter(~valid)), batch_id)
+                send_dead_letters(E.dead_letters(invalid), batch_id)
+            if outcomes_root is not None:
+                taken = F.lit(accepted.count())
+                checked.agg(
+                    taken.alias("accepted"),
+                    (F.count_if(F.col("error_type").isNull()) - taken).alias("duplicate"),
+                    F.count_if(F.col("error_type").isNotNull()).alias("dead_lettered"),
+                ).write.mode("overwrite").parquet(f"{outcomes_root}/{folder}")
         finally:
-            batch.unpersist()
+            unstage(spark, checked, accepted)
 
     return (
-        route(messages)
+        E.validate_messages(messages)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
@@ -96,6 +144,15 @@ def start_ingest(
     )
 
 
+def run_outcomes(spark: SparkSession, outcomes_root: str) -> DataFrame:
+    """Rows per outcome over all batches written under ``outcomes_root``."""
+    batches = spark.read.schema("accepted bigint, duplicate bigint, dead_lettered bigint").parquet(
+        f"{outcomes_root}/query=*/batch=*"
+    )
+    totals = batches.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in OUTCOMES])
+    return totals.unpivot([], list(OUTCOMES), "outcome", "rows")
+
+
 def count_outcomes(messages: DataFrame, known_keys: DataFrame | None = None) -> DataFrame:
     """Batch form of the routing: rows per outcome.
 

@@ -141,9 +141,16 @@ messages AS (
          strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS event_time, timeframe,
          strftime(trading_date, '%Y-%m-%d') AS trading_date,
          CASE WHEN least(high, low, close) <= 0 THEN 'OHLC prices must be greater than zero'
-              WHEN high < open THEN 'OHLC bounds are invalid' END AS error
+              WHEN high < open THEN 'OHLC bounds are invalid' END AS error,
+         open, high, low, close, volume, kafka_offset
   FROM minutes)"""
 
+#: The first valid message of each key, by offset.
+_FIRST_MESSAGES = f"""{_MINUTE_MESSAGES},
+firsts AS (
+  SELECT * FROM messages WHERE error IS NULL
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY kafka_offset) = 1)"""
+
 
 # ---- features -------------------------------------------------------------------
 
@@ -411,7 +418,7 @@ SELECT 'ALL' AS symbol, event_time, trading_date, timeframe, open, high, low, cl
         "landing_layer": f"""{coarse15}, both_frames AS (
   SELECT symbol, timeframe, trading_date, volume FROM bars
   UNION ALL SELECT symbol, timeframe, trading_date, volume FROM coarse)
-SELECT symbol, timeframe, trading_date, 'run_1' AS ingest_run_id, count(*) AS bars,
+SELECT symbol, timeframe, trading_date, 'run:1' AS ingest_run_id, count(*) AS bars,
        sum(volume) AS volume FROM both_frames GROUP BY ALL""",
         "landing_summary": f"""WITH {_BARS}, {_resampled(30)}
 SELECT 'events' AS input_path, (SELECT count(*) FROM bars) AS source_rows,
@@ -450,11 +457,25 @@ SELECT key, CASE WHEN error IS NOT NULL THEN 'ContractViolation' END AS error_ty
 SELECT 'ohlcv_raw_dlq_v1' AS schema_version, key AS original_key,
        'ContractViolation' AS error_type, error FROM messages WHERE error IS NOT NULL""",
         "ingest_outcomes": _OUTCOMES,
-        "stream_bronze": f"""WITH {_MINUTE_MESSAGES}
-SELECT DISTINCT key AS kafka_key, symbol, event_time, timeframe, trading_date
-FROM messages WHERE error IS NULL""",
+        "stream_bronze": f"""WITH {_FIRST_MESSAGES}
+SELECT 'ohlcv_raw_v1' AS schema_version, symbol, event_time, trading_date, timeframe, open, high,
+       low, close, volume, 'events' AS source, CAST(NULL AS VARCHAR) AS source_record_id,
+       'r1' AS ingest_run_id, event_time AS published_at, key AS kafka_key,
+       0 AS kafka_partition, kafka_offset
+FROM firsts""",
+        "stream_outcomes": f"""WITH {_FIRST_MESSAGES}, totals AS (
+  SELECT (SELECT count(*) FROM firsts) AS accepted, count(*) FILTER (error IS NULL) AS valid,
+         count(*) FILTER (error IS NOT NULL) AS dead FROM messages)
+SELECT 'accepted' AS outcome, accepted AS rows FROM totals
+UNION ALL SELECT 'duplicate', valid - accepted FROM totals
+UNION ALL SELECT 'dead_lettered', dead FROM totals""",
+        "stream_silver": f"""WITH {_FIRST_MESSAGES}
+SELECT symbol, CAST(strptime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS event_time,
+       CAST(trading_date AS DATE) AS trading_date, timeframe, open, high, low, close, volume
+FROM firsts""",
         "stream_dead_letters": f"""WITH {_MINUTE_MESSAGES}
-SELECT error, count(*) AS rows FROM messages WHERE error IS NOT NULL GROUP BY ALL""",
+SELECT error, symbol, trading_date, count(*) AS rows, round(sum(close), 4) AS closes
+FROM messages WHERE error IS NOT NULL GROUP BY ALL""",
         "publish_first": f"""WITH {_BARS}, top AS (
   SELECT * FROM bars ORDER BY symbol, event_time LIMIT 1000)
 SELECT upper(symbol) || '|' || CASE WHEN date_trunc('second', event_time) = event_time
