@@ -9,41 +9,49 @@ from barlake.operators import events as E
 from barlake.schema import ContractError
 from barlake.sources import payloads as P
 from barlake.sources.raw_events import read_raw_events
-from barlake.streaming.ingest import count_outcomes, start_ingest
+from barlake.streaming.ingest import (
+    count_outcomes,
+    first_per_key,
+    query_id,
+    run_outcomes,
+    start_ingest,
+    unclaimed,
+    write_bronze_batch,
+)
 from barlake.streaming.publish import publish
 
 GOOD = dict(
     schema_version="ohlcv_raw_v1",
     symbol="AAA",
-    event_time="2026-08-06T02:15:00Z",
-    trading_date="2026-08-06",
+    event_time="2026-03-11T02:15:00Z",
+    trading_date="2026-03-11",
     timeframe="1m",
-    open=1234.5,
-    high=1236.0,
-    low=1234.0,
-    close=1235.2,
-    volume=1000.0,
+    open=87.25,
+    high=88.5,
+    low=86.75,
+    close=88.0,
+    volume=640.0,
     source="test",
     ingest_run_id="r",
-    published_at="2026-08-06T02:16:00Z",
+    published_at="2026-03-11T02:16:00Z",
 )
-KEY = "AAA|2026-08-06T02:15:00Z|1m"
+KEY = "AAA|2026-03-11T02:15:00Z|1m"
 
 CASES = [
     ({}, None),
-    ({"open": "1234.5"}, None),
-    ({"timeframe": "2m", "key": "AAA|2026-08-06T02:15:00Z|2m"}, None),
+    ({"open": "87.25"}, None),
+    ({"timeframe": "2m", "key": "AAA|2026-03-11T02:15:00Z|2m"}, None),
     ({"schema_version": "v9", "volume": -1}, "Unsupported schema_version: v9"),
     ({"symbol": " "}, "symbol and timeframe must not be empty"),
     ({"symbol": None}, "symbol and timeframe must not be empty"),
-    ({"event_time": "2026-08-06T02:15:00"}, "Invalid event value: timestamps must be timezone-aware"),
+    ({"event_time": "2026-03-11T02:15:00"}, "Invalid event value: timestamps must be timezone-aware"),
     ({"event_time": "x"}, "Invalid event value: unreadable timestamp"),
     ({"close": "x"}, "Invalid event value: not a number"),
     ({"close": "Infinity"}, "OHLCV values must be finite numbers"),
     ({"low": 0}, "OHLC prices must be greater than zero"),
-    ({"high": 1235.0}, "OHLC bounds are invalid"),
+    ({"high": 87.5}, "OHLC bounds are invalid"),
     ({"volume": -1}, "volume must not be negative"),
-    ({"trading_date": "2026-08-05"}, "trading_date does not match event_time"),
+    ({"trading_date": "2026-03-10"}, "trading_date does not match event_time"),
     ({"key": "wrong-key"}, "Kafka message key does not match the event business key"),
 ]
 
@@ -68,7 +76,7 @@ def test_first_broken_rule_wins(spark):
 
 
 def bars(spark):
-    row = ("aaa ", "2026-08-06 02:15:00", "1m", 1234.5, 1236.0, 1234.0, 1235.2, 1000.0)
+    row = ("aaa ", "2026-03-11 02:15:00", "1m", 87.25, 88.5, 86.75, 88.0, 640.0)
     ddl = "symbol string, t string, timeframe string, open double, high double, low double, close double, volume double"
     df = spark.createDataFrame([row], ddl)
     return df.withColumn("event_time", F.to_timestamp("t")).drop("t")
@@ -79,7 +87,7 @@ def test_publish(spark, tmp_path):
     assert publish(bars(spark), lambda m: m.write.json(out), source="test") == 1
     sent = spark.read.json(out).first()
     event = json.loads(sent["value"])
-    assert sent["key"] == KEY and event["trading_date"] == "2026-08-06" and event["source"] == "test"
+    assert sent["key"] == KEY and event["trading_date"] == "2026-03-11" and event["source"] == "test"
     assert event["source_record_id"] is None and event["ingest_run_id"]
     with pytest.raises(ContractError, match="bounds"):
         publish(bars(spark).withColumn("high", F.lit(1.0)), lambda m: None)
@@ -87,31 +95,41 @@ def test_publish(spark, tmp_path):
         publish(bars(spark), lambda m: None, limit=0)
 
 
-def test_stream_routes_and_remembers(spark, tmp_path):
-    source = tmp_path / "in"
-    source.mkdir()
-    ddl = "key string, value string, `partition` int, offset long"
+DDL = "key string, value string, `partition` int, offset long"
+
+
+def run_stream(spark, root, checkpoint="cp"):
+    stream = spark.readStream.schema(DDL).json(str(root / "in"))
+    places = (str(root / n) for n in ("bronze", "dlq", checkpoint))
+    query = start_ingest(stream, *places, outcomes_root=str(root / "outcomes"))
+    query.awaitTermination()
+    return query
+
+
+def put(root, name, rows):
+    (root / "in").mkdir(exist_ok=True)
+    names = ("key", "value", "partition", "offset")
+    (root / "in" / name).write_text("\n".join(json.dumps(dict(zip(names, r))) for r in rows))
+
 
-    def drop(name, rows):
-        (source / name).write_text("\n".join(json.dumps(dict(zip(("key", "value", "partition", "offset"), r))) for r in rows))
+def outcomes(spark, root):
+    return {r["outcome"]: r["rows"] for r in run_outcomes(spark, str(root / "outcomes")).collect()}
 
-    def run():
-        stream = spark.readStream.schema(ddl).json(str(source))
-        query = start_ingest(stream, *(str(tmp_path / n) for n in ("bronze", "dlq", "cp")))
-        query.awaitTermination()
-        return query
 
+def test_stream_routes_and_remembers(spark, tmp_path):
     good = message({})
-    drop("a.json", [(*good, 0, 1), (*good, 0, 2), ("wrong-key", '{"bad": true}', 0, 3)])
-    seen = run().lastProgress["observedMetrics"]["ingest"]
-    assert seen["seen"] == 3 and seen["dead_lettered"] == 1
-    drop("b.json", [(*good, 0, 4)])
-    run()
+    put(tmp_path, "a.json", [(*good, 0, 1), (*good, 0, 2), ("wrong-key", '{"bad": true}', 0, 3)])
+    query = run_stream(spark, tmp_path)
+    assert query.lastProgress["numInputRows"] == 3  # the source is read once
+    assert outcomes(spark, tmp_path) == {"accepted": 1, "duplicate": 1, "dead_lettered": 1}
+    put(tmp_path, "b.json", [(*good, 0, 4)])
+    run_stream(spark, tmp_path)
+    assert outcomes(spark, tmp_path) == {"accepted": 1, "duplicate": 2, "dead_lettered": 1}
     bronze = read_raw_events(spark, str(tmp_path / "bronze")).collect()
-    assert [(r["kafka_key"], r["symbol"], r["open"]) for r in bronze] == [(KEY, "AAA", 1234.5)]
-    dead = spark.read.json(str(tmp_path / "dlq" / "*")).collect()
+    assert [(r["kafka_key"], r["symbol"], r["open"], r["kafka_offset"]) for r in bronze] == [(KEY, "AAA", 87.25, 1)]
+    dead = spark.read.json(str(tmp_path / "dlq" / "query=*" / "batch=*")).collect()
     assert [(d["original_key"], d["payload"]) for d in dead] == [("wrong-key", '{"bad": true}')]
-    batch = spark.read.schema(ddl).json(str(source))
+    batch = spark.read.schema(DDL).json(str(tmp_path / "in"))
     counts = {r["outcome"]: r["rows"] for r in count_outcomes(batch).collect()}
     assert counts == {"accepted": 1, "duplicate": 2, "dead_lettered": 1}
     known = spark.createDataFrame([(KEY,)], "key string")
@@ -119,8 +137,38 @@ def test_stream_routes_and_remembers(spark, tmp_path):
     assert counts == {"accepted": 0, "duplicate": 3, "dead_lettered": 1}
 
 
-ARRAYS = {"t": [1722502800, 1722502860], "o": [1234, 1235], "h": [1236, 1237], "l": [1233, 1234], "c": [1235, 1236], "v": [10, 12]}
-RECORD = {"timestamp": 1722502800, "open": 1234, "high": 1236, "low": 1233, "close": 1235}
+def test_stream_keeps_the_first_event_of_each_key(spark, tmp_path):
+    rows = []
+    for n in range(12):
+        at = f"2026-03-11T02:{n:02d}:00Z"
+        for offset, volume in ((n, 1.0), (100 + n, 2.0), (50 + n, 3.0)):
+            changes = {"event_time": at, "volume": volume, "key": f"AAA|{at}|1m"}
+            rows.append((*message(changes), n % 2, offset))
+    put(tmp_path, "a.json", rows[::-1])
+    run_stream(spark, tmp_path)
+    bronze = read_raw_events(spark, str(tmp_path / "bronze")).collect()
+    assert sorted((r["kafka_offset"], r["volume"]) for r in bronze) == [(n, 1.0) for n in range(12)]
+    # A new checkpoint on the same layer reads everything again and adds nothing.
+    run_stream(spark, tmp_path, "other")
+    assert read_raw_events(spark, str(tmp_path / "bronze")).count() == 12
+    # A batch that is retried replaces its own folder and takes the same events.
+    first = query_id(spark, str(tmp_path / "cp"))
+    checked = E.validate_messages(spark.read.schema(DDL).json(str(tmp_path / "in")))
+    folder = f"query={first}/batch=0"
+    again = unclaimed(first_per_key(checked), str(tmp_path / "bronze"), folder)
+    write_bronze_batch(again, str(tmp_path / "bronze"), folder)
+    bronze = read_raw_events(spark, str(tmp_path / "bronze")).collect()
+    assert sorted((r["kafka_offset"], r["volume"]) for r in bronze) == [(n, 1.0) for n in range(12)]
+
+
+def test_empty_names_fall_through(spark):
+    built = E.build_events(bars(spark).withColumn("source", F.lit("")), ingest_run_id="").first()
+    assert built["source"] == "unknown" and len(built["ingest_run_id"]) == 36
+
+
+T0 = 1741658400  # 2025-03-11T02:00:00Z
+ARRAYS = {"t": [T0, T0 + 60], "o": [51, 53], "h": [55, 56], "l": [50, 52], "c": [54, 52], "v": [3, 8]}
+RECORD = {"timestamp": T0, "open": 51, "high": 55, "low": 50, "close": 54}
 
 
 def test_payload_shapes_and_errors(spark):
@@ -129,16 +177,19 @@ def test_payload_shapes_and_errors(spark):
         ({"data": ARRAYS}, 1, None, 2),
         ([RECORD], 5, None, 1),
         ([], 5, None, 0),
-        (ARRAYS | {"t": [1722502800000, 1722502860000]}, 1, None, 2),
-        (ARRAYS | {"t": ["2024-08-01T09:00:00Z", "2024-08-01T09:01:00Z"]}, 1, None, 2),
-        (ARRAYS | {"h": [1230, 1237]}, 1, "OHLC bounds are violated", 0),
-        (ARRAYS | {"t": [1722502800, 1722502800]}, 1, "duplicate timestamps", 0),
+        (ARRAYS | {"t": [T0 * 1000, (T0 + 60) * 1000]}, 1, None, 2),
+        (ARRAYS | {"t": ["2025-03-11T02:00:00Z", "2025-03-11T02:01:00Z"]}, 1, None, 2),
+        (ARRAYS | {"h": [40, 56]}, 1, "OHLC bounds are violated", 0),
+        (ARRAYS | {"t": [T0, T0]}, 1, "duplicate timestamps", 0),
         (ARRAYS | {"o": [1]}, 1, "arrays have inconsistent lengths", 0),
         (ARRAYS | {"v": [1, -1]}, 1, "negative volume", 0),
-        (ARRAYS | {"c": ["x", 1236]}, 1, "non-numeric values", 0),
+        (ARRAYS | {"c": ["x", 52]}, 1, "non-numeric values", 0),
         (ARRAYS | {"t": ["x", 1]}, 1, "invalid timestamp", 0),
         ({k: v for k, v in ARRAYS.items() if k != "c"}, 1, "missing fields: c", 0),
         (ARRAYS, 7, "unsupported resolution", 0),
+        ([RECORD | {"volume": None}], 5, "non-numeric values", 0),
+        (ARRAYS | {"v": None}, 1, "non-numeric values", 0),
+        ([RECORD | {"volume": 2}, RECORD | {"timestamp": T0 + 60}], 1, "non-numeric values", 0),
     ]
     rows = [(n, json.dumps(p), "aaa", str(r)) for n, (p, r, _, _) in enumerate(cases)]
     rows.append((len(cases), "{", "aaa", "1"))
@@ -152,4 +203,4 @@ def test_payload_shapes_and_errors(spark):
     assert got.count() == sum(k for _, _, _, k in cases)
     five = got.filter("timeframe = '5m'").first()
     assert five["volume"] == 0.0 and five["symbol"] == "AAA"
-    assert five["source_record_id"] == "api:AAA:2024-08-01T09:00:00+00:00"
+    assert five["source_record_id"] == "api:AAA:2025-03-11T02:00:00+00:00"
