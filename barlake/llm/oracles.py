@@ -16,28 +16,66 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec
 FROM s QUALIFY rank <= 20
 """
 
-URL_FILTER = """
-WITH u AS (
-  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
-  FROM pages
-), h AS (
-  SELECT page_id, url, regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1) AS raw,
-         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
-  FROM u
-), n AS (
-  SELECT *, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM h
-), r AS (
-  SELECT page_id, host, path, CASE
-    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
-    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
-    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
-    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
-    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
-  FROM n
-)
-SELECT page_id, host, path, rule,
-  CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
-FROM r
+def _rule(host: str, path: str) -> str:
+    rules = ("www.example.com/en/", "example.com/en/", "net/es/", "net/fr/", "com/")
+    cases = [
+        f"WHEN ({host} = '{h}' OR {host} LIKE '%.{h}') AND {path} LIKE '{h_path}%' THEN '{rule}'"
+        for rule in rules
+        for h, h_path in [(rule.partition("/")[0], "/" + rule.partition("/")[2])]
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+#: Aliases are what blocked urls reach over the links in both directions.
+URL_FILTER = rf"""
+WITH RECURSIVE tags AS (
+  SELECT url, regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS tag,
+         true AS canonical FROM pages
+  UNION ALL
+  SELECT url, regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0), false FROM pages
+), links AS (
+  SELECT url, replace(CASE WHEN canonical THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+    ELSE regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?\s*[\d.]*\s*[;,]?\s*url\s*=\s*["'']?\s*([^"''\s>]+)', 1) END,
+    '&amp;', '&') AS link
+  FROM tags WHERE url LIKE '%://%' AND tag <> ''
+), targets AS (
+  SELECT url, CASE
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN link LIKE '//%' THEN regexp_extract(url, '^([^:]*):', 1) || ':' || link
+    WHEN link LIKE '/%' THEN regexp_extract(url, '^([^:]*://[^/?#]*)', 1) || link
+    ELSE rtrim(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([^:]*://[^/]*(?:/.*/|/)?)', 1), '/') || '/' || link
+    END AS target
+  FROM links WHERE link <> ''
+), plain AS (
+  SELECT url, regexp_replace(url, '#.*$', '') AS p
+  FROM (SELECT url FROM pages UNION SELECT target FROM targets) WHERE url LIKE '%://%'
+), parts AS (
+  SELECT url, substr(p, 1, strpos(p, '://') - 1) AS scheme, substr(p, strpos(p, '://') + 3) AS rest FROM plain
+), nodes AS (
+  SELECT url, translate(scheme, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || '://' || host
+         || CASE WHEN tail = '' THEN '/' ELSE tail END AS node, host,
+         CASE WHEN tail = '' THEN '/' ELSE regexp_extract(tail, '^[^?#]*', 0) END AS path
+  FROM (SELECT *, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+          regexp_extract(rest, '(?s)^[^/?#]*(.*)$', 1) AS tail FROM parts)
+), edges AS (
+  SELECT a.node AS a, b.node AS b FROM targets t JOIN nodes a ON t.url = a.url JOIN nodes b ON t.target = b.url
+  WHERE a.node <> b.node
+), reached(node) AS (
+  SELECT node FROM nodes WHERE {_rule('host', 'path')} IN ('example.com/en/', 'net/es/', 'net/fr/')
+    AND node IN (SELECT a FROM edges UNION SELECT b FROM edges)
+  UNION
+  SELECT CASE WHEN e.a = r.node THEN e.b ELSE e.a END FROM reached r JOIN edges e ON r.node IN (e.a, e.b)
+), own AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages)
+), ruled AS (SELECT *, {_rule('host', 'path')} AS rule FROM own)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block'
+  WHEN rule IS NOT NULL THEN 'allow'
+  WHEN url IN (SELECT n.url FROM nodes n JOIN reached r USING (node)) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
 """
 
 EXACT_DEDUP = r"""

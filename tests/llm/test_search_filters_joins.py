@@ -5,10 +5,11 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
-from barlake.llm import jaccard_join, pivot_topk, repeat_index, url_filter
+from barlake.llm import jaccard_join, oracles, pivot_topk, repeat_index, url_filter
 from barlake.llm.common import WordHashes
 from barlake.llm.components import connected_components
 
@@ -115,7 +116,11 @@ def test_rules_and_aliases(spark):
         (15, "https://q.org/free", page("https://q.org/other"), "", None),
         (15, "https://q.org/free", page("https://q.org/other"), "", None),
     ]
-    out = url_filter.judge(frame(spark, rows, "page_id long, url string, html string, rule string, _url string")).collect()
+    table = frame(spark, rows, "page_id long, url string, html string, rule string, _url string")
+    out = url_filter.judge(table).collect()
+    pages = duckdb.connect()
+    pages.register("pages", table.select("page_id", "url", "html").toArrow())
+    assert sorted(pages.execute(oracles.URL_FILTER).fetchall(), key=str) == sorted(map(tuple, out), key=str)
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out}
     assert len(out) == len(rows)
     assert got[1] == ("example.com", "/en/a", "example.com/en/", "block")
