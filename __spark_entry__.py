@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from barlake.operators import dedupe, events, quality
+from barlake.operators import dedupe, events, labels, quality
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     add_features,
@@ -413,6 +413,40 @@ def _text_modules() -> tuple:
     )
 
 
+# ---- labels and gaps ------------------------------------------------------------
+
+
+def forward_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the quarter hours with their time split."""
+    made = labels.forward_labels(_quarter_hours(spark, sf_dir), 4, 0.05)
+    split = labels.time_split(F.col("event_time"), "2024-01-10", "2024-01-20")
+    return _naive(made.withColumns({"future_return": F.round("future_return", 9), "split": split}))
+
+
+def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.gap_report(_quarter_hours(spark, sf_dir))
+
+
+def missing_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _naive(labels.missing_bars(_quarter_hours(spark, sf_dir)))
+
+
+def signal_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels taken for signals: the report of their contract."""
+    made = labels.forward_labels(_quarter_hours(spark, sf_dir), 1, 0.01)
+    signals = made.withColumns(
+        {
+            "pipeline_run_id": F.lit("run"),
+            "strategy_name": F.lit("ahead"),
+            "signal": F.coalesce("label", F.lit("CLOSE")),
+            "position": F.when(F.col("label") == "LONG", 1).when(F.col("label") == "SHORT", -1).otherwise(0),
+            "confidence": F.abs("future_return"),
+            "close": F.lit(1.0),
+        }
+    )
+    return quality.contract_report(signals, labels.signal_rules(), labels.SIGNAL_KEY)
+
+
 # ---- contract -----------------------------------------------------------------
 
 
@@ -455,6 +489,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ft_status": feature_status,
         "ft_counts": feature_counts,
         "gold_layer": gold_layer,
+        "forward_labels": forward_labels,
+        "gap_report": gap_report,
+        "missing_bars": missing_bars,
+        "signal_contract": signal_contract,
     }
     for module in _text_modules():
         out |= module.queries()

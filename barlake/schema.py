@@ -24,6 +24,7 @@ PAYLOAD_ALIASES = {
 }
 EPOCH_MILLIS_FROM = 100_000_000_000
 EPSILON = 1e-12
+SIGNAL_POSITIONS = {"LONG": 1, "SHORT": -1, "HOLD": 0, "CLOSE": 0}
 # --- end of fixed values ---
 
 TIMEFRAME_MINUTES = {name: int(name[:-1]) for name in TIMEFRAMES}

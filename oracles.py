@@ -507,5 +507,29 @@ SELECT count(*) AS rows, CAST(116 AS BIGINT) AS feature_count,
   FROM coarse WINDOW w AS (PARTITION BY symbol ORDER BY event_time))
 SELECT 'features_v1' AS feature_set_version, symbol, timeframe, trading_date, feature_status,
        count(*) AS bars, round(sum(move), 4) + 0.0 AS moves FROM s GROUP BY ALL""",
+        "forward_labels": f"""{coarse15}, l AS (
+  SELECT *, lead(close, 4) OVER (PARTITION BY symbol ORDER BY event_time) / close - 1 AS r FROM coarse)
+SELECT symbol, event_time, timeframe, trading_date, CAST(4 AS BIGINT) AS horizon_bars,
+       CAST(0.05 AS DOUBLE) AS threshold, round(r, 9) AS future_return,
+       CASE WHEN r > 0.05 THEN 'LONG' WHEN r < -0.05 THEN 'SHORT' WHEN r IS NOT NULL THEN 'HOLD' END
+         AS label, 'labels_v1' AS label_version,
+       CASE WHEN event_time < TIMESTAMP '2024-01-10' THEN 'train'
+            WHEN event_time < TIMESTAMP '2024-01-20' THEN 'validation' ELSE 'test' END AS split
+FROM l""",
+        "gap_report": f"""{coarse15}, g AS (
+  SELECT symbol, timeframe, trading_date, count(*) AS present,
+         CAST((epoch(max(event_time)) - epoch(min(event_time))) / 900 + 1 AS BIGINT) AS expected
+  FROM coarse GROUP BY ALL)
+SELECT *, expected - present AS missing FROM g""",
+        "missing_bars": f"""{coarse15}, g AS (
+  SELECT symbol, timeframe, trading_date,
+         unnest(generate_series(low, high, INTERVAL 15 MINUTE)) AS event_time
+  FROM (SELECT symbol, timeframe, trading_date, min(event_time) AS low, max(event_time) AS high
+        FROM coarse GROUP BY ALL))
+SELECT * FROM g ANTI JOIN coarse USING (symbol, timeframe, trading_date, event_time)""",
+        "signal_contract": f"""{coarse15}, l AS (
+  SELECT lead(close) OVER (PARTITION BY symbol ORDER BY event_time) / close - 1 AS r FROM coarse)
+SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS duplicate_keys,
+       CASE WHEN max(abs(r)) > 1 THEN 4 END AS first_broken_rule FROM l""",
     }
     return out
