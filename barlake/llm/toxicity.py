@@ -24,7 +24,7 @@ from barlake.llm.common import in_fold
 from barlake.runtime import stage
 
 #: At most so many labelled training texts teach the lexicon and the model.
-TRAIN_ROWS = 60_000
+TRAIN_ROWS = 40_000
 MAX_TERMS, THRESHOLD = 200, 0.7
 #: Words on each side of a hit that its context window holds.
 WINDOW = 5
@@ -330,7 +330,8 @@ def training_rows(
     if known > rows:
         marks = marks.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < int(1_000_003 * rows / known))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return stage(texts.join(marks, "_id").select("text", "label"), "labelled")
+    # About `rows` ids at most, so their table is broadcast and no text is shuffled.
+    return stage(texts.join(F.broadcast(marks), "_id").select("text", "label"), "labelled")
 
 
 def score(
