@@ -7,13 +7,16 @@ least 0.75. Steps:
 2. Classes are dealt into blocks: a pair that links shares one of its rarest shingles,
    the first ``n - ceil(0.75 n) + 1`` of each set in one order of all shingles. Shingles
    that a bounded sample shows to be frequent come last in that order, which only saves
-   work: any order keeps every pair. Blocks over ``BLOCK`` members are cut into parts,
-   and every two parts meet in a task of their own.
-3. In a task, shingles are hashed into groups, and a class is the point of its counts by
-   group. An R-tree over the points bounds the overlap of two subtrees, and of two
-   points, by the sum of the smaller coordinates; pairs that could still link are
-   verified on the sets. Members that are connected already need no test, so a task
-   returns at most a spanning forest of its links, never all pairs.
+   work: any order keeps every pair. Blocks over ``BLOCK`` members are cut into parts of
+   which every two meet in a task of their own.
+3. Shingles are hashed into groups, and a class is the point of its counts by group. An
+   R-tree over a block's points bounds the overlap of two subtrees, and of two points, by
+   the sum of the smaller coordinates; members without a partner that could still link
+   drop out. The others' pairs are verified on their sets, again under a tree. First each
+   member goes to the fullest of its blocks alone, twice over; blocks whose members are
+   all connected by then need no further test, and the rest are verified whole. Pairs that
+   are connected already are skipped, so a task returns at most a spanning forest of its
+   links, never all pairs.
 4. Connected components of the links give every document its component.
 """
 
@@ -32,8 +35,12 @@ from barlake.llm.components import connected_components
 from barlake.runtime import stage
 
 WORDS, PERCENT = 5, 75
-#: Members of a block part, points of a tree leaf.
-BLOCK, LEAF = 1_024, 24
+#: Rounds in which a member goes to one block only.
+ROUNDS = 2
+#: Members of a block part, points of a tree leaf, groups of a block's points.
+BLOCK, LEAF, GROUPS = 1_024, 24, 128
+#: Up to so many class names are broadcast to the scan of the texts; more are shuffled.
+BROADCAST_ROWS = 1_000_000
 #: Documents that the frequent shingles are taken from, and how many of them hold one.
 SAMPLE, FREQUENT = 20_000, 4
 
@@ -43,7 +50,7 @@ def shingles(words: list[bytes], hashes: WordHashes, size: int = WORDS) -> np.nd
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    own = np.array([*map(hashes.__getitem__, words)], dtype=np.uint64)
+    own = hashes.of(words)
     k = min(size, n)
     value = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
@@ -108,14 +115,48 @@ def _leaf_pairs(a: _Node, b: _Node, percent: int) -> Iterator[tuple[_Node, _Node
             yield a, b
 
 
-def links(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets``, or between the two sides if there are two."""
+def _trees(counts: np.ndarray, n: np.ndarray, side: np.ndarray) -> tuple[_Node, _Node]:
+    """The trees to hold against each other: one with itself, or those of the two sides."""
+    trees = [_Node(np.flatnonzero(side == s), counts, n) for s in np.unique(side)]
+    return trees[0], trees[-1]
+
+
+def _bounds(a: _Node, b: _Node, counts: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Overlap bounds of two leaves' points, and which pairs could link (each pair once)."""
+    bound = np.minimum(counts[a.members][:, None, :], counts[b.members][None, :, :]).sum(axis=2)
+    could = _can_link(bound, n[a.members][:, None], n[b.members][None, :], percent)
+    if a is b:
+        could &= np.tri(len(a.members), k=-1, dtype=bool)
+    return bound, could
+
+
+def count_vector(own: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    return np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
+def could_link(counts: np.ndarray, n: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which points have a partner within the bound."""
+    found = np.zeros(len(n), bool)
+    for a, b in _leaf_pairs(*_trees(counts, n, side), percent):
+        if not (found[a.members].all() and found[b.members].all()):
+            _, could = _bounds(a, b, counts, n, percent)
+            found[a.members[could.any(axis=1)]] = True
+            found[b.members[could.any(axis=0)]] = True
+    return found
+
+
+def links(
+    sets: list[np.ndarray], side: np.ndarray, joined: list | None = None, percent: int = PERCENT
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets``, or between the two sides if there are two.
+
+    Sets with equal entries in ``joined`` are connected from the start.
+    """
     n = np.array([len(s) for s in sets], dtype=np.int64)
     groups = 1 << int(np.clip(int(np.median(n)) // 2, 8, 256)).bit_length()
-    counts = np.zeros((len(sets), groups), np.int32)
-    for i, own in enumerate(sets):
-        counts[i] = np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-    root = list(range(len(sets)))
+    counts = np.array([count_vector(own, groups) for own in sets], dtype=np.int32)
+    first: dict = {}
+    root = [first.setdefault(j, i) for i, j in enumerate(joined)] if joined else list(range(len(sets)))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -123,14 +164,9 @@ def links(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCENT) -> l
             i = root[i]
         return i
 
-    sides = [np.flatnonzero(side == s) for s in np.unique(side)]
-    trees = [_Node(members, counts, n) for members in sides]
     out = []
-    for a, b in _leaf_pairs(trees[0], trees[-1], percent):
-        bound = np.minimum(counts[a.members][:, None, :], counts[b.members][None, :, :]).sum(axis=2)
-        could = _can_link(bound, n[a.members][:, None], n[b.members][None, :], percent)
-        if a is b:
-            could &= np.tri(len(a.members), k=-1, dtype=bool)
+    for a, b in _leaf_pairs(*_trees(counts, n, side), percent):
+        bound, could = _bounds(a, b, counts, n, percent)
         near = np.argwhere(could)
         for i, j in near[np.argsort(-bound[could], kind="stable")].tolist():
             x, y = int(a.members[i]), int(b.members[j])
@@ -158,18 +194,24 @@ def _sets(batch: pa.RecordBatch, hashes: WordHashes) -> Iterator[np.ndarray]:
         hashes.trim()
 
 
+def _ref(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        sets = [(set_digest(s), len(s)) for s in _sets(batch, hashes)]
+        sets = [(set_digest(s), len(s), count_vector(s).astype(np.uint32).tobytes()) for s in _sets(batch, hashes)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("_id"),
                 batch.column("_hash"),
                 pa.array([s[0] for s in sets], pa.binary()),
+                pa.array([_ref(s[0]) for s in sets], pa.int64()),
                 pa.array([s[1] for s in sets], pa.int64()),
+                pa.array([s[2] for s in sets], pa.binary()),
             ],
-            names=["_id", "_hash", "digest", "n"],
+            names=["_id", "_hash", "digest", "ref", "n", "counts"],
         )
 
 
@@ -183,6 +225,7 @@ def _frequent_shingles(texts: DataFrame, rows: int) -> np.ndarray:
         for batch in batches:
             own = [*_sets(batch, hashes)]
             value, times = np.unique(np.concatenate(own) if own else np.zeros(0, np.uint64), return_counts=True)
+            value, times = value[times > 1], times[times > 1]  # seen once here: hardly frequent
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times)], names=["s", "c"])
 
     counts = some.mapInArrow(run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c"))
@@ -204,7 +247,7 @@ def _emit_rarest(shards: int, carried) -> callable:
                     seen.add(digest)
                     part = rarest(own, frequent)
                     values.append(part)
-                    refs.append(np.full(len(part), int.from_bytes(digest[:8], "little", signed=True), np.int64))
+                    refs.append(np.full(len(part), _ref(digest), np.int64))
                     sizes.append(np.full(len(part), len(own), np.uint32))
             if not values:
                 continue
@@ -239,7 +282,7 @@ def _blocks(table: pa.Table) -> pa.Table:
     keys, lefts, rights, sides, members = [], [], [], [], []
     for lo, hi in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
         own, size = ref[lo:hi], n[lo:hi]
-        key = hashlib.blake2b(np.sort(own).tobytes(), digest_size=16).digest()
+        key = int.from_bytes(hashlib.blake2b(np.sort(own).tobytes(), digest_size=8).digest(), "little", signed=True)
         parts = range(0, len(own), BLOCK)
         for a in parts:
             for b in parts:
@@ -255,7 +298,7 @@ def _blocks(table: pa.Table) -> pa.Table:
                     members.append(chosen)
     return pa.table(
         {
-            "key": pa.array(keys, pa.binary()),
+            "key": pa.array(keys, pa.int64()),
             "a": pa.array(lefts, pa.int32()),
             "b": pa.array(rights, pa.int32()),
             "side": pa.array(sides, pa.int32()),
@@ -264,32 +307,58 @@ def _blocks(table: pa.Table) -> pa.Table:
     )
 
 
+def _prune(table: pa.Table) -> pa.Table:
+    """Members of a block part that could link with another one by their points."""
+    counts = np.array([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()], dtype=np.int32)
+    kept = could_link(counts, table["n"].to_numpy(), table["side"].to_numpy())
+    return table.select(["key", "a", "b", "side", "ref"]).filter(pa.array(kept))
+
+
+_BLOCK_KEY = ["key", "a", "b"]
+
+
+def _fullest(members: DataFrame) -> DataFrame:
+    """Each member in one of its blocks, the one with the most members."""
+    sizes = members.groupBy(*_BLOCK_KEY).agg(F.count("*").alias("size"))
+    block = F.struct(*_BLOCK_KEY, "side")
+    best = F.max_by(block, F.struct("size", *_BLOCK_KEY)).alias("t")
+    return members.join(sizes, _BLOCK_KEY).groupBy("digest").agg(best).select("t.*", "digest")
+
+
+def _open_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their component, of blocks that hold more than one component."""
+    named = members.drop("root").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    named = named.withColumn("root", F.coalesce("root", "digest"))
+    mixed = named.groupBy(*_BLOCK_KEY).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return named.join(mixed.select(*_BLOCK_KEY), _BLOCK_KEY, "left_semi")
+
+
 def _member_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         own = [*_sets(batch, hashes)]
         digests = [set_digest(s) for s in own]
-        refs = [int.from_bytes(d[:8], "little", signed=True) for d in digests]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(refs, pa.int64()), pa.array(digests, pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())],
-            names=["ref", "digest", "own"],
+            [pa.array(digests, pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], names=["digest", "own"]
         )
 
 
 def _verify(table: pa.Table) -> pa.Table:
-    digests, first = [], {}
-    side, own = [], []
-    for digest, at, packed in zip(table["digest"].to_pylist(), table["side"].to_pylist(), table["own"]):
-        if digest not in first:
-            first[digest] = True
-            digests.append(digest)
+    place: dict[bytes, int] = {}  # a text that is there twice counts once
+    columns = (table[c].to_pylist() for c in ("digest", "side", "root"))
+    side, root, own = [], [], []
+    for n, (digest, at, joined) in enumerate(zip(*columns)):
+        if digest not in place:
+            place[digest] = len(side)
             side.append(at)
-            own.append(np.frombuffer(packed.as_py(), np.uint64))
-    found = links(own, np.array(side)) if len(own) > 1 else []
+            root.append(joined)
+            own.append(np.frombuffer(table["own"][n].as_py(), np.uint64))
+    names = list(place)
+    found = links(own, np.array(side), root) if len(own) > 1 else []
     return pa.table(
         {
-            "a": pa.array([digests[i] for i, _ in found], pa.binary()),
-            "b": pa.array([digests[j] for _, j in found], pa.binary()),
+            "a": pa.array([names[i] for i, _ in found], pa.binary()),
+            "b": pa.array([names[j] for _, j in found], pa.binary()),
         }
     )
 
@@ -297,28 +366,46 @@ def _verify(table: pa.Table) -> pa.Table:
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Staged (_id, digest, n, component_id): one row for each row of ``docs``."""
     texts = _texts(docs, id_col, text_col)
-    described = stage(texts.mapInArrow(_describe, "_id long, _hash long, digest binary, n long"), "join-sets")
+    described = stage(
+        texts.mapInArrow(_describe, "_id long, _hash long, digest binary, ref long, n long, counts binary"), "join-sets"
+    )
     rows = described.count()
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent_shingles(texts, rows))
     shards = 1 << min(16, max(4, (rows // 500).bit_length()))
     packed = texts.mapInArrow(_emit_rarest(shards, frequent), "shard int, s binary, ref binary, n binary")
-    blocks = packed.groupBy("shard").applyInArrow(_blocks, "key binary, a int, b int, side int, ref long")
-    members = stage(blocks.distinct(), "join-blocks")
-    # One text for each class that is in a block.
-    chosen = described.groupBy("digest").agg(F.min(F.struct("_hash", "_id")).alias("r"))
-    wanted = chosen.select(F.col("r._hash").alias("_hash"), F.col("r._id").alias("i"), "digest")
+    member = "key long, a int, b int, side int, ref long"
+    blocks = stage(packed.groupBy("shard").applyInArrow(_blocks, member).distinct(), "join-blocks")
+    points = described.groupBy("ref").agg(F.min("counts").alias("counts"), F.min("n").alias("n"))
+    pruned = blocks.join(points, "ref").groupBy("key", "a", "b").applyInArrow(_prune, member)
+    # One text for each class that is left in a block; a class is named by its digest now.
+    chosen = described.groupBy("digest", "ref").agg(F.min(F.struct("_hash", "_id")).alias("r"))
+    members = stage(
+        stage(pruned, "join-survivors").join(chosen.select("ref", "digest"), "ref").withColumn("root", F.col("digest")),
+        "join-members",
+    )
     holders = stage(
-        wanted.mapInArrow(_with_ref, "_hash long, i long, ref long").join(members.select("ref").distinct(), "ref", "left_semi"),
+        chosen.join(members.select("digest").distinct(), "digest", "left_semi").select(
+            F.col("r._hash").alias("h"), F.col("r._id").alias("i")
+        ),
         "join-holders",
     )
-    carried = texts.join(
-        holders.select(F.col("_hash").alias("h"), "i"), (F.col("_hash") == F.col("h")) & F.col("_id").eqNullSafe(F.col("i"))
-    )
-    sets = stage(
-        carried.select("text").mapInArrow(_member_sets, "ref long, digest binary, own binary"), "join-member-sets"
-    )
-    tasks = members.join(sets, "ref").groupBy("key", "a", "b")
-    found = tasks.applyInArrow(_verify, "a binary, b binary")
+    few = holders.count() <= BROADCAST_ROWS
+    own = (F.col("_hash") == F.col("h")) & F.col("_id").eqNullSafe(F.col("i"))
+    carried = texts.join(F.broadcast(holders) if few else holders, own)
+    sets = stage(carried.select("text").mapInArrow(_member_sets, "digest binary, own binary"), "join-member-sets")
+
+    def verified(tasks: DataFrame) -> DataFrame:
+        found = tasks.join(sets, "digest").groupBy(*_BLOCK_KEY).applyInArrow(_verify, "a binary, b binary")
+        return stage(found, "join-links")
+
+    found = None
+    for _ in range(ROUNDS):
+        single = _fullest(members).join(members.select("digest", "root").distinct(), "digest")
+        more = verified(single)
+        found = more if found is None else found.unionByName(more)
+        roots = connected_components(found, "join-components")
+        members = stage(_open_blocks(members, roots), "join-open-blocks")
+    found = found.unionByName(verified(members))
     roots = connected_components(found.distinct(), "join-components")
     classes = described.groupBy("digest").agg(F.min("_id").alias("first"))
     rooted = classes.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
@@ -331,14 +418,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _with_ref(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        refs = [int.from_bytes(d[:8], "little", signed=True) for d in batch.column("digest").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_hash"), batch.column("i"), pa.array(refs, pa.int64())], names=["_hash", "i", "ref"]
-        )
-
-
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id.
 
