@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.runtime import stage
@@ -39,15 +42,39 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered; ``trim`` keeps the memory bounded."""
 
+    def __init__(self):
+        super().__init__()
+        self.table = np.zeros(1 << 16, np.uint64)
+
     def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
+        place = len(self)
+        if place == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[place] = xxhash.xxh64_intdigest(word)
+        self[word] = place
+        return place
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.table[places]
 
     def trim(self, most: int = 500_000) -> None:
         if len(self) > most:
             self.clear()
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for what is staged meanwhile: whole texts make large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def record_batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)

@@ -29,17 +29,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import mix, record_batch
+from barlake.llm.common import arrow_rows, mix, record_batch
 from barlake.runtime import stage
 
 #: Fixed value of the contract: bytes of a repeated string.
 LENGTH = 50
-#: Bytes of a minimizer; bytes that are hashed at once.
-GRAM, CHUNK = 16, 4_000_000
+#: Bytes of a minimizer; windows that are hashed at once, bytes that are sent at once.
+GRAM, BLOCK, CHUNK = 16, 1 << 18, 4_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _PLACE = np.uint64((1 << 24) - 1)
 NO_ID = (1 << 63) - 1
+#: Texts of an Arrow batch.
+BATCH_ROWS = 1_000
+#: Partly covered stretches that are looked through at once.
+MIXED = 200_000
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -56,11 +60,11 @@ def stretches(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
 
     Windows lie inside one text. The minimizer is the least hash of a window, the first of
     equal ones, which depends on the window's bytes alone. Bytes are hashed in blocks of
-    ``CHUNK`` windows; a stretch over a border comes in two parts.
+    ``BLOCK`` windows; a stretch over a border comes in two parts.
     """
     found = [
-        _block_stretches(data[lo : lo + CHUNK + LENGTH - 1], ends - lo, lo)
-        for lo in range(0, max(1, len(data) - LENGTH + 1), CHUNK)
+        _block_stretches(data[lo : lo + BLOCK + LENGTH - 1], ends - lo, lo)
+        for lo in range(0, max(1, len(data) - LENGTH + 1), BLOCK)
     ]
     return tuple(map(np.concatenate, zip(*found)))
 
@@ -134,24 +138,38 @@ class RunIndex:
         self.sample, self.partner, self.shared = own[by_text], other[by_text], shared[by_text]
 
     def _suffix_order(self, symbols: np.ndarray) -> np.ndarray:
-        """Suffixes up to their text's end in order, by doubling from six bytes on."""
+        """Suffixes up to their text's end in order, by doubling.
+
+        A key packs the ranks of two halves with the position, so that plain sorting of
+        numbers sorts positions too; positions also break ties. Beyond 2^21 symbols the
+        position no longer fits, and an index sort takes its place.
+        """
         n, room = self.size, self.to_stop
+        bits = n.bit_length()
+        packed = 3 * bits <= 63
+        mask = (1 << bits) - 1
+        wide = int(symbols.max()).bit_length()
+        size = max(1, (63 - bits if packed else 63) // wide)
         key = np.zeros(n, np.int64)
-        for k in range(6):
-            key <<= 9
+        for k in range(size):
+            key <<= wide
             key[: n - k] |= np.where(room[: n - k] >= k, symbols[k:], 0)
-        size, longest = 6, int(room.max()) + 1
+        places, longest = np.arange(n), int(room.max()) + 1
         while True:
-            order = np.argsort(key)
-            ranked = key[order]
+            if packed:
+                ranked = np.sort(key << bits | places)
+                order, ranked = ranked & mask, ranked >> bits
+            else:
+                order = np.argsort(key, kind="stable")
+                ranked = key[order]
+            new = np.ones(n, bool)
+            new[1:] = ranked[1:] != ranked[:-1]
             rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[1], ranked[1:] != ranked[:-1]]))
-            if rank[order[-1]] == n:
+            rank[order] = np.cumsum(new)
+            if size >= longest or new.all():
                 return order
-            if size >= longest:
-                return np.argsort(rank, kind="stable")
-            key = rank * (n + 1)
-            key[: n - size] += np.where(room[: n - size] >= size, rank[size:], 0)
+            key = rank << bits
+            key[: n - size] |= np.where(room[: n - size] >= size, rank[size:], 0)
             size *= 2
 
     def _shared(self, symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -246,8 +264,8 @@ def _shared_minimizers(table: pa.Table) -> pa.Table:
 def _cut_stretches(shards: int):
     """Tasks send the stretches of shared minimizers, packed by hash range."""
     shift = np.uint64(64 - shards.bit_length() + 1)
-    names = ["shard", "ref", "first", "start", "windows", "data"]
-    kinds = [pa.int32(), *[pa.binary()] * 5]
+    names = ["shard", "ref", "first", "start", "entry", "windows", "data"]
+    kinds = [pa.int32(), *[pa.binary()] * 6]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -273,15 +291,20 @@ def _cut_stretches(shards: int):
                 for lo, hi in zip(edges[:-1], edges[1:]):
                     own = order[lo:hi]
                     t, s, w = text[own], start[own], windows[own]
-                    pieces = [whole[a:b] for a, b in zip(s.tolist(), (s + w + LENGTH - 1).tolist())]
+                    # Each distinct stretch is sent once, whatever a text repeats.
+                    seen: dict[bytes, int] = {}
+                    entry = [
+                        seen.setdefault(whole[a:b], len(seen)) for a, b in zip(s.tolist(), (s + w + LENGTH - 1).tolist())
+                    ]
                     rows.append(
                         (
                             int(shard[own[0]]),
                             refs[at + t].tobytes(),
                             firsts[at + t].tobytes(),
                             (s - begin[t]).tobytes(),
-                            w.astype(np.uint8).tobytes(),
-                            b"".join(pieces),
+                            np.array(entry, np.uint32).tobytes(),
+                            np.array([len(x) - LENGTH + 1 for x in seen], np.uint8).tobytes(),
+                            b"".join(seen),
                         )
                     )
                 yield record_batch(rows, names, kinds)
@@ -290,40 +313,48 @@ def _cut_stretches(shards: int):
 
 
 def _mark(table: pa.Table) -> pa.Table:
-    """Covered intervals (ref, packed starts and ends) of one range's stretches."""
-    columns = {c: table[c].to_pylist() for c in ("ref", "first", "start", "windows", "data")}
-    ref, first, start = (np.concatenate([np.frombuffer(x, np.int64) for x in columns[c]]) for c in ("ref", "first", "start"))
-    windows = np.concatenate([np.frombuffer(x, np.uint8) for x in columns["windows"]]).astype(np.int64)
-    texts: list[bytes] = []
-    done = 0
-    for packed, counts in zip(columns["data"], columns["windows"]):
-        at = 0
-        for w in counts:
-            texts.append(packed[at : at + w + LENGTH - 1])
-            at += w + LENGTH - 1
-        done += len(counts)
+    """Covered intervals (ref, a, b) of one range's stretches."""
+    ref, first, start = (
+        np.concatenate([np.frombuffer(x, np.int64) for x in table[c].to_pylist()]) for c in ("ref", "first", "start")
+    )
     # Equal stretches are one entry of the index, under their smallest id.
     number: dict[bytes, int] = {}
-    entry = np.array([number.setdefault(t, len(number)) for t in texts], dtype=np.int64)
+    entries = []
+    for entry, windows, data in zip(*(table[c].to_pylist() for c in ("entry", "windows", "data"))):
+        ends = np.cumsum(np.frombuffer(windows, np.uint8).astype(np.int64) + LENGTH - 1)
+        own = [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        numbers = np.array([number.setdefault(t, len(number)) for t in own], dtype=np.int64)
+        entries.append(numbers[np.frombuffer(entry, np.uint32)])
+    entry = np.concatenate(entries)
     least = np.full(len(number), NO_ID, np.int64)
     np.minimum.at(least, entry, first)
     distinct = list(number)
+    lengths = np.array([len(t) for t in distinct])
+    begin = np.cumsum(lengths + 1) - lengths - 1
+    windows = lengths - LENGTH + 1
     holder = first_holders(distinct, least)
-    begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in distinct])])[:-1]
-    # Every window of every stretch against the first holder of its bytes.
-    owner = np.repeat(np.arange(len(entry)), windows)
-    inner = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    hit = holder[begin[entry[owner]] + inner] < first[owner]
-    owner, at = owner[hit], (start[owner] + inner)[hit]
-    order = np.lexsort((at, ref[owner]))
-    r, at = ref[owner][order], at[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (r[1:] != r[:-1]) | (at[1:] > at[:-1] + LENGTH)
+    # Most stretches are covered whole or not at all; the others go window by window.
+    inside = np.repeat(begin - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+    edges = np.cumsum(windows) - windows
+    low, high = np.minimum.reduceat(holder[inside], edges), np.maximum.reduceat(holder[inside], edges)
+    whole = high[entry] < first
+    found = [(ref[whole], start[whole], windows[entry[whole]])]
+    mixed = np.flatnonzero((low[entry] < first) & ~whole)
+    for lo in range(0, len(mixed), MIXED):
+        own = mixed[lo : lo + MIXED]
+        count = windows[entry[own]]
+        of = np.repeat(own, count)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        hit = holder[begin[entry[of]] + at] < first[of]
+        found.append((ref[of[hit]], start[of[hit]] + at[hit], np.ones(hit.sum(), np.int64)))
+    r, a, w = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((a, r))
+    r, a, b = r[order], a[order], (a + w)[order] + LENGTH - 1
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (a[1:] > b[:-1])
     begins = np.flatnonzero(new)
-    ends = np.append(begins[1:], len(at)) - 1 if len(at) else begins
-    return pa.table(
-        {"ref": pa.array(r[begins]), "a": pa.array(at[begins]), "b": pa.array(at[ends] + LENGTH if len(at) else at)}
-    )
+    last = np.append(begins[1:], len(r))[: len(begins)] - 1
+    return pa.table({"ref": pa.array(r[begins]), "a": pa.array(a[begins]), "b": pa.array(b[last])})
 
 
 def _pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,25 +400,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts.select("ref", "id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")),
         "repeat-documents",
     )
-    shards = 1 << min(15, max(3, (rows.count() // 400).bit_length()))
-    long = texts.where(F.octet_length("text") >= LENGTH)
-    found = long.select("ref", "text").mapInArrow(_find_minimizers(shards), "shard int, m binary, ref binary")
-    shared = found.groupBy("shard").applyInArrow(_shared_minimizers, "ref long, m long")
-    wanted = stage(shared.groupBy("ref").agg(F.collect_list("m").alias("ms")), "repeat-minimizers")
-    classes = rows.groupBy("ref").agg(F.min("id").alias("first"))
-    held = wanted.join(classes, "ref").withColumnRenamed("ref", "r")
-    packed = long.mapInArrow(_pack_text, "ref long, id long, text binary")
-    own = (F.col("ref") == F.col("r")) & F.col("id").eqNullSafe(F.col("first"))
-    carried = packed.join(held, own).select("ref", F.coalesce("first", F.lit(NO_ID)).alias("first"), "ms", "text")
-    cut = carried.mapInArrow(
-        _cut_stretches(shards), "shard int, ref binary, first binary, start binary, windows binary, data binary"
-    )
-    marks = stage(cut.groupBy("shard").applyInArrow(_mark, "ref long, a long, b long"), "repeat-marks")
-    spans = marks.groupBy("ref").agg(F.collect_set(F.struct("a", "b")).alias("spans")).join(classes, "ref").withColumnRenamed("ref", "r")
-    results = stage(
-        packed.join(spans, own).select("ref", "text", "spans").mapInArrow(_cut_out, "ref long, removed long, spans long, sha string"),
-        "repeat-results",
-    ).dropDuplicates(["ref"])
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        shards = 1 << min(15, max(3, (rows.count() // 400).bit_length()))
+        long = texts.where(F.octet_length("text") >= LENGTH)
+        found = long.select("ref", "text").mapInArrow(_find_minimizers(shards), "shard int, m binary, ref binary")
+        shared = found.groupBy("shard").applyInArrow(_shared_minimizers, "ref long, m long")
+        wanted = stage(shared.groupBy("ref").agg(F.collect_list("m").alias("ms")), "repeat-minimizers")
+        classes = rows.groupBy("ref").agg(F.min("id").alias("first"))
+        held = wanted.join(classes, "ref").withColumnRenamed("ref", "r")
+        packed = long.mapInArrow(_pack_text, "ref long, id long, text binary")
+        own = (F.col("ref") == F.col("r")) & F.col("id").eqNullSafe(F.col("first"))
+        carried = packed.join(held, own).select("ref", F.coalesce("first", F.lit(NO_ID)).alias("first"), "ms", "text")
+        cut = carried.mapInArrow(
+            _cut_stretches(shards), "shard int, ref binary, first binary, start binary, entry binary, windows binary, data binary"
+        )
+        marks = stage(cut.groupBy("shard").applyInArrow(_mark, "ref long, a long, b long"), "repeat-marks")
+        spans = marks.groupBy("ref").agg(F.collect_set(F.struct("a", "b")).alias("spans")).join(classes, "ref").withColumnRenamed("ref", "r")
+        results = stage(
+            packed.join(spans, own).select("ref", "text", "spans").mapInArrow(_cut_out, "ref long, removed long, spans long, sha string"),
+            "repeat-results",
+        ).dropDuplicates(["ref"])
     named = classes.join(results.withColumnRenamed("sha", "kept"), "ref", "left").withColumnRenamed("ref", "r")
     joined = rows.join(named, F.col("ref") == F.col("r"))
     # A later copy of a whole text is covered by the first one from end to end.
