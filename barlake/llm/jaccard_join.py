@@ -37,7 +37,7 @@ from barlake.runtime import stage
 WORDS, PERCENT = 5, 75
 #: Rounds in which a member goes to one block only.
 ROUNDS = 2
-#: Members of a block part, points of a tree leaf, groups of a block's points.
+#: Members of a block part, points of a tree leaf, groups of a point at least.
 BLOCK, LEAF, GROUPS = 1_024, 24, 128
 #: Up to so many class names are broadcast to the scan of the texts; more are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -130,18 +130,36 @@ def _bounds(a: _Node, b: _Node, counts: np.ndarray, n: np.ndarray, percent: int)
     return bound, could
 
 
-def count_vector(own: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+def count_vector(own: np.ndarray, groups: int = 0) -> np.ndarray:
+    """Counts by group: the low bits of a shingle, at least a group for every four shingles.
+
+    With fewer groups the counts of unrelated long texts would agree too well.
+    """
+    groups = groups or max(GROUPS, 1 << (len(own) // 4).bit_length())
     return np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
 
 
-def could_link(counts: np.ndarray, n: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which points have a partner within the bound."""
+def _fold(point: np.ndarray, groups: int) -> np.ndarray:
+    """A point over fewer groups, as its shingles would have given it."""
+    return point.reshape(-1, groups).sum(axis=0)
+
+
+def could_link(points: list[np.ndarray], n: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which points have a partner within the bound; the tree works on the coarsest groups."""
     found = np.zeros(len(n), bool)
+    counts = np.array([_fold(p, GROUPS) for p in points], dtype=np.int32)
     for a, b in _leaf_pairs(*_trees(counts, n, side), percent):
-        if not (found[a.members].all() and found[b.members].all()):
-            _, could = _bounds(a, b, counts, n, percent)
-            found[a.members[could.any(axis=1)]] = True
-            found[b.members[could.any(axis=0)]] = True
+        if found[a.members].all() and found[b.members].all():
+            continue
+        _, could = _bounds(a, b, counts, n, percent)
+        for i, j in np.argwhere(could).tolist():
+            x, y = a.members[i], b.members[j]
+            if found[x] and found[y]:
+                continue
+            groups = min(len(points[x]), len(points[y]))
+            bound = np.minimum(_fold(points[x], groups), _fold(points[y], groups)).sum()
+            if _can_link(int(bound), n[x], n[y], percent):
+                found[x] = found[y] = True
     return found
 
 
@@ -153,7 +171,7 @@ def links(
     Sets with equal entries in ``joined`` are connected from the start.
     """
     n = np.array([len(s) for s in sets], dtype=np.int64)
-    groups = 1 << int(np.clip(int(np.median(n)) // 2, 8, 256)).bit_length()
+    groups = 1 << int(np.clip(int(np.median(n)) // 2, 8, 2048)).bit_length()
     counts = np.array([count_vector(own, groups) for own in sets], dtype=np.int32)
     first: dict = {}
     root = [first.setdefault(j, i) for i, j in enumerate(joined)] if joined else list(range(len(sets)))
@@ -309,8 +327,8 @@ def _blocks(table: pa.Table) -> pa.Table:
 
 def _prune(table: pa.Table) -> pa.Table:
     """Members of a block part that could link with another one by their points."""
-    counts = np.array([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()], dtype=np.int32)
-    kept = could_link(counts, table["n"].to_numpy(), table["side"].to_numpy())
+    points = [np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]
+    kept = could_link(points, table["n"].to_numpy(), table["side"].to_numpy())
     return table.select(["key", "a", "b", "side", "ref"]).filter(pa.array(kept))
 
 

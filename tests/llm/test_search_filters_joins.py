@@ -263,11 +263,14 @@ def test_components_lose_no_link(spark, monkeypatch):
 def test_tree_bounds_never_lose_a_link():
     hashes = WordHashes()
     sets = [jaccard_join.shingles((t or "").encode().split(), hashes) for _, t, *_ in near_rows()]
-    sets = [s for s in sets if len(s)]
+    rng = np.random.default_rng(4)
+    sets = [s for s in sets if len(s)] + [np.unique(rng.integers(0, 1 << 62, 1500, dtype=np.uint64)) for _ in range(3)]
+    sets.append(np.union1d(sets[-1], rng.integers(0, 1 << 62, 200, dtype=np.uint64)))
     linked = {(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
-    points = np.array([jaccard_join.count_vector(s) for s in sets], np.int32)
+    points = [jaccard_join.count_vector(s) for s in sets]
     possible = jaccard_join.could_link(points, np.array([len(s) for s in sets]), np.zeros(len(sets), int))
     assert all(possible[i] and possible[j] for i, j in linked)
+    assert possible[-1] and possible[-2] and not possible[-3] and not possible[-4]
     roots, mine = Roots(), Roots()
     for i, j in linked:
         roots.join(i, j)
