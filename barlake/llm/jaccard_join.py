@@ -14,9 +14,10 @@ least 0.75. Steps:
    the sum of the smaller coordinates; members without a partner that could still link
    drop out. The others' pairs are verified on their sets, again under a tree. First each
    member goes to the fullest of its blocks alone, twice over; blocks whose members are
-   all connected by then need no further test, and the rest are verified whole. Pairs that
-   are connected already are skipped, so a task returns at most a spanning forest of its
-   links, never all pairs.
+   all connected by then need no further test. Blocks that are left and hang together
+   become one task if they have at most ``FAMILY`` members, so that a set is sent once for
+   all its blocks; others stay apart. Pairs that are connected already are skipped, so a
+   task returns at most a spanning forest of its links, never all pairs.
 4. Connected components of the links give every document its component.
 """
 
@@ -35,6 +36,8 @@ from barlake.llm.components import connected_components
 from barlake.runtime import stage
 
 WORDS, PERCENT = 5, 75
+#: Members that blocks which hang together may have to become one task.
+FAMILY = 4_096
 #: Rounds in which a member goes to one block only.
 ROUNDS = 2
 #: Members of a block part, points of a tree leaf, groups of a point at least.
@@ -351,6 +354,25 @@ def _open_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(mixed.select(*_BLOCK_KEY), _BLOCK_KEY, "left_semi")
 
 
+def _families(members: DataFrame) -> DataFrame:
+    """Members of blocks that hang together as one task, as far as these are small."""
+    name = F.concat(F.lit("block "), F.col("key").cast("string")).cast("binary")
+    edges = members.select(F.col("digest").alias("a"), name.alias("b")).distinct()
+    family = connected_components(edges, "join-families").select(
+        F.col("node").alias("digest"), F.col("root").alias("family")
+    )
+    named = members.join(family, "digest")
+    sizes = named.groupBy("family").agg(F.count_distinct("digest").alias("size"))
+    small = F.col("size") <= FAMILY
+    tasks = named.join(sizes, "family").select(
+        F.when(small, F.xxhash64("family")).otherwise(F.col("key")).alias("key"),
+        *[F.when(small, F.lit(0)).otherwise(F.col(c)).alias(c) for c in ("a", "b", "side")],
+        "digest",
+        "root",
+    )
+    return tasks.distinct()
+
+
 def _member_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -423,7 +445,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         found = more if found is None else found.unionByName(more)
         roots = connected_components(found, "join-components")
         members = stage(_open_blocks(members, roots), "join-open-blocks")
-    found = found.unionByName(verified(members))
+    found = found.unionByName(verified(_families(members)))
     roots = connected_components(found.distinct(), "join-components")
     classes = described.groupBy("digest").agg(F.min("_id").alias("first"))
     rooted = classes.join(roots.withColumnRenamed("node", "digest"), "digest", "left")

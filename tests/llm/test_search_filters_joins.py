@@ -252,6 +252,7 @@ def test_components_lose_no_link(spark, monkeypatch):
     for block, leaf in ((1024, 24), (8, 2)):
         monkeypatch.setattr(jaccard_join, "BLOCK", block)
         monkeypatch.setattr(jaccard_join, "LEAF", leaf)
+        monkeypatch.setattr(jaccard_join, "FAMILY", block)
         monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 10**6 if block > 8 else 0)
         got = sorted(map(tuple, jaccard_join.assign(frame(spark, rows)).collect()))
         assert got == want
