@@ -405,7 +405,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "repeat-documents",
     )
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
-        shards = 1 << min(15, max(3, (rows.count() // 400).bit_length()))
+        shards = 1 << min(15, max(3, (rows.count() // 200).bit_length()))
         long = texts.where(F.octet_length("text") >= LENGTH)
         found = long.select("ref", "text").mapInArrow(_find_minimizers(shards), "shard int, m binary, ref binary")
         shared = found.groupBy("shard").applyInArrow(_shared_minimizers, "ref long, m long")
