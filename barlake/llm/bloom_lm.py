@@ -9,9 +9,11 @@ false positive can only raise it, and seldom by more than one level.
 
 The pair counts are gathered by a packed exchange: tasks send sorted arrays of pair
 hashes by hash range, whose number follows the number of rows, and each range is merged
-on its own. The filter takes about ``BITS_PER_ENTRY`` bits an entry up to ``MAX_BYTES``,
-its proven size when broadcast; beyond that size its error rate rises. Word counts stay
-exact for the base score: the most frequent ``HEAD`` words are broadcast, all others
+on its own. The filter takes about ``BITS_PER_ENTRY`` bits an entry however many there
+are. Up to ``MAX_BYTES`` it is broadcast. A larger one stays in its hash ranges: chunks of
+texts send the distinct keys they ask for to each range as packed arrays and get the
+levels back, so that the scores are those of a broadcast filter of that size. Word counts
+stay exact for the base score: the most frequent ``HEAD`` words are broadcast, all others
 meet their counts in a shuffle join.
 """
 
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -203,10 +206,14 @@ def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
     return stage(packed.groupBy("shard").applyInArrow(_merge, _TABLE), "lm-counts")
 
 
-def build_filter(table: DataFrame, shards: int, entries: int, max_bytes: int = MAX_BYTES) -> Filter:
-    """The filter, built by range and put together on the driver: at most ``max_bytes``."""
+def filter_part_bits(shards: int, entries: int) -> int:
+    """Bits of each part of the filter, a power of 2 that follows the entries."""
     wanted = max(1024, BITS_PER_ENTRY * entries // shards)
-    part_bits = min(1 << (wanted - 1).bit_length(), max(64, max_bytes * 8 // shards))
+    return 1 << (wanted - 1).bit_length()
+
+
+def build_filter(table: DataFrame, shards: int, part_bits: int) -> Filter:
+    """The filter, built by range and put together on the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,6 +263,43 @@ _SCORED = (
 )
 
 
+def _score_rows(
+    docs: list[tuple],
+    ids: list[np.ndarray],
+    head_at: np.ndarray,
+    head_log_count: np.ndarray,
+    words: list[bytes],
+    counts: np.ndarray,
+    pairs: np.ndarray,
+    end: int,
+    total: float,
+    prior: float,
+) -> list[tuple]:
+    """Rows of documents, given (id, held_out) and the numbers of their words.
+
+    By token: place in the head (or -1) and estimated count of the pair; by word number:
+    the word and its estimated count.
+    """
+    flat = np.concatenate(ids)
+    starts = np.cumsum([0] + [len(x) for x in ids[:-1]])
+    context = counts[np.concatenate([[end], flat[:-1]])]
+    single = (counts[flat] + 1.0) / total
+    logs = np.log10((np.minimum(pairs, context) + prior * single) / (context + prior))
+    scores = np.add.reduceat(logs, starts)
+    in_head = head_at >= 0
+    head_logs = np.zeros(len(flat))
+    head_logs[in_head] = head_log_count[head_at[in_head]]
+    head_log = np.add.reduceat(head_logs, starts)
+    known = np.add.reduceat(in_head.astype(np.int64), starts)
+    out = []
+    for n, (doc, held) in enumerate(docs):
+        rest = ~in_head[starts[n] : starts[n] + len(ids[n])]
+        rare, times = np.unique(ids[n][rest], return_counts=True)
+        tail = [words[i] for i in rare]
+        out.append((doc, held, len(ids[n]), head_log[n], known[n], scores[n], tail, times.tolist()))
+    return out
+
+
 class _Scorer:
     def __init__(self, bits: Filter, head: list[bytes], head_counts: np.ndarray, total: float, prior: float):
         self.filter, self.head, self.total, self.prior = bits, head, total, prior
@@ -280,29 +324,136 @@ class _Scorer:
         ids = [np.array([*map(self.index.__getitem__, lower_words(t)), end], dtype=np.int64) for _, _, t in docs]
         self.extend()
         flat = np.concatenate(ids)
-        starts = np.cumsum([0] + [len(x) for x in ids[:-1]])
         before = np.concatenate([[end], flat[:-1]])
         pairs = EXPECTED[self.filter.level(pair_hash(self.hashes[before], self.hashes[flat]))]
-        context = self.counts[before]
-        single = (self.counts[flat] + 1.0) / self.total
-        logs = np.log10((np.minimum(pairs, context) + self.prior * single) / (context + self.prior))
-        scores = np.add.reduceat(logs, starts)
-        n_head = len(self.head)
-        in_head = flat < n_head
-        head_logs = np.zeros(len(flat))
-        head_logs[in_head] = self.log_count[flat[in_head]]
-        head_log = np.add.reduceat(head_logs, starts)
-        known = np.add.reduceat(in_head.astype(np.int64), starts)
-        out = []
-        for n, (doc, held, _) in enumerate(docs):
-            rare, times = np.unique(ids[n][ids[n] >= n_head], return_counts=True)
-            tail = [self.index.words[i] for i in rare]
-            out.append((doc, held, len(ids[n]), head_log[n], known[n], scores[n], tail, times.tolist()))
-        if len(self.index) > n_head + REMEMBERED:
+        out = _score_rows(
+            [d[:2] for d in docs],
+            ids,
+            np.where(flat < len(self.head), flat, -1),
+            self.log_count,
+            self.index.words,
+            self.counts,
+            pairs,
+            end,
+            self.total,
+            self.prior,
+        )
+        if len(self.index) > len(self.head) + REMEMBERED:
             self.fresh()
         return out
 
 
+# ---- scoring with a filter that is not broadcast ---------------------------------
+
+_CHUNKS = "chunk long, ids array<long>, held array<boolean>, lengths binary, flat binary, words binary"
+
+
+def _chunks(texts: DataFrame) -> DataFrame:
+    """Staged chunks of about ``CHUNK`` tokens: documents, their word numbers, the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in _CHUNKS.split(", ")]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
+        first, n = TaskContext.get().partitionId() << 32, 0
+        index, docs, ids, size = _Index([END]), [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            lengths = np.array([len(x) for x in ids], np.int64)
+            flat = np.concatenate(ids).tobytes()
+            row = (first + n, [d for d, _ in docs], [h for _, h in docs], lengths.tobytes(), flat, b" ".join(index.words))
+            return record_batch([row], names, kinds)
+
+        for batch in batches:
+            for doc, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                docs.append((doc, held))
+                ids.append(np.array([*map(index.__getitem__, lower_words(text.as_py())), 0], dtype=np.int32))
+                size += len(ids[-1])
+                if size >= CHUNK:
+                    yield packed()
+                    index, docs, ids, size, n = _Index([END]), [], [], 0, n + 1
+        if docs:
+            yield packed()
+
+    return stage(texts.mapInArrow(run, _CHUNKS), "lm-chunks")
+
+
+def _chunk_keys(words: list[bytes], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Filter keys by word number, and of the pair that ends at each token."""
+    hashes = word_hash(words)
+    return word_key(hashes), pair_hash(hashes[np.concatenate([[0], flat[:-1]])], hashes[flat])
+
+
+def _asked_levels(chunks: DataFrame, table: DataFrame, shards: int, part_bits: int) -> DataFrame:
+    """(chunk, shard, levels): answers to a chunk's distinct keys, in key order inside a range."""
+    shift = np.uint64(64 - shards.bit_length() + 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["shard", "chunk", "asked"], [pa.int32(), pa.int64(), pa.binary()]
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys = np.unique(np.concatenate(_chunk_keys(row["words"].split(b" "), np.frombuffer(row["flat"], np.int32))))
+                shard_of = (keys >> shift).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
+                edges = np.flatnonzero(np.diff(shard_of, prepend=-1, append=shards))
+                parts = [(int(shard_of[lo]), row["chunk"], keys[lo:hi].tobytes()) for lo, hi in zip(edges[:-1], edges[1:])]
+                yield record_batch(parts, names, kinds)
+
+    def answer(part: pa.Table, asked: pa.Table) -> pa.Table:
+        entered = [np.frombuffer(x, np.uint64) for x in part["keys"].to_pylist()]
+        level = [np.frombuffer(x, np.uint8) for x in part["levels"].to_pylist()]
+        keys = [np.frombuffer(x, np.uint64) for x in asked["asked"].to_pylist()]
+        if entered and keys:
+            bits = np.frombuffer(filter_part(np.concatenate(entered), np.concatenate(level), part_bits), np.uint8)
+            found = Filter(bits, 1).level(np.concatenate(keys))
+        else:
+            found = np.zeros(sum(map(len, keys)), np.uint8)
+        ends = np.cumsum([len(k) for k in keys])
+        levels_of = [x.tobytes() for x in np.split(found, ends[:-1])] if keys else []
+        columns = {"chunk": asked["chunk"], "shard": asked["shard"], "levels": pa.array(levels_of, pa.binary())}
+        return pa.table(columns)
+
+    requests = chunks.select("chunk", "flat", "words").mapInArrow(ask, "shard int, chunk long, asked binary")
+    parts = table.select("shard", "keys", "levels").groupBy("shard")
+    return parts.cogroup(requests.groupBy("shard")).applyInArrow(answer, "chunk long, shard int, levels binary")
+
+
+def _score_chunks(
+    texts: DataFrame, table: DataFrame, shards: int, part_bits: int, carried, total: float, prior: float
+) -> DataFrame:
+    """Scored rows as of ``_Scorer``, the filter's parts probed where they lie."""
+    names = [part.split()[0] for part in _SCORED.split(", ")]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+
+    def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        _, head, head_counts = carried.value
+        row = chunk.to_pylist()[0]
+        words, flat = row["words"].split(b" "), np.frombuffer(row["flat"], np.int32)
+        own, of_pair = _chunk_keys(words, flat)
+        keys = np.unique(np.concatenate([own, of_pair]))
+        # Ranges are the high bits of a key, so answers in range order are in key order.
+        told = sorted(zip(answers["shard"].to_pylist(), answers["levels"].to_pylist()))
+        found = EXPECTED[np.frombuffer(b"".join(x for _, x in told), np.uint8)]
+        place_of = {w: n for n, w in enumerate(head)}
+        head_at = np.array([place_of.get(w, -1) for w in words], dtype=np.int64)
+        ids = np.split(flat, np.cumsum(np.frombuffer(row["lengths"], np.int64))[:-1])
+        rows = _score_rows(
+            list(zip(row["ids"], row["held"])),
+            ids,
+            head_at[flat],
+            np.log10(head_counts + 1.0),
+            words,
+            found[np.searchsorted(keys, own)],
+            found[np.searchsorted(keys, of_pair)],
+            0,
+            total,
+            prior,
+        )
+        return pa.Table.from_batches([record_batch(rows, names, kinds)])
+
+    chunks = _chunks(texts)
+    answers = _asked_levels(chunks, table, shards, part_bits)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, _SCORED)
+
+
 def score(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -315,7 +466,8 @@ def score(
 ) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Null texts are empty: one end token. Repeated rows are scored each for itself; a null
+    A filter over ``max_bytes`` is probed by range instead of broadcast, with the same
+    scores. Null texts are empty: one end token. Repeated rows are scored each for itself; a null
     id is in the training fold or not as the text "null" is. Without training texts every
     probability is 1 and the scores are 0. Other columns are ignored, an empty table gives
     an empty result.
@@ -332,8 +484,10 @@ def score(
     counts = word_counts(table)
     words, times, least = frequent_words(counts, head)
     total = float(tokens + types + 1)
-    bits = build_filter(table, shards, entries, max_bytes)
-    carried = spark.sparkContext.broadcast((bits.bits, words, times))
+    part_bits = filter_part_bits(shards, entries)
+    fits = shards * part_bits <= max_bytes * 8
+    held_bits = build_filter(table, shards, part_bits).bits if fits else None
+    carried = spark.sparkContext.broadcast((held_bits, words, times))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
@@ -352,7 +506,11 @@ def score(
             if docs:
                 yield record_batch(scorer.score(docs), names, kinds)
 
-    scored = stage(texts.mapInArrow(run, _SCORED).withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
+    if fits:
+        rows = texts.mapInArrow(run, _SCORED)
+    else:
+        rows = _score_chunks(texts, table, shards, part_bits, carried, total, prior)
+    scored = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
     rare = scored.select("_row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(
         "_row", F.col("t.tail").alias("word"), F.col("t.times").alias("times")
     )

@@ -138,6 +138,20 @@ def test_base_score_is_exact_and_model_beats_it(spark, head):
     assert len(out[5]) == 2 and model > base
 
 
+@pytest.mark.parametrize("head", [0, 100_000])
+def test_filter_over_the_broadcast_bound_scores_alike(spark, monkeypatch, head):
+    monkeypatch.setattr(bloom_lm, "CHUNK", 300)
+    rng = random.Random(12)
+    rows = lm_rows() + [(2000 + n, " ".join(f"z{rng.randrange(3000)}" for _ in range(300)), "s", "t") for n in range(60)]
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, r.score)
+    whole = sorted(bloom_lm.score(frame(spark, rows), head=head).collect(), key=key)
+    parts = sorted(bloom_lm.score(frame(spark, rows), head=head, max_bytes=1024).collect(), key=key)
+    assert len(parts) == len(whole) == len(rows)
+    for a, b in zip(whole, parts):
+        assert (a.doc_id, a.held_out, a.n_tokens, a.n_known) == (b.doc_id, b.held_out, b.n_tokens, b.n_known)
+        assert b.score == pytest.approx(a.score) and b.base_score == pytest.approx(a.base_score)
+
+
 def test_filter_finds_every_entry_and_seldom_others():
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2))
