@@ -98,6 +98,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.score == pytest.approx(out[r.doc_id].score) for r in again)
 
 
+def test_every_term_that_stands_out_is_learned():
+    counts = {f"term{n:04d}$": (6 + n % 40, 0) for n in range(3000)}
+    assert toxicity.choose_terms(counts | {"calm$": (5, 900)}, 2000, 20_000, 10_000) == sorted(counts)
+    # A stem still covers its longer forms.
+    assert toxicity.choose_terms({"vekk": (9, 0), "vekka$": (4, 0), "vekko$": (4, 0)}, 20, 200, 10) == ["vekk"]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = frame(spark, [(1, "a", None, None)])
     assert [r.predicted for r in toxicity.score(docs, frame(spark, [], LABELS)).collect()] == [0]
