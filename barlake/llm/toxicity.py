@@ -2,8 +2,10 @@
 
 Terms (whole words, and stems that many toxic words share) are learned from labelled
 training texts. A text's words run through the automaton of "at most k edits" over the
-terms' trie: the states reached after a prefix are the trie nodes with their edit rows,
-and prefixes that no term can match any more are remembered as dead. Every hit is then
+terms' trie (two neighbouring letters that changed places are one edit): the states
+reached after a prefix are the trie nodes with their edit rows, and prefixes that no term
+can match any more are remembered as dead. What clean training texts use within an edit
+of a term (words, and beginnings that look like a stem) is no hit. Every hit is then
 weighed by its context window: quotation marks around it, or words of speaking before
 it, mark a quotation. A logistic model over the weighed sums gives the score.
 """
@@ -46,45 +48,56 @@ def core(token: str) -> str:
 
 
 def edits_allowed(term: str) -> int:
-    """One edit for terms of at least five letters, none for shorter ones and stems."""
-    return 1 if len(term) > 5 and term.endswith(END_MARK) else 0
+    """One edit for terms of at least five letters, none for shorter ones."""
+    return 1 if len(term.rstrip(END_MARK)) >= 5 else 0
 
 
 class Lexicon:
     """Levenshtein automaton over the trie of terms, made deterministic as words run through it.
 
-    A term that ends in ``$`` is a whole word, any other a stem. A state is the set of
-    (trie node, edits so far) that the letters read can stand for; the empty set is dead.
-    Letters that no term has are one letter, so the states stay few whatever is read.
+    A term that ends in ``$`` is a whole word, any other a stem; stems are met with an
+    edit only if ``edited_stems``. A state is the set of (trie node, edits so far) that the
+    letters read can stand for; the empty set is dead. A negative node -k is the first of
+    two letters that changed places: the next one must be that before k's. Letters that no
+    term has are one letter, so the states stay few whatever is read.
+
+    ``misread`` has words, and beginnings of words with ``*``, that only look like a term.
     """
 
-    def __init__(self, terms: list[str], misread: set[str] = frozenset()):
+    def __init__(self, terms: list[str], misread: set[str] = frozenset(), edited_stems: bool = False):
         self.children: list[dict[str, int]] = [{}]
+        self.before: list[str] = [""]
         self.term_at: dict[int, str] = {}
         for term in terms:
             node = 0
-            for char in term:
+            for n, char in enumerate(term):
                 if char not in self.children[node]:
                     self.children[node][char] = len(self.children)
                     self.children.append({})
+                    self.before.append(term[n - 1] if n else "")
                 node = self.children[node][char]
             self.term_at[node] = term
         self.misread = misread
-        self.edits = max(map(edits_allowed, terms), default=0)
+        self.stem_edits = int(edited_stems)
+        self.edits = max(map(self._allowed, terms), default=0)
         self.letters = set("".join(terms)) - {END_MARK}
         self.number: dict[tuple, int] = {(): 0}
         self.states: list[tuple] = [()]
         self.moves: list[dict[str, int]] = [{}]
         self.accepts: list[tuple[str, int] | None] = [None]
+        self.edited_stem: list[str | None] = [None]
         self.stops: list[bool] = [True]
         self.start = self._state(self._spread({0: 0}))
 
+    def _allowed(self, term: str) -> int:
+        return edits_allowed(term) if term.endswith(END_MARK) else min(self.stem_edits, edits_allowed(term))
+
     def _spread(self, least: dict[int, int]) -> dict[int, int]:
         """Adds what letters left out of a term reach."""
         todo = list(least)
         while todo:
             node = todo.pop()
-            if least[node] < self.edits:
+            if node >= 0 and least[node] < self.edits:
                 for char, child in self.children[node].items():
                     if char != END_MARK and least[node] + 1 < least.get(child, self.edits + 1):
                         least[child] = least[node] + 1
@@ -94,17 +107,22 @@ class Lexicon:
     def _state(self, least: dict[int, int]) -> int:
         key = tuple(sorted(least.items()))
         if key not in self.number:
-            best = None
+            best, stem = None, None
             for node, edits in key:
-                end = self.children[node].get(END_MARK)
-                term = self.term_at.get(node) or self.term_at.get(end)
-                if term and edits <= edits_allowed(term) and (best is None or (edits, term) < best[::-1]):
-                    best = (term, edits)
+                if node < 0:
+                    continue
+                for term in (self.term_at.get(node), self.term_at.get(self.children[node].get(END_MARK))):
+                    if term and edits <= self._allowed(term):
+                        if best is None or (edits, term) < best[::-1]:
+                            best = (term, edits)
+                        if edits and not term.endswith(END_MARK) and (stem is None or term < stem):
+                            stem = term
             self.number[key] = len(self.states)
             self.states.append(key)
             self.moves.append({})
             self.accepts.append(best)
-            self.stops.append(best is not None and not best[0].endswith(END_MARK))
+            self.edited_stem.append(stem)
+            self.stops.append(best is not None and not best[1] and not best[0].endswith(END_MARK))
         return self.number[key]
 
     def _move(self, state: int, char: str) -> int:
@@ -115,16 +133,27 @@ class Lexicon:
                 least[node] = edits
 
         for node, edits in self.states[state]:
+            if node < 0:
+                if char == self.before[-node]:
+                    reach(-node, edits)
+                continue
             reach(node, edits + 1)  # a letter too many
             for step, child in self.children[node].items():
                 if step != END_MARK:
                     reach(child, edits + (step != char))  # the letter, or another one
+                    swapped = self.children[child].get(char)
+                    if swapped is not None and step != char:
+                        reach(-swapped, edits + 1)  # the letter after it comes first
         return self._state(self._spread(least))
 
-    def match(self, word: str) -> tuple[str, int] | None:
-        """The term a word matches with the fewest edits, and that number."""
+    def _read(self, word: str) -> tuple[tuple[str, int] | None, list[tuple[str, str]]]:
+        """What the word is exactly, if anything, and (reading, term) of what it is within an edit.
+
+        A reading is the word, or the beginning of it that looks like a stem, with ``*``.
+        """
         state = self.start
-        for char in word:
+        edited: list[tuple[str, str]] = []
+        for n, char in enumerate(word, 1):
             if char not in self.letters:
                 char = "\0"
             step = self.moves[state].get(char)
@@ -133,8 +162,24 @@ class Lexicon:
             state = step
             if self.stops[state]:
                 break
+            if self.edited_stem[state]:
+                edited.append((word[:n] + "*", self.edited_stem[state]))
         best = self.accepts[state]
-        return None if best and best[1] and word in self.misread else best
+        if best and best[1] and best[0].endswith(END_MARK):
+            edited.append((word, best[0]))
+        return (best if best and not best[1] else None), edited
+
+    def match(self, word: str) -> tuple[str, int] | None:
+        """The term a word matches with the fewest edits, and that number."""
+        best, edited = self._read(word)
+        if best:
+            return best
+        return next(((term, 1) for reading, term in edited if reading not in self.misread), None)
+
+    def near(self, word: str) -> list[str]:
+        """Readings of a word that is no term by which it looks like one."""
+        best, edited = self._read(word)
+        return [] if best else [reading for reading, _ in edited]
 
 
 def hits(text: str, lexicon: Lexicon, known: dict) -> list[tuple[str, int, float]]:
@@ -147,7 +192,7 @@ def hits(text: str, lexicon: Lexicon, known: dict) -> list[tuple[str, int, float
             if len(known) > 400_000:
                 known.clear()
             word = core(token)
-            known[token] = hit = lexicon.match(word) if len(word) > 3 else None
+            known[token] = hit = lexicon.match(word) if word else None
         if hit:
             found.append((n, hit))
     return [(*hit, context_weight(tokens, n)) for n, hit in found]
@@ -211,7 +256,7 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int, tri
 
 
 def _stem_counts(train: DataFrame) -> tuple[dict[str, tuple[int, int]], int]:
-    """Toxic and clean training texts by word and stem (4 letters or more), as far as
+    """Toxic and clean training texts by word, and by stem of 4 letters or more, as far as
     enough toxic ones hold it; and how many stems toxic texts have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +265,8 @@ def _stem_counts(train: DataFrame) -> tuple[dict[str, tuple[int, int]], int]:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 stems: set[str] = set()
                 for word in {core(t) for t in set(text.split())}:
-                    if 4 <= len(word) <= 30:
+                    if 1 <= len(word) <= 30:
+                        # A short word is learned as it is, without stems.
                         stems.update(word[:k] for k in range(4, min(len(word), 12) + 1))
                         stems.add(word + END_MARK)
                 for stem in stems:
@@ -270,25 +316,21 @@ def distinct_texts(train: DataFrame) -> DataFrame:
 
 
 def _misread_words(train: DataFrame, terms: list[str]) -> set[str]:
-    """Words within the edits of a term that clean training texts use."""
+    """Readings within the edits of a term that words of clean training texts have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, known = Lexicon(terms), {}
+        lexicon, known = Lexicon(terms, edited_stems=True), set()
         for batch in batches:
             found: set[str] = set()
             for text in batch.column(0).to_pylist():
-                for token in set(text.split()):
-                    if token not in known:
-                        word = core(token)
-                        hit = lexicon.match(word) if len(word) > 3 else None
-                        known[token] = word if hit and hit[1] else None
-                    if known[token]:
-                        found.add(known[token])
+                for token in set(text.split()) - known:
+                    known.add(token)
+                    found.update(lexicon.near(core(token)))
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["word"])
 
-    near = train.where("toxic = 0").select("text").mapInArrow(run, "word string").groupBy("word").count()
+    near = train.where("toxic = 0").select("text").mapInArrow(run, "word string").distinct()
     # All of them: a bounded sample has a bounded number of words.
-    return {r["word"] for r in near.select("word").collect()}
+    return {r["word"] for r in near.collect()}
 
 
 def train(labelled: DataFrame) -> tuple[list[str], set[str], list[float]]:
@@ -303,7 +345,7 @@ def train(labelled: DataFrame) -> tuple[list[str], set[str], list[float]]:
     misread = _misread_words(labelled, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, known = Lexicon(terms, misread), {}
+        lexicon, known = Lexicon(terms, misread, edited_stems=True), {}
         for batch in batches:
             rows = [features(t, lexicon, known) for t in batch.column(0).to_pylist()]
             x = np.array(rows, dtype=float).reshape(-1, 4)
@@ -357,7 +399,7 @@ def score(
     terms, misread, weights = train(labelled.withColumnRenamed("label", "toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, known = Lexicon(terms, misread), {}
+        lexicon, known = Lexicon(terms, misread, edited_stems=True), {}
         beta = np.array(weights)
         for batch in batches:
             rows = [features(text.as_py() or "", lexicon, known) for text in batch.column(2)]

@@ -57,6 +57,36 @@ def test_automaton_accepts_what_one_edit_reaches():
     assert len(lexicon.states) < 2000
 
 
+def test_stems_and_swapped_letters_are_met_within_an_edit():
+    lexicon = toxicity.Lexicon(["idiot", "moron$", "xyz$", "vekk"], {"idio*", "idiom*"}, edited_stems=True)
+    for word in ("idoit", "idi0t", "idi0ts", "iditos", "idoitisch", "xidiot", "iidiot", "idio7s", "diiot"):
+        assert lexicon.match(word) == ("idiot", 1), word
+    assert lexicon.match("idiots") == ("idiot", 0)
+    assert [lexicon.match(w) for w in ("mroon", "morno", "omron")] == [("moron$", 1)] * 3
+    assert lexicon.match("xyz") == ("xyz$", 0)
+    for word in ("idiom", "idiomatisch", "idio", "mroons", "xzy", "xy", "vkek", "vek", "", "io"):
+        assert lexicon.match(word) is None, word
+    assert set(lexicon.near("idiomatisch")) == {"idio*", "idiom*"} and lexicon.near("idiots") == []
+
+
+def test_misspelled_stems_and_short_words_count(spark):
+    rng = random.Random(8)
+    calm = [f"{a}{b}" for a in ("ber", "tal", "mon", "ris") for b in ("el", "and", "ig", "ura", "os")]
+    bad = [["idiot", "idiots"], ["kxq"]]
+    rows, labels = [], []
+    for n in range(900):
+        words = [rng.choice(calm) for _ in range(rng.randrange(8, 40))]
+        if n % 6 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(bad[n // 6 % 2]))
+        rows.append((n, " ".join(words), "0", "x"))
+        labels.append((n, 1, int(n % 6 == 0)))
+    said = ["idi0t", "idoits", "kxq", "talel"]
+    rows += [(5000 + n, f"tal {w} berel monig", "0", "x") for n, w in enumerate(said)]
+    out = {r.doc_id: r for r in toxicity.score(frame(spark, rows), frame(spark, labels, LABELS)).collect()}
+    assert all(out[5000 + n].score > 3 * out[5003].score for n in range(3))
+    assert out[5002].predicted == 1 and out[5003].predicted == 0
+
+
 def test_quotation_weighs_less():
     lexicon = toxicity.Lexicon(["idiot$"])
     weight = lambda text: [w for _, _, w in toxicity.hits(text, lexicon, {})]
