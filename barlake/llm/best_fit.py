@@ -41,7 +41,8 @@ class _Encoder:
 
     The file's vocabulary is in merge order, so its ids are merge ranks, and ``tiktoken``
     finds the same ids from them in a third of the time. Texts that hold the string of a
-    special token go to ``tokenizers`` itself.
+    special token go to ``tokenizers`` itself, as do those on which ``tiktoken``'s pattern
+    gives up (a million white-space characters in a row).
     """
 
     def __init__(self, vocabulary: str):
@@ -56,12 +57,20 @@ class _Encoder:
         self.fast = tiktoken.Encoding("ids", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.path, self.whole = vocabulary, None
 
+    def _by_file(self, text: str) -> list[int]:
+        self.whole = self.whole or Tokenizer.from_file(self.path)
+        return self.whole.encode(text, add_special_tokens=False).ids
+
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            self.whole = self.whole or Tokenizer.from_file(self.path)
-            ids = self.whole.encode(text, add_special_tokens=False).ids
+            ids = self._by_file(text)
         else:
-            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            try:
+                ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError as error:
+                if "Max stack size exceeded" not in str(error):
+                    raise
+                ids = self._by_file(text)
         return np.asarray(ids, dtype="<u4").tobytes()
 
 

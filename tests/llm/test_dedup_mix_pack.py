@@ -147,6 +147,13 @@ def test_pack_places_every_piece(spark):
     assert len(double) == 2 and len({(r.sequence_id, r.offset) for r in double}) == 2
 
 
+def test_long_runs_of_white_space_are_encoded():
+    whole, encode = Tokenizer.from_file(VOCABULARY), best_fit._Encoder(VOCABULARY)
+    for text in ("a" + " " * 2_000_000 + "b", "\n" * 1_200_000, "x" + " \t" * 600_000, "a  b"):
+        expected = np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        assert encode(text) == expected.tobytes()
+
+
 def test_configurations_beat_or_equal_plain_best_fit():
     for counts in ({600: 100, 350: 150, 500: 77, 280: 90, 700: 40, 330: 66, 90: 10}, {1024: 5, 1: 3}, {3: 1}, {}):
         plan = best_fit.plan_sequences(counts)
