@@ -123,10 +123,61 @@ FROM run
 """
 
 
+#: Counts of failure masks by part and label, then every order walked step by step.
+FILTER_AUDIT = r"""
+WITH RECURSIVE told AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents
+), failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    len(words) < 200,
+    100 * len(list_distinct(words)) < 50 * len(words),
+    100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > least, false)] AS fails
+  FROM d LEFT JOIN told USING (doc_id)
+), grouped AS (
+  SELECT part, good, toxic, fails, count(*) AS n FROM failed GROUP BY ALL
+), orders(filter_order) AS (
+  SELECT ''
+  UNION ALL
+  SELECT filter_order || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) AS letters
+  WHERE strpos(filter_order, l) = 0
+), steps AS (
+  SELECT filter_order, step, ascii(filter_order[step]) - 64 AS f,
+         list_transform(string_split(filter_order[:step - 1], ''), lambda c: ascii(c) - 64) AS earlier
+  FROM (SELECT * FROM orders WHERE length(filter_order) = 5), (SELECT unnest([1, 2, 3, 4, 5]) AS step) AS numbers
+), judged AS (
+  SELECT part, filter_order, step, f, n, good, toxic, fails[f] AS fails_here,
+         step > 1 AND len(list_filter(earlier, lambda e: e > 0 AND fails[e])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) AS failures
+  FROM grouped, steps
+), counted AS (
+  SELECT part, filter_order, step, f,
+    sum(n) FILTER (NOT gone AND NOT fails_here) AS kept, sum(n) FILTER (NOT gone AND fails_here) AS removed,
+    sum(n) FILTER (gone AND fails_here) AS redundant, sum(n) FILTER (fails_here AND failures = 1) AS unique_fails,
+    sum(n) FILTER (NOT gone AND fails_here AND good) AS good_lost,
+    sum(n) FILTER (NOT gone AND fails_here AND toxic) AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_pivot_topk": PIVOT_TOPK,
         "op2_url_filter": URL_FILTER,
         "op3_exact_dedup": EXACT_DEDUP,
         "op10_mixing": MIXING,
+        "op13_filter_audit": FILTER_AUDIT,
     }

@@ -10,12 +10,15 @@ from barlake.llm import (
     best_fit,
     bloom_lm,
     exact_dedup,
+    filter_audit,
     jaccard_join,
     mixing,
     oracles,
     pivot_topk,
     repeat_index,
+    secret_scan,
     site_quality,
+    spelling_variants,
     toxicity,
     url_filter,
 )
@@ -27,6 +30,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def rank_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -71,6 +80,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"), rank_file())
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pivot_topk": op1_pivot_topk,
@@ -83,6 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bloom_lm": op8_bloom_lm,
         "op9_best_fit": op9_best_fit,
         "op10_mixing": op10_mixing,
+        "op11_secret_scan": op11_secret_scan,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
