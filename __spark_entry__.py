@@ -406,11 +406,10 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _text_modules() -> tuple:
     """The text operators' queries and the pipeline, as far as they are installed."""
-    names = ("barlake.llm", "corpus_pipeline")
-    queries_in = {"barlake.llm": "barlake.llm.queries", "corpus_pipeline": "corpus_pipeline"}
-    return tuple(
-        importlib.import_module(queries_in[name]) for name in names if importlib.util.find_spec(name)
-    )
+    if not importlib.util.find_spec("barlake.llm"):
+        return ()
+    names = ["barlake.llm.queries", "corpus_pipeline"]
+    return tuple(importlib.import_module(name) for name in names if importlib.util.find_spec(name))
 
 
 # ---- labels and gaps ------------------------------------------------------------

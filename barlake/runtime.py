@@ -6,10 +6,14 @@ import atexit
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_CONF = "spark.checkpoint.dir"
+#: Drops a job's shuffle files when it ends; what a staged table was made from is not read again.
+_CLEAN_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_dirs: dict[str, str] = {}
 _paths: dict[str, SparkSession] = {}
 _staged: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
@@ -60,20 +64,47 @@ def _drop_left_over() -> None:
         _delete(spark, path)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for what runs meanwhile."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage without depending on executor-local storage, and keeps the
-    columnar layout so that later reads still prune columns.
+    columnar layout so that later reads still prune columns. Shuffle files of the write
+    go with it; a frame that is executed again afterwards is computed anew.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with session_conf(spark, _CLEAN_CONF, "true"):
+        df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     _staged[stored] = path
     return stored
 
 
+def staged_paths(spark: SparkSession) -> set[str]:
+    """Folders that this session has staged and not yet deleted."""
+    return {path for path, owner in _paths.items() if owner is spark}
+
+
+def release(spark: SparkSession, paths: set[str], reader: DataFrame) -> None:
+    """Delete those of ``paths`` that ``reader`` does not read."""
+    read = reader.inputFiles() if paths else []
+    for path in paths & set(_paths):
+        name = path.rsplit("/", 1)[1]  # unique, and independent of how a file system writes its urls
+        if not any(f"/{name}/" in file for file in read):
+            _delete(spark, path)
+
+
 def unstage(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete tables written by ``stage`` once nothing reads them any more."""
     for frame in frames:
