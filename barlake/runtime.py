@@ -97,9 +97,12 @@ def staged_paths(spark: SparkSession) -> set[str]:
 
 
 def release(spark: SparkSession, paths: set[str], reader: DataFrame) -> None:
-    """Delete those of ``paths`` that ``reader`` does not read."""
+    """Delete those of ``paths`` that ``reader`` does not read; none if it shows no files at all."""
+    own = _staged.get(reader)
     read = reader.inputFiles() if paths else []
-    for path in paths & set(_paths):
+    if not read and own is None:
+        return
+    for path in paths & set(_paths) - {own}:
         name = path.rsplit("/", 1)[1]  # unique, and independent of how a file system writes its urls
         if not any(f"/{name}/" in file for file in read):
             _delete(spark, path)
