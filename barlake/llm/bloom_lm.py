@@ -29,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import in_fold, lower_words, mix, record_batch
-from barlake.runtime import stage
+from barlake.llm.common import in_fold, lower_words, mix, packed, record_batch, unpacked
+from barlake.runtime import release, stage, staged_paths, unstage
 
 BASE, HASHES, BITS_PER_ENTRY, MAX_BYTES = 1.5, 3, 10, 1 << 26
+#: Bits of a key inside its range.
+LOW_BITS = 40
 HEAD, PRIOR = 150_000, 2_000.0
 #: Tokens handled at once, and words a worker remembers besides the head.
 CHUNK, REMEMBERED = 1_000_000, 500_000
@@ -46,6 +48,32 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * _SALT[0] + (second ^ _SALT[1]))
 
 
+def narrow(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Keys as they are entered and asked for: the bits that name the range and the lowest ``LOW_BITS``.
+
+    Two of n keys fall together with probability n * n / (shards << LOW_BITS) / 2, and the
+    number of ranges follows the input; what falls together adds up like any hash collision.
+    """
+    low = _low_bits(shards)
+    top = shards.bit_length() - 1
+    return keys & np.uint64(((1 << top) - 1) << (64 - top) | (1 << low) - 1)
+
+
+def _low_bits(shards: int) -> int:
+    return min(LOW_BITS, 64 - (shards.bit_length() - 1))
+
+
+def pack_keys(keys: np.ndarray, shards: int) -> bytes:
+    """Sorted narrow keys of one range: differences of their low bits."""
+    low = keys & np.uint64((1 << _low_bits(shards)) - 1)
+    return packed(np.diff(low, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes, shard: int, shards: int) -> np.ndarray:
+    top = shards.bit_length() - 1
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64) | np.uint64(shard << (64 - top) if top else 0)
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     """1 + floor(log_b c), safe at the borders."""
     return (1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9)).astype(np.uint8)
@@ -136,29 +164,30 @@ def _count_chunk(ids: list[list[int]], words: list[bytes], shards: int) -> Itera
     flat = np.concatenate([np.array(x, dtype=np.int64) for x in ids])
     hashes = word_hash(words)
     counts = np.bincount(flat, minlength=len(words))
-    shard_of = part(word_key(hashes))
+    shard_of = part(narrow(word_key(hashes), shards))
     order = np.argsort(shard_of, kind="stable")
     edges = np.flatnonzero(np.diff(shard_of[order], prepend=-1, append=shards))
     for lo, hi in zip(edges[:-1], edges[1:]):
         own = order[lo:hi]
-        yield 0, int(shard_of[own[0]]), b" ".join([words[i] for i in own]), None, counts[own].tobytes()
+        yield 0, int(shard_of[own[0]]), b" ".join([words[i] for i in own]), None, packed(counts[own])
     # Every text ends with the end token, so the word before a text's first is that one too.
     before = np.concatenate([[0], flat[:-1]])
-    pairs, times = np.unique(pair_hash(hashes[before], hashes[flat]), return_counts=True)
+    pairs, times = np.unique(narrow(pair_hash(hashes[before], hashes[flat]), shards), return_counts=True)
     shard_of = part(pairs)
     edges = np.flatnonzero(np.diff(shard_of, prepend=-1, append=shards))
     for lo, hi in zip(edges[:-1], edges[1:]):
-        yield 1, int(shard_of[lo]), None, pairs[lo:hi].tobytes(), times[lo:hi].astype(np.int64).tobytes()
+        yield 1, int(shard_of[lo]), None, pack_keys(pairs[lo:hi], shards), packed(times[lo:hi].astype(np.int64))
 
 
-def _merge(table: pa.Table) -> pa.Table:
+def _merge(table: pa.Table, shards: int) -> pa.Table:
     """One hash range: exact word counts, and the levels of its words and pairs."""
+    shard = table["shard"][0].as_py()
     totals: dict[bytes, int] = {}
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for row in table.to_pylist():
-        times = np.frombuffer(row["counts"], np.int64)
+        times = unpacked(row["counts"], np.int64)
         if row["kind"]:
-            keys.append(np.frombuffer(row["keys"], np.uint64))
+            keys.append(unpack_keys(row["keys"], shard, shards))
             counts.append(times)
         else:
             for word, n in zip(row["words"].split(b" "), times.tolist()):
@@ -166,14 +195,16 @@ def _merge(table: pa.Table) -> pa.Table:
     pairs, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     pair_counts = np.bincount(inverse, np.concatenate(counts), len(pairs))
     own = np.array(list(totals.values()), dtype=np.int64)
-    every = np.concatenate([word_key(word_hash(list(totals))), pairs])
+    every = np.concatenate([narrow(word_key(word_hash(list(totals))), shards), pairs])
     level = levels(np.concatenate([own, pair_counts])) if len(every) else np.zeros(0, np.uint8)
+    order = np.argsort(every, kind="stable")
+    every, level = every[order], level[order]
     out = {
-        "shard": [table["shard"][0].as_py()],
+        "shard": [shard],
         "words": [b" ".join(totals)],
         "counts": [own.tobytes()],
-        "keys": [every.tobytes()],
-        "levels": [level.tobytes()],
+        "keys": [pack_keys(every, shards)],
+        "levels": [packed(level)],
         "tokens": [int(own.sum())],
         "types": [len(own)],
         "entries": [int(level.sum(dtype=np.int64))],
@@ -202,8 +233,8 @@ def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
         if ids:
             yield record_batch(list(_count_chunk(ids, index.words, shards)), names, kinds)
 
-    packed = texts.mapInArrow(run, _PACKED)
-    return stage(packed.groupBy("shard").applyInArrow(_merge, _TABLE), "lm-counts")
+    sent = texts.mapInArrow(run, _PACKED).groupBy("shard")
+    return stage(sent.applyInArrow(lambda t: _merge(t, shards), _TABLE), "lm-counts")
 
 
 def filter_part_bits(shards: int, entries: int) -> int:
@@ -218,7 +249,7 @@ def build_filter(table: DataFrame, shards: int, part_bits: int) -> Filter:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (r["shard"], filter_part(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["levels"], np.uint8), part_bits))
+                (r["shard"], filter_part(unpack_keys(r["keys"], r["shard"], shards), unpacked(r["levels"], np.uint8), part_bits))
                 for r in batch.to_pylist()
             ]
             yield record_batch(rows, ["shard", "bits"], [pa.int32(), pa.binary()])
@@ -301,8 +332,10 @@ def _score_rows(
 
 
 class _Scorer:
-    def __init__(self, bits: Filter, head: list[bytes], head_counts: np.ndarray, total: float, prior: float):
-        self.filter, self.head, self.total, self.prior = bits, head, total, prior
+    def __init__(
+        self, bits: Filter, shards: int, head: list[bytes], head_counts: np.ndarray, total: float, prior: float
+    ):
+        self.filter, self.shards, self.head, self.total, self.prior = bits, shards, head, total, prior
         self.log_count = np.log10(head_counts + 1.0)
         self.fresh()
 
@@ -314,7 +347,7 @@ class _Scorer:
     def extend(self) -> None:
         """Hashes and estimated counts of words that came up since the last chunk."""
         new = word_hash(self.index.words[self.known :])
-        found = EXPECTED[self.filter.level(word_key(new))]
+        found = EXPECTED[self.filter.level(narrow(word_key(new), self.shards))]
         self.hashes = np.concatenate([self.hashes, new]) if self.known else new
         self.counts = np.concatenate([self.counts, found]) if self.known else found
         self.known = len(self.hashes)
@@ -325,7 +358,8 @@ class _Scorer:
         self.extend()
         flat = np.concatenate(ids)
         before = np.concatenate([[end], flat[:-1]])
-        pairs = EXPECTED[self.filter.level(pair_hash(self.hashes[before], self.hashes[flat]))]
+        keys = narrow(pair_hash(self.hashes[before], self.hashes[flat]), self.shards)
+        pairs = EXPECTED[self.filter.level(keys)]
         out = _score_rows(
             [d[:2] for d in docs],
             ids,
@@ -359,7 +393,7 @@ def _chunks(texts: DataFrame) -> DataFrame:
 
         def packed() -> pa.RecordBatch:
             lengths = np.array([len(x) for x in ids], np.int64)
-            flat = np.concatenate(ids).tobytes()
+            flat = packed(np.concatenate(ids))
             row = (first + n, [d for d, _ in docs], [h for _, h in docs], lengths.tobytes(), flat, b" ".join(index.words))
             return record_batch([row], names, kinds)
 
@@ -377,10 +411,11 @@ def _chunks(texts: DataFrame) -> DataFrame:
     return stage(texts.mapInArrow(run, _CHUNKS), "lm-chunks")
 
 
-def _chunk_keys(words: list[bytes], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chunk_keys(words: list[bytes], flat: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Filter keys by word number, and of the pair that ends at each token."""
     hashes = word_hash(words)
-    return word_key(hashes), pair_hash(hashes[np.concatenate([[0], flat[:-1]])], hashes[flat])
+    pairs = pair_hash(hashes[np.concatenate([[0], flat[:-1]])], hashes[flat])
+    return narrow(word_key(hashes), shards), narrow(pairs, shards)
 
 
 def _asked_levels(chunks: DataFrame, table: DataFrame, shards: int, part_bits: int) -> DataFrame:
@@ -391,29 +426,30 @@ def _asked_levels(chunks: DataFrame, table: DataFrame, shards: int, part_bits: i
         names, kinds = ["shard", "chunk", "asked"], [pa.int32(), pa.int64(), pa.binary()]
         for batch in batches:
             for row in batch.to_pylist():
-                keys = np.unique(np.concatenate(_chunk_keys(row["words"].split(b" "), np.frombuffer(row["flat"], np.int32))))
+                keys = np.unique(np.concatenate(_chunk_keys(row["words"].split(b" "), unpacked(row["flat"], np.int32), shards)))
                 shard_of = (keys >> shift).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
                 edges = np.flatnonzero(np.diff(shard_of, prepend=-1, append=shards))
-                parts = [(int(shard_of[lo]), row["chunk"], keys[lo:hi].tobytes()) for lo, hi in zip(edges[:-1], edges[1:])]
+                parts = [(int(shard_of[lo]), row["chunk"], pack_keys(keys[lo:hi], shards)) for lo, hi in zip(edges[:-1], edges[1:])]
                 yield record_batch(parts, names, kinds)
 
     def answer(part: pa.Table, asked: pa.Table) -> pa.Table:
-        entered = [np.frombuffer(x, np.uint64) for x in part["keys"].to_pylist()]
-        level = [np.frombuffer(x, np.uint8) for x in part["levels"].to_pylist()]
-        keys = [np.frombuffer(x, np.uint64) for x in asked["asked"].to_pylist()]
+        entered = [unpack_keys(x, n, shards) for n, x in zip(part["shard"].to_pylist(), part["keys"].to_pylist())]
+        level = [unpacked(x, np.uint8) for x in part["levels"].to_pylist()]
+        keys = [unpack_keys(x, n, shards) for n, x in zip(asked["shard"].to_pylist(), asked["asked"].to_pylist())]
         if entered and keys:
             bits = np.frombuffer(filter_part(np.concatenate(entered), np.concatenate(level), part_bits), np.uint8)
             found = Filter(bits, 1).level(np.concatenate(keys))
         else:
             found = np.zeros(sum(map(len, keys)), np.uint8)
         ends = np.cumsum([len(k) for k in keys])
-        levels_of = [x.tobytes() for x in np.split(found, ends[:-1])] if keys else []
+        levels_of = [packed(x) for x in np.split(found, ends[:-1])] if keys else []
         columns = {"chunk": asked["chunk"], "shard": asked["shard"], "levels": pa.array(levels_of, pa.binary())}
         return pa.table(columns)
 
     requests = chunks.select("chunk", "flat", "words").mapInArrow(ask, "shard int, chunk long, asked binary")
     parts = table.select("shard", "keys", "levels").groupBy("shard")
-    return parts.cogroup(requests.groupBy("shard")).applyInArrow(answer, "chunk long, shard int, levels binary")
+    answers = parts.cogroup(requests.groupBy("shard")).applyInArrow(answer, "chunk long, shard int, levels binary")
+    return stage(answers, "lm-answers")
 
 
 def _score_chunks(
@@ -426,12 +462,12 @@ def _score_chunks(
     def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         _, head, head_counts = carried.value
         row = chunk.to_pylist()[0]
-        words, flat = row["words"].split(b" "), np.frombuffer(row["flat"], np.int32)
-        own, of_pair = _chunk_keys(words, flat)
+        words, flat = row["words"].split(b" "), unpacked(row["flat"], np.int32)
+        own, of_pair = _chunk_keys(words, flat, shards)
         keys = np.unique(np.concatenate([own, of_pair]))
         # Ranges are the high bits of a key, so answers in range order are in key order.
         told = sorted(zip(answers["shard"].to_pylist(), answers["levels"].to_pylist()))
-        found = EXPECTED[np.frombuffer(b"".join(x for _, x in told), np.uint8)]
+        found = EXPECTED[np.concatenate([unpacked(x, np.uint8) for _, x in told])]
         place_of = {w: n for n, w in enumerate(head)}
         head_at = np.array([place_of.get(w, -1) for w in words], dtype=np.int64)
         ids = np.split(flat, np.cumsum(np.frombuffer(row["lengths"], np.int64))[:-1])
@@ -451,6 +487,7 @@ def _score_chunks(
 
     chunks = _chunks(texts)
     answers = _asked_levels(chunks, table, shards, part_bits)
+    unstage(texts.sparkSession, table)
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, _SCORED)
 
 
@@ -478,7 +515,8 @@ def score(
         in_fold(id_col, folds, held_fold).alias("held_out"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
-    shards = 1 << min(16, max(4, (docs.count() // 1000).bit_length()))
+    earlier = staged_paths(spark)
+    shards = 1 << max(4, (docs.count() // 1000).bit_length())
     table = count_ngrams(texts.where("NOT held_out").select("text"), shards)
     tokens, types, entries = table.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "entries")]).first()
     counts = word_counts(table)
@@ -493,7 +531,7 @@ def score(
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
         names = [part.split()[0] for part in _SCORED.split(", ")]
         held, words, times = carried.value
-        scorer = _Scorer(Filter(held, shards), words, times, total, prior)
+        scorer = _Scorer(Filter(held, shards), shards, words, times, total, prior)
         for batch in batches:
             docs, size = [], 0
             for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -511,6 +549,7 @@ def score(
     else:
         rows = _score_chunks(texts, table, shards, part_bits, carried, total, prior)
     scored = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
+    carried.destroy()
     rare = scored.select("_row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(
         "_row", F.col("t.tail").alias("word"), F.col("t.times").alias("times")
     )
@@ -519,7 +558,7 @@ def score(
         F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("tail_log"), F.sum("times").alias("tail_known")
     )
     none = F.lit(0)
-    return scored.join(sums, "_row", "left").select(
+    result = scored.join(sums, "_row", "left").select(
         F.col("_id").alias(id_col),
         "held_out",
         "n_tokens",
@@ -530,3 +569,5 @@ def score(
         ).alias("base_score"),
         "score",
     )
+    release(spark, staged_paths(spark) - earlier, result)
+    return result

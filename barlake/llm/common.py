@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -39,6 +40,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Compressed with the bytes of equal weight together: small numbers take less than a byte."""
+    return zlib.compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    """The values of ``packed``."""
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered; ``trim`` keeps the memory bounded."""
 
@@ -86,6 +98,17 @@ def in_fold(id_col: str, folds: int, fold: int) -> Column:
     return F.crc32(text.cast("binary")) % folds == fold
 
 
+#: Row numbers that are broadcast at most (some 100 MB as a hashed relation).
+BROADCAST_ROWS = 1_000_000
+
+
+def without_rows(rows: DataFrame, losers: DataFrame) -> DataFrame:
+    """``rows`` without those whose ``_row`` is in ``losers``; texts are shuffled only if these are many."""
+    gone = stage(losers.select("_row"), "rows-out")
+    few = gone.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(gone) if few else gone, "_row", "left_anti")
+
+
 def numbered(df: DataFrame, order: list[Column], column: str, label: str, tasks: int = 16) -> DataFrame:
     """``df`` staged with a rank from 0 in ``order``, without a window over all rows.
 

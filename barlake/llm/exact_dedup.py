@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import BLANK, text_of
+from barlake.llm.common import BLANK, text_of, without_rows
 from barlake.runtime import stage
 
 #: Counters of the summary, and how many digests it may name.
@@ -102,5 +102,4 @@ def deduplicate(
         "dedup-rows",
     )
     keyed = rows.select("_id", "_row", "text_sha256")
-    kept = _settle(keyed, heavy, tracked).where("kept").select("_row")
-    return rows.join(kept, "_row", "left_semi").select("_doc.*")
+    return without_rows(rows, _settle(keyed, heavy, tracked).where("NOT kept")).select("_doc.*")

@@ -7,8 +7,7 @@ least 0.75. Steps:
 2. Classes are dealt into blocks: a pair that links shares one of its rarest shingles,
    the first ``n - ceil(0.75 n) + 1`` of each set in one order of all shingles. Shingles
    that a bounded sample shows to be frequent come last in that order, which only saves
-   work: any order keeps every pair. Blocks over ``BLOCK`` members are cut into parts of
-   which every two meet in a task of their own.
+   work: any order keeps every pair. Blocks over ``BLOCK`` members are cut into parts.
 3. Shingles are hashed into groups, and a class is the point of its counts by group. An
    R-tree over a block's points bounds the overlap of two subtrees, and of two points, by
    the sum of the smaller coordinates; members without a partner that could still link
@@ -24,6 +23,7 @@ least 0.75. Steps:
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import WordHashes, lower_words, mix, record_batch
+from barlake.llm.common import WordHashes, lower_words, mix, packed, record_batch, unpacked, without_rows
 from barlake.llm.components import connected_components
-from barlake.runtime import stage
+from barlake.runtime import release, stage, staged_paths
 
 WORDS, PERCENT = 5, 75
 #: Members that blocks which hang together may have to become one task.
@@ -204,8 +204,12 @@ def links(
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
     return docs.select(
-        F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_hash"), text.cast("binary").alias("text")
+        F.col(id_col).cast("long").alias("_id"),
+        row.alias("_row"),
+        F.xxhash64(text).alias("_hash"),
+        text.cast("binary").alias("text"),
     )
 
 
@@ -222,17 +226,18 @@ def _ref(digest: bytes) -> int:
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        sets = [(set_digest(s), len(s), count_vector(s).astype(np.uint32).tobytes()) for s in _sets(batch, hashes)]
+        sets = [(set_digest(s), len(s), packed(count_vector(s).astype(np.uint32))) for s in _sets(batch, hashes)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("_id"),
+                batch.column("_row"),
                 batch.column("_hash"),
                 pa.array([s[0] for s in sets], pa.binary()),
                 pa.array([_ref(s[0]) for s in sets], pa.int64()),
                 pa.array([s[1] for s in sets], pa.int64()),
                 pa.array([s[2] for s in sets], pa.binary()),
             ],
-            names=["_id", "_hash", "digest", "ref", "n", "counts"],
+            names=["_id", "_row", "_hash", "digest", "ref", "n", "counts"],
         )
 
 
@@ -277,7 +282,7 @@ def _emit_rarest(shards: int, carried) -> callable:
             value, ref, size = value[order], ref[order], size[order]
             edges = np.flatnonzero(np.diff((value >> shift).astype(np.int64), prepend=-1, append=shards))
             rows = [
-                (int(value[lo] >> shift), value[lo:hi].tobytes(), ref[lo:hi].tobytes(), size[lo:hi].tobytes())
+                (int(value[lo] >> shift), packed(np.diff(value[lo:hi], prepend=np.uint64(0))), ref[lo:hi].tobytes(), packed(size[lo:hi]))
                 for lo, hi in zip(edges[:-1], edges[1:])
             ]
             yield record_batch(rows, names, kinds)
@@ -286,12 +291,12 @@ def _emit_rarest(shards: int, carried) -> callable:
 
 
 def _blocks(table: pa.Table) -> pa.Table:
-    """Members of every block of a hash range, by task: (block key, parts, side, ref)."""
-    packed = {c: table[c].to_pylist() for c in ("s", "ref", "n")}
-    kinds = {"s": np.uint64, "ref": np.int64, "n": np.uint32}
-    s, ref, n = (np.concatenate([np.frombuffer(x, kinds[c]) for x in packed[c]]) for c in ("s", "ref", "n"))
+    """Members of every block of a hash range: (block key, part, whether there are more, ref)."""
+    s = np.concatenate([np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table["s"].to_pylist()])
+    ref = np.concatenate([np.frombuffer(x, np.int64) for x in table["ref"].to_pylist()])
+    n = np.concatenate([unpacked(x, np.uint32) for x in table["n"].to_pylist()]).astype(np.int64)
     order = np.lexsort((ref, n, s))
-    s, ref, n = s[order], ref[order], n[order].astype(np.int64)
+    s, ref, n = s[order], ref[order], n[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (ref[1:] != ref[:-1])
     s, ref, n = s[new], ref[new], n[new]
@@ -300,39 +305,31 @@ def _blocks(table: pa.Table) -> pa.Table:
     cut[1:] = (s[1:] != s[:-1]) | (n[1:] * PERCENT > n[:-1] * 100)
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], len(s))
-    keys, lefts, rights, sides, members = [], [], [], [], []
+    keys, parts, large, members = [], [], [], []
     for lo, hi in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
-        own, size = ref[lo:hi], n[lo:hi]
+        own = ref[lo:hi]
         key = int.from_bytes(hashlib.blake2b(np.sort(own).tobytes(), digest_size=8).digest(), "little", signed=True)
-        parts = range(0, len(own), BLOCK)
-        for a in parts:
-            for b in parts:
-                # Members are in size order, so parts too far apart cannot link.
-                if b < a or size[b] * PERCENT > size[min(a + BLOCK, len(own)) - 1] * 100:
-                    continue
-                for side, at in enumerate((a, b) if a != b else (a,)):
-                    chosen = own[at : at + BLOCK]
-                    keys += [key] * len(chosen)
-                    lefts += [a] * len(chosen)
-                    rights += [b] * len(chosen)
-                    sides += [side] * len(chosen)
-                    members.append(chosen)
+        # Members are in size order, so a part holds neighbours in size.
+        keys.append(np.full(len(own), key))
+        parts.append(np.arange(len(own), dtype=np.int32) // BLOCK)
+        large.append(np.full(len(own), len(own) > BLOCK))
+        members.append(own)
+    joined = lambda a, kind: pa.array(np.concatenate([np.zeros(0, kind), *a]))
     return pa.table(
         {
-            "key": pa.array(keys, pa.int64()),
-            "a": pa.array(lefts, pa.int32()),
-            "b": pa.array(rights, pa.int32()),
-            "side": pa.array(sides, pa.int32()),
-            "ref": pa.array(np.concatenate(members) if members else np.zeros(0, np.int64)),
+            "key": joined(keys, np.int64),
+            "a": joined(parts, np.int32),
+            "large": joined(large, bool),
+            "ref": joined(members, np.int64),
         }
     )
 
 
 def _prune(table: pa.Table) -> pa.Table:
-    """Members of a block part that could link with another one by their points."""
-    points = [np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]
+    """Members of a task that could link with another one by their points."""
+    points = [unpacked(x, np.uint32) for x in table["counts"].to_pylist()]
     kept = could_link(points, table["n"].to_numpy(), table["side"].to_numpy())
-    return table.select(["key", "a", "b", "side", "ref"]).filter(pa.array(kept))
+    return table.drop_columns(["counts"]).filter(pa.array(kept))
 
 
 _BLOCK_KEY = ["key", "a", "b"]
@@ -340,18 +337,53 @@ _BLOCK_KEY = ["key", "a", "b"]
 
 def _fullest(members: DataFrame) -> DataFrame:
     """Each member in one of its blocks, the one with the most members."""
-    sizes = members.groupBy(*_BLOCK_KEY).agg(F.count("*").alias("size"))
-    block = F.struct(*_BLOCK_KEY, "side")
-    best = F.max_by(block, F.struct("size", *_BLOCK_KEY)).alias("t")
-    return members.join(sizes, _BLOCK_KEY).groupBy("digest").agg(best).select("t.*", "digest")
+    sizes = members.groupBy("key", "a").agg(F.count("*").alias("size"))
+    block = F.struct("key", "a")
+    best = F.max_by(block, F.struct("size", "key", "a")).alias("t")
+    chosen = members.join(sizes, ["key", "a"]).groupBy("digest").agg(best, F.min("root").alias("root"))
+    return _alone(chosen.select("t.*", "digest", "root"))
+
+
+def _alone(members: DataFrame) -> DataFrame:
+    """Parts as tasks of their own."""
+    return members.withColumns({"b": F.col("a"), "side": F.lit(0)})
 
 
 def _open_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their component, of blocks that hold more than one component."""
     named = members.drop("root").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     named = named.withColumn("root", F.coalesce("root", "digest"))
-    mixed = named.groupBy(*_BLOCK_KEY).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return named.join(mixed.select(*_BLOCK_KEY), _BLOCK_KEY, "left_semi")
+    mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return named.join(mixed.select("key"), "key", "left_semi")
+
+
+def _delegates(members: DataFrame) -> DataFrame:
+    """Small blocks as they are; of a large one a member for each component, in new parts."""
+    one = members.where("large").groupBy("key", "root").agg(F.min("digest").alias("digest"), F.first("large").alias("large"))
+    sizes = one.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    dealt = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("a")
+    few = one.join(sizes, "key").select("key", dealt, "large", "digest", "root")
+    return members.where("NOT large").select(*few.columns).unionByName(few)
+
+
+def _part_pairs(members: DataFrame) -> DataFrame:
+    """Tasks for the parts of large blocks, each with itself and with every later one.
+
+    Only where two components are left, and only where sizes can link.
+    """
+    parts = members.groupBy("key", "a").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("root", "n")]
+    )
+    other = parts.select("key", *[F.col(c).alias(f"o_{c}") for c in parts.columns if c != "key"])
+    low, high = F.least("min_root", "o_min_root"), F.greatest("max_root", "o_max_root")
+    near = (F.col("o_min_n") * PERCENT <= F.col("max_n") * 100) & (F.col("min_n") * PERCENT <= F.col("o_max_n") * 100)
+    pairs = parts.join(other, "key").where((F.col("a") <= F.col("o_a")) & (low != high) & near)
+    sides = F.when(F.col("a") == F.col("o_a"), F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("part")))).otherwise(
+        F.array(*[F.struct(F.lit(n).alias("side"), F.col(c).alias("part")) for n, c in enumerate(("a", "o_a"))])
+    )
+    tasks = pairs.select("key", "a", F.col("o_a").alias("b"), F.inline(sides))
+    held = members.select("key", F.col("a").alias("part"), "ref", "digest", "root")
+    return tasks.join(held, ["key", "part"]).drop("part")
 
 
 def _families(members: DataFrame) -> DataFrame:
@@ -366,33 +398,31 @@ def _families(members: DataFrame) -> DataFrame:
     small = F.col("size") <= FAMILY
     tasks = named.join(sizes, "family").select(
         F.when(small, F.xxhash64("family")).otherwise(F.col("key")).alias("key"),
-        *[F.when(small, F.lit(0)).otherwise(F.col(c)).alias(c) for c in ("a", "b", "side")],
+        F.when(small, F.lit(0)).otherwise(F.col("a")).alias("a"),
         "digest",
         "root",
     )
-    return tasks.distinct()
+    return _alone(tasks.distinct())
 
 
-def _member_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+def _member_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts: a third of the size of the sets, which are made where they are compared."""
     for batch in batches:
-        own = [*_sets(batch, hashes)]
-        digests = [set_digest(s) for s in own]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(digests, pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], names=["digest", "own"]
-        )
+        small = [zlib.compress(text.as_py(), 1) for text in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], names=["digest", "own"])
 
 
 def _verify(table: pa.Table) -> pa.Table:
     place: dict[bytes, int] = {}  # a text that is there twice counts once
     columns = (table[c].to_pylist() for c in ("digest", "side", "root"))
-    side, root, own = [], [], []
+    side, root, own, hashes = [], [], [], WordHashes()
     for n, (digest, at, joined) in enumerate(zip(*columns)):
         if digest not in place:
             place[digest] = len(side)
             side.append(at)
             root.append(joined)
-            own.append(np.frombuffer(table["own"][n].as_py(), np.uint64))
+            own.append(shingles(lower_words(zlib.decompress(table["own"][n].as_py())), hashes))
+            hashes.trim()
     names = list(place)
     found = links(own, np.array(side), root) if len(own) > 1 else []
     return pa.table(
@@ -404,58 +434,81 @@ def _verify(table: pa.Table) -> pa.Table:
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Staged (_id, digest, n, component_id): one row for each row of ``docs``."""
+    """Staged (_id, _row, digest, n, root): one row for each row of ``docs``.
+
+    ``root`` names the component of sets that have shingles; a column ``_row`` of ``docs`` is
+    kept as the row's name.
+    """
+    spark = docs.sparkSession
+    earlier = staged_paths(spark)
     texts = _texts(docs, id_col, text_col)
     described = stage(
-        texts.mapInArrow(_describe, "_id long, _hash long, digest binary, ref long, n long, counts binary"), "join-sets"
+        texts.mapInArrow(_describe, "_id long, _row long, _hash long, digest binary, ref long, n long, counts binary"),
+        "join-sets",
     )
     rows = described.count()
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent_shingles(texts, rows))
-    shards = 1 << min(16, max(4, (rows // 500).bit_length()))
-    packed = texts.mapInArrow(_emit_rarest(shards, frequent), "shard int, s binary, ref binary, n binary")
-    member = "key long, a int, b int, side int, ref long"
-    blocks = stage(packed.groupBy("shard").applyInArrow(_blocks, member).distinct(), "join-blocks")
+    frequent = spark.sparkContext.broadcast(_frequent_shingles(texts, rows))
+    shards = 1 << max(4, (rows // 500).bit_length())
+    rare = texts.mapInArrow(_emit_rarest(shards, frequent), "shard int, s binary, ref binary, n binary")
+    blocks = stage(
+        rare.groupBy("shard").applyInArrow(_blocks, "key long, a int, large boolean, ref long").distinct(), "join-blocks"
+    )
+    frequent.destroy()
     points = described.groupBy("ref").agg(F.min("counts").alias("counts"), F.min("n").alias("n"))
-    pruned = blocks.join(points, "ref").groupBy("key", "a", "b").applyInArrow(_prune, member)
+    member = "key long, a int, b int, side int, ref long, n long"
+    small = _alone(blocks.where("NOT large").drop("large")).join(points, "ref")
+    pruned = small.groupBy(*_BLOCK_KEY).applyInArrow(_prune, member).select("key", "a", "ref", "n", F.lit(False).alias("large"))
+    whole = blocks.where("large").join(points.select("ref", "n"), "ref").select(*pruned.columns)
+    survivors = stage(pruned.unionByName(whole), "join-survivors")
     # One text for each class that is left in a block; a class is named by its digest now.
     chosen = described.groupBy("digest", "ref").agg(F.min(F.struct("_hash", "_id")).alias("r"))
     members = stage(
-        stage(pruned, "join-survivors").join(chosen.select("ref", "digest"), "ref").withColumn("root", F.col("digest")),
-        "join-members",
+        survivors.join(chosen.select("ref", "digest"), "ref").withColumn("root", F.col("digest")), "join-members"
     )
     holders = stage(
         chosen.join(members.select("digest").distinct(), "digest", "left_semi").select(
-            F.col("r._hash").alias("h"), F.col("r._id").alias("i")
+            "digest", F.col("r._hash").alias("h"), F.col("r._id").alias("i")
         ),
         "join-holders",
     )
     few = holders.count() <= BROADCAST_ROWS
     own = (F.col("_hash") == F.col("h")) & F.col("_id").eqNullSafe(F.col("i"))
     carried = texts.join(F.broadcast(holders) if few else holders, own)
-    sets = stage(carried.select("text").mapInArrow(_member_sets, "digest binary, own binary"), "join-member-sets")
+    sets = stage(
+        carried.select("digest", "text").mapInArrow(_member_texts, "digest binary, own binary"), "join-member-texts"
+    )
+    has_large = not members.where("large").isEmpty()
 
     def verified(tasks: DataFrame) -> DataFrame:
         found = tasks.join(sets, "digest").groupBy(*_BLOCK_KEY).applyInArrow(_verify, "a binary, b binary")
         return stage(found, "join-links")
 
-    found = None
-    for _ in range(ROUNDS):
-        single = _fullest(members).join(members.select("digest", "root").distinct(), "digest")
-        more = verified(single)
-        found = more if found is None else found.unionByName(more)
-        roots = connected_components(found, "join-components")
+    def joined(found: DataFrame) -> DataFrame:
+        return connected_components(found.distinct(), "join-components")
+
+    found = verified(_fullest(members))
+    roots = joined(found)
+    for _ in range(ROUNDS - 1):
         members = stage(_open_blocks(members, roots), "join-open-blocks")
-    found = found.unionByName(verified(_families(members)))
-    roots = connected_components(found.distinct(), "join-components")
-    classes = described.groupBy("digest").agg(F.min("_id").alias("first"))
-    rooted = classes.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-    by_root = rooted.groupBy(F.coalesce("root", "digest").alias("root")).agg(F.min("first").alias("component"))
-    named = rooted.select("digest", F.coalesce("root", "digest").alias("root")).join(by_root, "root")
-    placed = described.join(named.select("digest", "component"), "digest")
+        found = found.unionByName(verified(_fullest(_delegates(members))))
+        roots = joined(found)
+    members = stage(_open_blocks(members, roots), "join-open-blocks")
+    found = found.unionByName(verified(_families(members.where("NOT large"))))
+    if has_large:
+        roots = joined(found)
+        members = stage(_open_blocks(members.where("large"), roots), "join-open-blocks")
+        tasks = _part_pairs(members).join(points, "ref")
+        close = tasks.groupBy(*_BLOCK_KEY).applyInArrow(_prune, f"{member}, digest binary, root binary")
+        found = found.unionByName(verified(stage(close.drop("ref", "n"), "join-part-pairs")))
+    roots = joined(found)
     # Sets without shingles are all equal but link with nothing.
-    return placed.select(
-        "_id", "_hash", "digest", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id")).alias("component_id")
+    named = described.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    result = stage(
+        named.select("_id", "_row", "digest", "n", F.when(F.col("n") > 0, F.coalesce("root", "digest")).alias("root")),
+        "join-result",
     )
+    release(spark, staged_paths(spark) - earlier, result)
+    return result
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -466,15 +519,33 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     its own text. A null id never names a component that holds another id. Other columns
     are ignored, an empty table gives an empty result.
     """
-    found = components(docs, id_col, text_col)
-    return found.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    found = components(docs.select(id_col, text_col), id_col, text_col)
+    # Combined before the shuffle, then joined by component, of which Spark can split a large one.
+    least = found.where("root IS NOT NULL").groupBy("root").agg(F.min("_id").alias("first"))
+    return found.join(least, "root", "left").select(
+        F.col("_id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("root").isNull(), F.col("_id")).otherwise(F.col("first")).alias("component_id"),
+    )
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component: the one whose id is the component's, all columns kept.
+    """One row of each component, all columns kept: the smallest id (nulls last), then the earliest row.
 
-    Texts without words link with nothing and stay, as do rows without an id.
+    Texts without words link with nothing and stay. Rows that repeat an id are judged each
+    by its own text.
     """
-    found = components(docs, id_col, text_col)
-    others = found.where("_id IS NOT NULL AND component_id < _id").select(F.col("_id").alias(id_col))
-    return docs.join(others.distinct(), id_col, "left_anti").select(*docs.columns)
+    rows = stage(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+            F.col(id_col).alias("_id"),
+            F.col(text_col).alias("_text"),
+            F.monotonically_increasing_id().alias("_row"),
+        ),
+        "join-rows",
+    )
+    found = components(rows, "_id", "_text").where("root IS NOT NULL")
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
+    first = found.groupBy("root").agg(F.min(order)["_row"].alias("_first"))
+    losers = found.join(first, "root").where("_row <> _first").select("_row")
+    return without_rows(rows, losers).select("_doc.*")

@@ -18,8 +18,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.llm.toxicity import fit_logistic, training_rows
 from barlake.runtime import stage
@@ -104,9 +105,10 @@ def _logit(p):
     return F.log(p / (1 - p))
 
 
-def score(
+def _judged(
     docs: DataFrame,
     labels: DataFrame,
+    passed: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
@@ -115,24 +117,17 @@ def score(
     threshold: float = THRESHOLD,
     train_rows: int = TRAIN_ROWS,
 ) -> DataFrame:
-    """One row per document: id, host, path, text_score, site_score, quality, keep.
-
-    Null texts are empty. Null hosts and null path parts are sites of their own. Labels
-    of the held-out fold teach nothing. Of repeated labels the largest counts; repeated
-    rows are judged alike. Other columns are ignored, an empty table gives an empty
-    result.
-    """
+    """One row per document: _passed, host, path, text_score, site_score, quality, keep."""
     labelled = training_rows(docs, labels, id_col, text_col, label_col, FOLDS, HELD_FOLD, train_rows)
     beta = fit(labelled)
     chosen = docs.select(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        F.col(id_col).cast("long").alias("_id"),
+        passed.alias("_passed"),
         F.col(host_col).cast("string").alias("host"),
         F.to_json(F.array(*[F.col(c).cast("string") for c in path_cols])).alias("path"),
     )
-    judged = stage(
-        chosen.mapInArrow(lambda b: _probabilities(b, beta), "_id long, host string, path string, own double"), "quality-own"
-    )
+    schema = T.StructType([*chosen.schema.fields[1:], T.StructField("own", T.DoubleType())])
+    judged = stage(chosen.mapInArrow(lambda b: _probabilities(b, beta), schema), "quality-own")
     # Grouped evidence: combined before the shuffle, a row for each path.
     good = 1 / (1 + F.exp(-F.col("own")))
     paths = stage(
@@ -161,7 +156,7 @@ def score(
     )
     final = F.col("own") + _logit(F.col("site_score")) - _logit(F.lit(mean))
     return joined.select(
-        F.col("_id").alias(id_col),
+        "_passed",
         "host",
         "path",
         good.alias("text_score"),
@@ -170,11 +165,23 @@ def score(
     ).withColumn("keep", F.col("quality") >= threshold)
 
 
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """One row per document: id, host, path, text_score, site_score, quality, keep.
+
+    Null texts are empty. Null hosts and null path parts are sites of their own. Labels
+    of the held-out fold teach nothing. Of repeated labels the largest counts; repeated
+    rows are judged alike. Other columns are ignored, an empty table gives an empty
+    result.
+    """
+    judged = _judged(docs, labels, F.col(id_col).cast("long"), id_col, **settings)
+    return judged.withColumnRenamed("_passed", id_col)
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs`` that ``score`` keeps, all columns kept.
 
-    Rejected ids are removed; of rows that repeat an id, all go if one is rejected. Rows
-    without an id are judged by the text alone and stay.
+    Each row is judged by its own text and site, also if it repeats an id or has none.
+    Whole rows are written once beside their text's score; only site rows are joined to them.
     """
-    rejected = score(docs, labels, id_col, **settings).where("NOT keep AND " + f"`{id_col}` IS NOT NULL")
-    return docs.join(rejected.select(F.col(id_col)).distinct(), id_col, "left_anti").select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judged(docs, labels, whole, id_col, **settings).where("keep").select("_passed.*")

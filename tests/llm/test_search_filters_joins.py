@@ -8,9 +8,10 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barlake.llm import jaccard_join, oracles, pivot_topk, repeat_index, url_filter
-from barlake.llm.common import WordHashes
+from barlake.llm.common import WordHashes, packed, unpacked
 from barlake.llm.components import connected_components
 
 TEXTS = "doc_id long, text string, source string, counts string"
@@ -290,3 +291,50 @@ def test_rarest_part_meets_every_linking_set(percent):
         b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.1], rng.integers(0, 1 << 62, 2, dtype=np.uint64)]))
         if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)):
             assert len(np.intersect1d(jaccard_join.rarest(a, frequent), jaccard_join.rarest(b, frequent)))
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(4)
+    values = np.sort(rng.integers(0, 1 << 64, 500, dtype=np.uint64))
+    again = unpacked(packed(np.diff(values, prepend=np.uint64(0))), np.uint64)
+    assert (np.cumsum(again, dtype=np.uint64) == values).all()
+    assert len(unpacked(packed(values[:0]), np.uint64)) == 0
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark):
+    text = " ".join(f"w{n}" for n in range(40))
+    rows = [(1, text, 0), (5, text + " more", 1), (5, "quite another text of six words", 2), (5, text, 3), (None, text, 4)]
+    rows += [(None, None, 5), (7, "", 6), (1, text, 7), (9, "long " * 300_000, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int").repartition(2)
+    kept = sorted(r["a.b"] for r in jaccard_join.keep_first(docs).collect())
+    assert kept in ([0, 2, 5, 6, 8], [2, 5, 6, 7, 8])
+
+
+def test_a_large_family_collapses_without_pairs_of_parts(spark, monkeypatch):
+    """50,000 near copies share blocks; no table of the join may outgrow the members by much."""
+    sizes = {}
+    plain = jaccard_join.stage
+
+    def counted(df, label):
+        out = plain(df, label)
+        sizes[label] = max(sizes.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    base = F.array(*[F.lit(f"w{n}") for n in range(30)])
+    own = F.concat(F.lit("x"), F.col("id").cast("string"))
+    docs = spark.range(50_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", base, own).alias("text"))
+    found = jaccard_join.assign(docs)
+    assert found.where("component_id <> 0").isEmpty() and found.count() == 50_000
+    assert max(sizes.values()) <= 50_000 * jaccard_join.rarest(np.arange(27), np.zeros(0)).size
+    assert sizes.get("join-part-pairs", 0) == 0
+
+
+def test_unrelated_members_of_a_large_block_meet_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    rng = random.Random(12)
+    rows = []
+    for n in range(60):
+        words = ["all", "share", "these", "five", "words"] + [f"v{rng.randrange(60)}" for _ in range(3)]
+        rows.append((n, " ".join(words), "s", None))
+    assert sorted(map(tuple, jaccard_join.assign(frame(spark, rows)).collect())) == brute_components(rows)
