@@ -8,8 +8,8 @@ is a multiset of lengths that fits one sequence. The program
 
 is solved by multiplicative weights: lengths that are covered too little gain weight, a
 knapsack dynamic program over the weights prices the next configuration. The fractional
-solution is rounded down, and the pieces left over (at most a sequence for each
-configuration) are packed by best fit. That plan is a table of ranges "the n-th to
+solution is rounded down, and what is left is priced once more by the knapsack program, one
+whole configuration after the other. That plan is a table of ranges "the n-th to
 m-th piece of length l lie at offset o of the sequences from s on", by which Spark
 places the pieces.
 """
@@ -187,51 +187,86 @@ def solve(
     return [(Counter(dict(k)), v * scale) for k, v in used.items()]
 
 
-def best_fit(counts: dict[int, int], width: int = WIDTH) -> list[tuple[Counter, int]]:
-    """Longest first, each into the fullest sequence it fits; works on counts by length.
+def lower_bound(counts: dict[int, int], width: int = WIDTH) -> int:
+    """Sequences that any packing needs: by room, and for pieces of which no two fit together."""
+    room = -(-sum(n * c for n, c in counts.items()) // width)
+    return max(room, sum(c for n, c in counts.items() if 2 * n > width))
 
-    Equal sequences are handled together, so the cost depends on the number of distinct
-    lengths and fillings, not on the number of pieces.
+
+def _fill_table(lengths: np.ndarray, width: int) -> np.ndarray:
+    """The most tokens that lengths (each as often as wanted) put into each room up to ``width``."""
+    best = np.zeros(width + 1, np.int64)
+    for room in range(1, width + 1):
+        fits = lengths[: int(np.searchsorted(lengths, room, "right"))]
+        best[room] = max(best[room - 1], (best[room - fits] + fits).max(initial=0))
+    return best
+
+
+def round_up(counts: dict[int, int], width: int = WIDTH) -> list[tuple[Counter, int]]:
+    """Whole configurations for what rounding down has left.
+
+    Prices are the program's where its bound by room is met: a length's worth is its tokens,
+    so every full sequence is as good. Each configuration starts with the longest piece that
+    is left and is filled along the knapsack table by the longest pieces that are still to be
+    had; the table is made anew when those cannot reach its value any more.
     """
-    open_by_room: dict[int, list[list]] = {}
-
-    def put(room: int, filling: Counter, times: int) -> None:
-        open_by_room.setdefault(room, []).append([filling, times])
-
-    for n in sorted(counts, reverse=True):
-        left = counts[n]
-        while left:
-            room = min((r for r, v in open_by_room.items() if r >= n and v), default=None)
-            if room is None:
-                each = min(width // n, left)
-                times = left // each
-                put(width - each * n, Counter({n: each}), times)
-                left -= each * times
-                continue
-            filling, times = open_by_room[room].pop()
-            each = min(room // n, left)
-            use = min(times, left // each)
-            if use < times:
-                put(room, filling, times - use)
-            put(room - each * n, filling + Counter({n: each}), use)
-            left -= each * use
-    return [(f, t) for v in open_by_room.values() for f, t in v]
+    lengths = np.array(sorted(n for n, c in counts.items() if c), dtype=np.int64)
+    left = np.array([counts[n] for n in lengths.tolist()], dtype=np.int64)
+    out: list[tuple[Counter, int]] = []
+    best, fresh = _fill_table(lengths, width), True
+    while left.any():
+        trial = left.copy()
+        used: Counter = Counter()
+        i, room = int(np.flatnonzero(left)[-1]), width
+        while i is not None:
+            trial[i] -= 1
+            used[i] += 1
+            room -= int(lengths[i])
+            i = None
+            while room > 0 and i is None:
+                n = int(np.searchsorted(lengths, room, "right"))
+                good = np.flatnonzero((trial[:n] > 0) & (best[room - lengths[:n]] + lengths[:n] >= best[room]))
+                if len(good):
+                    i = int(good[-1])
+                elif best[room] == best[room - 1] or fresh:
+                    room -= 1
+                else:
+                    break
+        if room > 0:
+            best, fresh = _fill_table(lengths[left > 0], width), True
+            continue
+        fresh = False
+        times = min(int(left[i]) // k for i, k in used.items())
+        for i, k in used.items():
+            left[i] -= k * times
+        out.append((Counter({int(lengths[i]): k for i, k in used.items()}), times))
+    return out
 
 
 def plan_sequences(counts: dict[int, int], width: int = WIDTH, rounds: int = 300) -> list[tuple[Counter, int]]:
-    """Configurations with whole multiplicities that hold exactly ``counts``."""
-    left = dict(counts)
+    """Configurations with whole multiplicities that hold exactly ``counts``.
+
+    The fractional multiplicities are rounded down, and further where what is left would
+    need more sequences than all pieces did; ``round_up`` holds the rest. Configurations of
+    short pieces alone wait until no piece is over half a sequence: what is left of those
+    needs short ones beside it.
+    """
+    left = {n: c for n, c in counts.items() if c}
+    halves = any(2 * n > width for n in left)
     chosen: list[tuple[Counter, int]] = []
+    spare = lower_bound(left, width)
     for config, amount in sorted(solve(counts, width, rounds), key=lambda c: -c[1]):
         times = min([int(amount), *(left[n] // k for n, k in config.items())])
-        if times > 0:
-            chosen.append((config, times))
-            for n, k in config.items():
-                left[n] -= k * times
-    left = {n: c for n, c in left.items() if c}
-    rounded = chosen + (best_fit(left, width) if left else [])
-    plain = best_fit(dict(counts), width) if counts else []
-    return min((rounded, plain), key=lambda p: sum(t for _, t in p))
+        if halves and 2 * max(config) <= width:
+            continue
+        while times > 0:
+            rest = left | {n: left[n] - k * times for n, k in config.items()}
+            if times + lower_bound(rest, width) <= spare:
+                chosen.append((config, times))
+                left, spare = rest, spare - times
+                break
+            times //= 2
+    return chosen + round_up(left, width)
 
 
 def slots(plan: list[tuple[Counter, int]]) -> dict[int, list[tuple[int, int, int, int]]]:

@@ -391,7 +391,7 @@ def _chunks(texts: DataFrame) -> DataFrame:
         first, n = TaskContext.get().partitionId() << 32, 0
         index, docs, ids, size = _Index([END]), [], [], 0
 
-        def packed() -> pa.RecordBatch:
+        def chunk() -> pa.RecordBatch:
             lengths = np.array([len(x) for x in ids], np.int64)
             flat = packed(np.concatenate(ids))
             row = (first + n, [d for d, _ in docs], [h for _, h in docs], lengths.tobytes(), flat, b" ".join(index.words))
@@ -403,10 +403,10 @@ def _chunks(texts: DataFrame) -> DataFrame:
                 ids.append(np.array([*map(index.__getitem__, lower_words(text.as_py())), 0], dtype=np.int32))
                 size += len(ids[-1])
                 if size >= CHUNK:
-                    yield packed()
+                    yield chunk()
                     index, docs, ids, size, n = _Index([END]), [], [], 0, n + 1
         if docs:
-            yield packed()
+            yield chunk()
 
     return stage(texts.mapInArrow(run, _CHUNKS), "lm-chunks")
 

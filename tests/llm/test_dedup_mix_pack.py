@@ -154,16 +154,45 @@ def test_long_runs_of_white_space_are_encoded():
         assert encode(text) == expected.tobytes()
 
 
+def plain_best_fit(counts, width):
+    """Sequences of longest-first best fit, piece by piece."""
+    rooms = Counter()
+    for n in sorted(counts, reverse=True):
+        for _ in range(counts[n]):
+            room = min((r for r in rooms if r >= n and rooms[r]), default=None)
+            if room is None:
+                room = width
+            else:
+                rooms[room] -= 1
+            rooms[room - n] += 1
+    return sum(rooms.values())
+
+
+def sequences(counts):
+    plan = best_fit.plan_sequences(counts)
+    packed = Counter()
+    for config, times in plan:
+        assert sum(n * k for n, k in config.items()) <= 1024
+        for n, k in config.items():
+            packed[n] += k * times
+    assert packed == Counter(counts)
+    return sum(t for _, t in plan)
+
+
 def test_configurations_beat_or_equal_plain_best_fit():
     for counts in ({600: 100, 350: 150, 500: 77, 280: 90, 700: 40, 330: 66, 90: 10}, {1024: 5, 1: 3}, {3: 1}, {}):
-        plan = best_fit.plan_sequences(counts)
-        packed = Counter()
-        for config, times in plan:
-            assert sum(n * k for n, k in config.items()) <= 1024
-            for n, k in config.items():
-                packed[n] += k * times
-        assert packed == Counter(counts)
-        assert sum(t for _, t in plan) <= sum(t for _, t in best_fit.best_fit(dict(counts)))
+        assert sequences(counts) <= plain_best_fit(counts, 1024)
+
+
+def test_program_packs_the_given_documents_near_the_bound(spark):
+    """Within 0.2 % of what the tokens need, and no worse than plain best fit by more than that."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lengths = best_fit.token_pieces(docs, VOCABULARY).groupBy("length").count().collect()
+    counts = {r[0]: r[1] for r in lengths}
+    need, bound = sequences(counts), best_fit.lower_bound(counts)
+    assert need <= bound * 1.002 and need <= plain_best_fit(counts, 1024) * 1.002
+    solved = best_fit.solve(counts)
+    assert sum(amount for _, amount in solved) > 0.5 * bound  # the program itself holds most of them
 
 
 def test_pieces_cut_so_that_only_the_first_is_short():

@@ -153,13 +153,16 @@ def lm_rows():
     return rows + [rows[5], (None, "w1 w2", None, None)]
 
 
+def tokens(text):
+    return [*re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")), ""]
+
+
 @pytest.mark.parametrize("head", [0, 5, 100_000])
 def test_base_score_is_exact_and_model_beats_it(spark, head):
     rows = lm_rows()
     out = defaultdict(list)
     for r in bloom_lm.score(frame(spark, rows), head=head).collect():
         out[r.doc_id].append(r)
-    tokens = lambda t: re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")) + [""]
     counts = Counter(w for i, t, *_ in rows if fold(i, 7) != 2 for w in tokens(t))
     n, v = sum(counts.values()), len(counts)
     base, model = 0.0, 0.0
@@ -189,6 +192,42 @@ def test_filter_over_the_broadcast_bound_scores_alike(spark, monkeypatch, head):
         assert b.score == pytest.approx(a.score) and b.base_score == pytest.approx(a.base_score)
 
 
+def test_score_against_an_exact_recount(spark):
+    """The model with exact levels in place of probes: a false probe can only raise a count."""
+    rows = [r for r in lm_rows() if r[0] is not None]
+    words, pairs = Counter(), Counter()
+    for i, text, *_ in rows:
+        if fold(i, 7) != 2:
+            own = [*tokens(text)]
+            words.update(own)
+            pairs.update(zip([own[-1], *own[:-1]], own))
+    n, v = sum(words.values()), len(words)
+    near = lambda c: float(bloom_lm.EXPECTED[bloom_lm.levels(np.array([c]))[0]]) if c else 0.0
+    got = defaultdict(list)
+    for r in bloom_lm.score(frame(spark, rows)).collect():
+        got[r.doc_id].append(r)
+    off, size = 0.0, 0
+    for i, text, *_ in rows:
+        own, want = [*tokens(text)], 0.0
+        for before, word in zip([own[-1], *own[:-1]], own):
+            single = (near(words[word]) + 1) / (n + v + 1)
+            context = near(words[before])
+            want += math.log10((min(near(pairs[before, word]), context) + bloom_lm.PRIOR * single) / (context + bloom_lm.PRIOR))
+        off += min(abs(r.score - want) for r in got[i])
+        size += len(own)
+    assert off / size < 0.02
+
+
+def test_narrow_keys_come_back():
+    rng = np.random.default_rng(3)
+    for shards in (1, 16, 1 << 20, 1 << 26):
+        keys = np.unique(bloom_lm.narrow(rng.integers(0, 1 << 64, 3000, dtype=np.uint64), shards))
+        top = shards.bit_length() - 1
+        for shard in ({0} if not top else {int(k) >> (64 - top) for k in keys[:50]}):
+            own = keys if not top else keys[(keys >> np.uint64(64 - top)) == shard]
+            assert (bloom_lm.unpack_keys(bloom_lm.pack_keys(own, shards), shard, shards) == own).all()
+
+
 def test_filter_finds_every_entry_and_seldom_others():
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2))
