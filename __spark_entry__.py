@@ -422,6 +422,12 @@ def forward_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(made.withColumns({"future_return": F.round("future_return", 9), "split": split}))
 
 
+def time_quantile_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter hours of all series split 60/20/20 by time."""
+    split = labels.quantile_split(_quarter_hours(spark, sf_dir))
+    return _naive(split.select("symbol", "event_time", "split"))
+
+
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.gap_report(_quarter_hours(spark, sf_dir))
 
@@ -489,6 +495,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ft_counts": feature_counts,
         "gold_layer": gold_layer,
         "forward_labels": forward_labels,
+        "time_quantile_split": time_quantile_split,
         "gap_report": gap_report,
         "missing_bars": missing_bars,
         "signal_contract": signal_contract,

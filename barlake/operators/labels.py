@@ -5,7 +5,9 @@ Labels look ahead, so they are a table of their own and no input of features.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions import bars as B
@@ -58,6 +60,51 @@ def time_split(at: Column, train_until: str, validate_until: str) -> Column:
     )
 
 
+def _time_at(rows: DataFrame, at: str, wanted: list[int]) -> list:
+    """For each of ``wanted`` the least time through which so many rows lie; no global sort.
+
+    Counts by day are combined before their shuffle; only the days in which a border falls
+    are counted again by exact time.
+    """
+    day = F.date_trunc("day", F.col(at))
+    days = sorted(tuple(r) for r in rows.groupBy(day.alias("d")).agg(F.count(F.lit(1))).collect())
+    out = []
+    for rank in wanted:
+        before = 0
+        for start, n in days:
+            if before + n >= rank:
+                break
+            before += n
+        inside = rows.where(day == F.lit(start)).groupBy(at).agg(F.count(F.lit(1)).alias("n"))
+        running = inside.select(at, F.sum("n").over(Window.orderBy(at)).alias("through"))
+        out.append(running.where(F.col("through") >= rank - before).agg(F.min(at)).first()[0])
+    return out
+
+
+def quantile_split(rows: DataFrame, at: str = "event_time", shares: tuple[float, float] = (0.6, 0.2)) -> DataFrame:
+    """``rows`` with ``split`` by time order: train, then validation, the rest test.
+
+    For when no dates are given. Rows of one time are never parted: a border is the least
+    time through which the share's rows lie. Rows without a time have no split; an empty
+    table stays empty. The borders are two values, read from a day histogram (one row a day)
+    and the exact times of two days.
+    """
+    if min(shares) <= 0 or sum(shares) >= 1:
+        raise ValueError(f"no split by shares {shares}")
+    timed = rows.where(F.col(at).isNotNull()).select(at)
+    total = timed.count()
+    if not total:
+        return rows.withColumn("split", F.lit(None).cast("string"))
+    ranks = [max(1, math.ceil(round(total * share, 6))) for share in (shares[0], sum(shares))]
+    first, second = _time_at(timed, at, ranks)
+    split = (
+        F.when(F.col(at) <= F.lit(first), "train")
+        .when(F.col(at) <= F.lit(second), "validation")
+        .when(F.col(at).isNotNull(), "test")
+    )
+    return rows.withColumn("split", split)
+
+
 def _minutes(timeframe: Column) -> Column:
     pairs = [F.lit(x) for pair in TIMEFRAME_MINUTES.items() for x in pair]
     return F.create_map(*pairs)[timeframe]

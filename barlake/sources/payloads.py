@@ -140,9 +140,10 @@ def _payload_error() -> Column:
 
 
 def payload_bars(parsed: DataFrame, source: str, record_prefix: str) -> DataFrame:
-    """Bars of the accepted responses, with provenance named by the caller."""
+    """Bars of the accepted responses in time order each, with provenance named by the caller."""
     symbol = F.upper(F.trim("symbol"))
-    accepted = F.when(F.col("error").isNull(), F.col("bars"))
+    # Time is a bar's first field.
+    accepted = F.array_sort(F.when(F.col("error").isNull(), F.col("bars")))
     exploded = parsed.select(
         symbol.alias("symbol"), "timeframe", F.inline_outer(accepted)
     ).filter("event_time IS NOT NULL")

@@ -2,8 +2,15 @@
 
 Input rows carry ``key``, ``value``, ``partition`` and ``offset``. The first valid event
 of a key, in partition and offset order, claims the key once and forever: in a
-micro-batch by one aggregate per key, across batches by what Bronze holds. Repeats are
-dropped and counted; everything else goes to the dead-letter side with its reason.
+micro-batch by one aggregate per key, across batches by the claims. Repeats are dropped and
+counted; everything else goes to the dead-letter side with its reason.
+
+Claims are a Parquet table of (key, query, batch) by trading day beside Bronze. A key holds
+its event time, so a batch reads the claims of its own days and nothing else, however many
+batches came before: no old batch folder is listed, no Bronze record parsed. Each batch adds
+a few files to its days; a day with many files is written anew as one. Claims follow the
+Bronze write, and a batch never looks at its own, so a retry after any failure comes to the
+same rows.
 
 Every batch writes to ``query=<id>/batch=<n>``, with the id that the checkpoint keeps. A
 retried batch replaces its own folder only; another query, or the same one with a new
@@ -12,6 +19,7 @@ checkpoint, adds folders beside it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,29 +49,84 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def unclaimed(first: DataFrame, bronze_root: str, own_folder: str) -> DataFrame:
-    """Rows whose key Bronze does not hold yet, this batch's own earlier try left aside.
+#: Files of a day from which its claims are written anew together.
+COMPACT_FILES = 32
+_CLAIM = "key string, query string, batch string"
 
-    A key holds the event time, so only the days from the batch's first to its last are
-    read; Bronze is partitioned by them.
-    """
-    spark = first.sparkSession
-    if not _exists(spark, bronze_root):
-        return first
-    day = F.col("fields")["trading_date"]
-    low, high = first.agg(F.min(day), F.max(day)).first()
-    if low is None:
-        return first
-    days = spark.read.option("basePath", bronze_root).schema(
-        "value string, query string, batch string, symbol string, timeframe string, trading_date string"
+
+def claims_path(bronze_root: str) -> str:
+    """Beside Bronze, under a name that readers of Bronze pass over."""
+    return f"{bronze_root.rstrip('/')}/_claims"
+
+
+def _day_folders(spark: SparkSession, bronze_root: str, days: list[str]) -> list[str]:
+    folders = [f"{claims_path(bronze_root)}/day={day}" for day in days]
+    return [folder for folder in folders if _exists(spark, folder)]
+
+
+def add_claims(accepted: DataFrame, bronze_root: str, query: str, batch: str) -> None:
+    """Claims of a batch's accepted rows (key and fields.trading_date); repeats do no harm."""
+    rows = accepted.select(
+        "key", F.lit(query).alias("query"), F.lit(batch).alias("batch"), F.col("fields")["trading_date"].alias("day")
     )
+    rows.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(claims_path(bronze_root))
+
+
+def rebuild_claims(spark: SparkSession, bronze_root: str) -> None:
+    """Claims of all that Bronze holds, for a Bronze layer that has none yet."""
     held = (
-        days.text(f"{bronze_root}/query=*/batch=*")
-        .where(F.concat(F.lit("query="), "query", F.lit("/batch="), "batch") != own_folder)
-        .where(F.col("trading_date").between(low, high))
-        .select(F.get_json_object("value", "$.kafka_key").alias("held"))
+        spark.read.option("basePath", bronze_root)
+        .schema("value string, query string, batch string, symbol string, timeframe string, trading_date string")
+        .text(f"{bronze_root}/query=*/batch=*")
     )
-    return first.join(held, F.col("key") == F.col("held"), "left_anti")
+    key = F.get_json_object("value", "$.kafka_key").alias("key")
+    rows = held.select(key, "query", "batch", F.col("trading_date").cast("string").alias("day"))
+    rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(claims_path(bronze_root))
+
+
+def compact_claims(spark: SparkSession, bronze_root: str, days: list[str], most: int = COMPACT_FILES) -> None:
+    """Write days of more than ``most`` files anew: the new files arrive before the old ones go.
+
+    Run by the one query that adds claims. A failure in between leaves rows twice, which reads
+    the same.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    for folder in _day_folders(spark, bronze_root, days):
+        fs = path_of(folder).getFileSystem(conf)
+        old = [f.getPath() for f in fs.listStatus(path_of(folder)) if f.getPath().getName().endswith(".parquet")]
+        if len(old) <= most:
+            continue
+        fresh = f"{claims_path(bronze_root)}/_compact-{uuid.uuid4().hex}"
+        rows = spark.read.schema(_CLAIM).parquet(*[f.toString() for f in old])
+        rows.distinct().hint("rebalance").write.parquet(fresh)
+        for file in fs.listStatus(path_of(fresh)):
+            if file.getPath().getName().endswith(".parquet"):
+                fs.rename(file.getPath(), path_of(folder, file.getPath().getName()))
+        for file in old:
+            fs.delete(file, False)
+        fs.delete(path_of(fresh), True)
+
+
+def batch_days(rows: DataFrame) -> list[str]:
+    """Trading days of a batch: one value a day, however many rows."""
+    day = F.col("fields")["trading_date"]
+    return sorted(r[0] for r in rows.select(day.alias("day")).distinct().collect() if r[0] is not None)
+
+
+def unclaimed(first: DataFrame, bronze_root: str, query: str, batch: str) -> DataFrame:
+    """Rows whose key no other batch has claimed; claims of an earlier try of this one count as none."""
+    spark = first.sparkSession
+    if not _exists(spark, claims_path(bronze_root)):
+        if not _exists(spark, bronze_root):
+            return first
+        rebuild_claims(spark, bronze_root)
+    folders = _day_folders(spark, bronze_root, batch_days(first))
+    if not folders:
+        return first
+    held = spark.read.schema(_CLAIM).parquet(*folders)
+    other = held.where((F.col("query") != query) | (F.col("batch") != batch)).select(F.col("key").alias("held"))
+    return first.join(other, F.col("key") == F.col("held"), "left_anti")
 
 
 def write_bronze_batch(accepted: DataFrame, root: str, folder: str) -> None:
@@ -109,11 +172,12 @@ def start_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        folder = f"query={query_id(spark, checkpoint)}/batch={batch_id}"
+        own = query_id(spark, checkpoint), str(batch_id)
+        folder = "query={}/batch={}".format(*own)
         # Written once: the source is read, decoded and checked a single time a batch.
         checked = stage(batch, "ingest-batch")
         accepted = stage(
-            unclaimed(first_per_key(checked.filter("error_type IS NULL")), bronze_root, folder), "ingest-accepted"
+            unclaimed(first_per_key(checked.filter("error_type IS NULL")), bronze_root, *own), "ingest-accepted"
         )
         try:
             invalid = checked.filter("error_type IS NOT NULL")
@@ -121,6 +185,8 @@ def start_ingest(
                 pass  # nothing to add, and no earlier try to replace
             else:
                 write_bronze_batch(accepted, bronze_root, folder)
+                add_claims(accepted, bronze_root, *own)
+                compact_claims(spark, bronze_root, batch_days(accepted))
             if send_dead_letters is None:
                 write_dead_letter_batch(invalid, dead_letter_root, folder)
             else:

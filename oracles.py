@@ -516,6 +516,12 @@ SELECT symbol, event_time, timeframe, trading_date, CAST(4 AS BIGINT) AS horizon
        CASE WHEN event_time < TIMESTAMP '2024-01-10' THEN 'train'
             WHEN event_time < TIMESTAMP '2024-01-20' THEN 'validation' ELSE 'test' END AS split
 FROM l""",
+        "time_quantile_split": f"""{coarse15}, o AS (
+  SELECT symbol, event_time, count(*) OVER (ORDER BY event_time) AS through, count(*) OVER () AS n FROM coarse
+), b AS (SELECT min(event_time) FILTER (through >= n * 0.6) AS t1, min(event_time) FILTER (through >= n * 0.8) AS t2 FROM o)
+SELECT symbol, event_time,
+  CASE WHEN event_time <= t1 THEN 'train' WHEN event_time <= t2 THEN 'validation' ELSE 'test' END AS split
+FROM o, b""",
         "gap_report": f"""{coarse15}, g AS (
   SELECT symbol, timeframe, trading_date, count(*) AS present,
          CAST((epoch(max(event_time)) - epoch(min(event_time))) / 900 + 1 AS BIGINT) AS expected

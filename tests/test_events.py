@@ -1,6 +1,7 @@
 """Event contract, payloads, publishing and streaming ingestion."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from barlake.operators import events as E
 from barlake.schema import ContractError
 from barlake.sources import payloads as P
 from barlake.sources.raw_events import read_raw_events
+from barlake.streaming import ingest
 from barlake.streaming.ingest import (
     count_outcomes,
     first_per_key,
@@ -18,7 +20,7 @@ from barlake.streaming.ingest import (
     unclaimed,
     write_bronze_batch,
 )
-from barlake.streaming.publish import publish
+from barlake.streaming.publish import first_rows, publish
 
 GOOD = dict(
     schema_version="ohlcv_raw_v1",
@@ -155,12 +157,60 @@ def test_stream_keeps_the_first_event_of_each_key(spark, tmp_path):
     first = query_id(spark, str(tmp_path / "cp"))
     checked = E.validate_messages(spark.read.schema(DDL).json(str(tmp_path / "in")))
     folder = f"query={first}/batch=0"
-    again = unclaimed(first_per_key(checked), str(tmp_path / "bronze"), folder)
+    again = unclaimed(first_per_key(checked), str(tmp_path / "bronze"), first, "0")
     write_bronze_batch(again, str(tmp_path / "bronze"), folder)
     bronze = read_raw_events(spark, str(tmp_path / "bronze")).collect()
     assert sorted((r["kafka_offset"], r["volume"]) for r in bronze) == [(n, 1.0) for n in range(12)]
 
 
+def day_rows(day, minutes, offset=0):
+    """Messages of one trading day."""
+    out = []
+    for n in minutes:
+        at = f"{day}T02:{n:02d}:00Z"
+        changes = {"event_time": at, "trading_date": day, "key": f"AAA|{at}|1m"}
+        out.append((*message(changes), 0, offset + n))
+    return out
+
+
+def test_a_batch_reads_the_claims_of_its_days_only(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    days = [f"2026-03-{d:02d}" for d in (9, 10, 11)]
+    for n, day in enumerate(days):
+        put(tmp_path, f"{n}.json", day_rows(day, range(4)))
+        run_stream(spark, tmp_path)
+    # Late rows of the first day: two are repeats, one is new.
+    put(tmp_path, "late.json", day_rows(days[0], range(2, 5), 50))
+    run_stream(spark, tmp_path)
+    assert outcomes(spark, tmp_path) == {"accepted": 13, "duplicate": 2, "dead_lettered": 0}
+    checked = E.validate_messages(spark.read.schema(DDL).json(str(tmp_path / "in" / "late.json")))
+    left = unclaimed(first_per_key(checked), root, "other", "0")
+    claims = [f for f in left.inputFiles() if "/bronze/" in f]
+    assert left.isEmpty() and claims and all(f"/_claims/day={days[0]}/" in f for f in claims)
+    # A day's files become one, with the same claims; a layer without claims gets them from Bronze.
+    held = lambda: sorted(map(tuple, spark.read.parquet(ingest.claims_path(root)).collect()), key=str)
+    before = held()
+    ingest.compact_claims(spark, root, days, most=1)
+    day_files = list((tmp_path / "bronze" / "_claims" / f"day={days[0]}").glob("*.parquet"))
+    assert held() == before and len(before) == 13 and len(day_files) == 1
+    (tmp_path / "bronze" / "_claims").rename(tmp_path / "old-claims")
+    run_stream(spark, tmp_path, "other")
+    assert read_raw_events(spark, root).count() == 13 and held() == before
+
+
+def test_first_rows_at_any_limit(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", "c", None]), f"2024-01-{rng.randrange(1, 4):02d} {n // 60:02d}:{n % 60:02d}:00", n) for n in range(200)]
+    rows += [("a", None, 900), (None, None, 901)]
+    bars = spark.createDataFrame(rows, "symbol string, at string, n int").selectExpr("symbol", "CAST(at AS timestamp) event_time", "n")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or ""))
+    for limit in (1, 2, 37, 50, 101, 150, 202, 500):
+        first = first_rows(bars, limit)
+        assert sorted(r["n"] for r in first.collect()) == sorted(r[2] for r in order[:limit]), limit
+    plan = first_rows(bars, 37)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "rangepartitioning" not in plan and "SinglePartition" not in plan
+
+
 def test_empty_names_fall_through(spark):
     built = E.build_events(bars(spark).withColumn("source", F.lit("")), ingest_run_id="").first()
     assert built["source"] == "unknown" and len(built["ingest_run_id"]) == 36

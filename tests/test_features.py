@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from barlake.operators import labels
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     FeatureConfig,
@@ -208,3 +209,16 @@ def test_silver_contract_is_enforced(spark):
     bad[5] = 1.0
     with pytest.raises(ContractError, match="high"):
         build_features(frame(spark, [tuple(bad)]))
+
+
+def test_split_by_time_shares_never_parts_a_time(spark):
+    rows = [(n, f"2024-01-{1 + n // 40:02d} 00:{n % 40 // 2:02d}:00") for n in range(99)] + [(99, None)]
+    table = spark.createDataFrame(rows, "n int, at string").selectExpr("n", "CAST(at AS timestamp) event_time")
+    got = {r["n"]: r["split"] for r in labels.quantile_split(table).collect()}
+    times = sorted(at for _, at in rows if at)
+    first, second = times[math.ceil(0.6 * 99) - 1], times[math.ceil(0.8 * 99) - 1]
+    for n, at in rows:
+        assert got[n] == (None if at is None else "train" if at <= first else "validation" if at <= second else "test")
+    assert labels.quantile_split(table.limit(0)).count() == 0
+    one = labels.quantile_split(table.where("n = 5")).first()
+    assert one["split"] == "train"
