@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import WordHashes, lower_words, mix, packed, record_batch, unpacked, without_rows
+from barlake.llm.common import WordHashes, lower_words, mix, record_batch, without_rows
 from barlake.llm.components import connected_components
 from barlake.runtime import release, stage, staged_paths
 
@@ -219,6 +219,16 @@ def _sets(batch: pa.RecordBatch, hashes: WordHashes) -> Iterator[np.ndarray]:
         hashes.trim()
 
 
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, after a byte that tells how many."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return bytes([kind.itemsize]) + counts.astype(kind).tobytes()
+
+
+def _counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.uint32)
+
+
 def _ref(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
@@ -226,7 +236,7 @@ def _ref(digest: bytes) -> int:
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        sets = [(set_digest(s), len(s), packed(count_vector(s).astype(np.uint32))) for s in _sets(batch, hashes)]
+        sets = [(set_digest(s), len(s), _small(count_vector(s))) for s in _sets(batch, hashes)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("_id"),
@@ -282,7 +292,7 @@ def _emit_rarest(shards: int, carried) -> callable:
             value, ref, size = value[order], ref[order], size[order]
             edges = np.flatnonzero(np.diff((value >> shift).astype(np.int64), prepend=-1, append=shards))
             rows = [
-                (int(value[lo] >> shift), packed(np.diff(value[lo:hi], prepend=np.uint64(0))), ref[lo:hi].tobytes(), packed(size[lo:hi]))
+                (int(value[lo] >> shift), value[lo:hi].tobytes(), ref[lo:hi].tobytes(), size[lo:hi].tobytes())
                 for lo, hi in zip(edges[:-1], edges[1:])
             ]
             yield record_batch(rows, names, kinds)
@@ -292,9 +302,9 @@ def _emit_rarest(shards: int, carried) -> callable:
 
 def _blocks(table: pa.Table) -> pa.Table:
     """Members of every block of a hash range: (block key, part, whether there are more, ref)."""
-    s = np.concatenate([np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table["s"].to_pylist()])
+    s = np.concatenate([np.frombuffer(x, np.uint64) for x in table["s"].to_pylist()])
     ref = np.concatenate([np.frombuffer(x, np.int64) for x in table["ref"].to_pylist()])
-    n = np.concatenate([unpacked(x, np.uint32) for x in table["n"].to_pylist()]).astype(np.int64)
+    n = np.concatenate([np.frombuffer(x, np.uint32) for x in table["n"].to_pylist()]).astype(np.int64)
     order = np.lexsort((ref, n, s))
     s, ref, n = s[order], ref[order], n[order]
     new = np.ones(len(s), bool)
@@ -327,7 +337,7 @@ def _blocks(table: pa.Table) -> pa.Table:
 
 def _prune(table: pa.Table) -> pa.Table:
     """Members of a task that could link with another one by their points."""
-    points = [unpacked(x, np.uint32) for x in table["counts"].to_pylist()]
+    points = [_counts(x) for x in table["counts"].to_pylist()]
     kept = could_link(points, table["n"].to_numpy(), table["side"].to_numpy())
     return table.drop_columns(["counts"]).filter(pa.array(kept))
 
