@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from barlake.operators import dedupe, events, labels, quality
+from barlake.operators import dedupe, events, labels, quality, training
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     add_features,
@@ -428,6 +428,36 @@ def time_quantile_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(split.select("symbol", "event_time", "split"))
 
 
+def binary_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = labels.forward_labels(_quarter_hours(spark, sf_dir), 4, 0.05)
+    kept = training.binary_labels(made).select("symbol", "event_time", "target", F.round("future_return", 9).alias("future_return"))
+    return _naive(kept)
+
+
+def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter hours with their time split; full hours miss their volume."""
+    rows = labels.quantile_split(_quarter_hours(spark, sf_dir))
+    return rows.withColumn("volume", F.when(F.minute("event_time") != 0, F.col("volume")))
+
+
+def preparation_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = training.fit_preparation(_training_rows(spark, sf_dir), ("close", "high", "volume"))
+    return found.select("column", *[F.round(c, 6).alias(c) for c in ("median", "mean", "scale")])
+
+
+def prepared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every split's rows, imputed and scaled by what the train rows taught."""
+    rows = _training_rows(spark, sf_dir)
+    done = training.apply_preparation(rows, training.fit_preparation(rows, ("close", "high", "volume")))
+    return _naive(done.select("symbol", "event_time", *[F.round(c, 6).alias(c) for c in ("close", "high", "volume")]))
+
+
+def feature_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bar columns by how far they tell the symbols apart in the train rows."""
+    ranked = training.rank_features(_training_rows(spark, sf_dir), ("close", "high", "low", "volume"), "symbol")
+    return ranked.withColumn("f_value", F.round("f_value", 6))
+
+
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.gap_report(_quarter_hours(spark, sf_dir))
 
@@ -496,6 +526,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_layer": gold_layer,
         "forward_labels": forward_labels,
         "time_quantile_split": time_quantile_split,
+        "binary_labels": binary_labels,
+        "preparation_parameters": preparation_parameters,
+        "prepared_rows": prepared_rows,
+        "feature_ranking": feature_ranking,
         "gap_report": gap_report,
         "missing_bars": missing_bars,
         "signal_contract": signal_contract,

@@ -381,6 +381,20 @@ _STATUS = "CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY event_time)
 
 def all_queries() -> dict[str, str]:
     coarse15 = f"WITH {_BARS}, {_resampled(15)}"
+    learned = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", m AS median, (SELECT avg(coalesce({c}, m)) FROM prep WHERE split = 'train') AS mean,
+  (SELECT stddev_samp(coalesce({c}, m)) FROM prep WHERE split = 'train') AS scale
+FROM (SELECT quantile_disc({c}, 0.5) AS m FROM prep WHERE split = 'train')"""
+        for c in ("close", "high", "volume")
+    )
+    training = f"""{coarse15}, o AS (
+  SELECT *, count(*) OVER (ORDER BY event_time) AS through, count(*) OVER () AS total FROM coarse
+), b AS (SELECT min(event_time) FILTER (through >= total * 0.6) AS t1, min(event_time) FILTER (through >= total * 0.8) AS t2 FROM o
+), prep AS (
+  SELECT symbol, event_time, high, low, close, CASE WHEN minute(event_time) <> 0 THEN volume END AS volume,
+    CASE WHEN event_time <= t1 THEN 'train' WHEN event_time <= t2 THEN 'validation' ELSE 'test' END AS split
+  FROM o, b
+), par AS ({learned})"""
     out = {f"resample_{m}m": _resample_query(m) for m in (5, 15, 30)}
     out |= {
         "landing_contract": f"""WITH {_BARS}, k AS (
@@ -516,6 +530,23 @@ SELECT symbol, event_time, timeframe, trading_date, CAST(4 AS BIGINT) AS horizon
        CASE WHEN event_time < TIMESTAMP '2024-01-10' THEN 'train'
             WHEN event_time < TIMESTAMP '2024-01-20' THEN 'validation' ELSE 'test' END AS split
 FROM l""",
+        "binary_labels": f"""{coarse15}, l AS (
+  SELECT *, lead(close, 4) OVER (PARTITION BY symbol ORDER BY event_time) / close - 1 AS r FROM coarse)
+SELECT symbol, event_time, CAST(r > 0.05 AS INTEGER) AS target, round(r, 9) AS future_return FROM l WHERE abs(r) > 0.05""",
+        "preparation_parameters": f"""{training}
+SELECT "column", round(median, 6) AS median, round(mean, 6) AS mean, round(scale, 6) AS scale FROM par""",
+        "prepared_rows": f"""{training}
+SELECT symbol, event_time, {", ".join(
+    f"round((coalesce({c}, (SELECT median FROM par WHERE \"column\" = '{c}')) - (SELECT mean FROM par WHERE \"column\" = '{c}'))"
+    f" / (SELECT scale FROM par WHERE \"column\" = '{c}'), 6) AS {c}" for c in ("close", "high", "volume"))}
+FROM prep""",
+        "feature_ranking": f"""{training}, v AS (
+  UNPIVOT (SELECT symbol, close, high, low, volume FROM prep WHERE split = 'train') ON close, high, low, volume
+  INTO NAME "column" VALUE x
+), g AS (SELECT "column", symbol, count(x) AS n, avg(x) AS m, var_pop(x) * count(x) AS w FROM v GROUP BY ALL),
+t AS (SELECT "column", avg(x) AS grand FROM v GROUP BY ALL),
+f AS (SELECT "column", (sum(n * (m - grand) ** 2) / (count(*) - 1)) / (sum(w) / (sum(n) - count(*))) AS f FROM g JOIN t USING ("column") GROUP BY "column")
+SELECT "column", round(f, 6) AS f_value, CAST(row_number() OVER (ORDER BY f DESC, "column") AS INTEGER) AS rank FROM f""",
         "time_quantile_split": f"""{coarse15}, o AS (
   SELECT symbol, event_time, count(*) OVER (ORDER BY event_time) AS through, count(*) OVER () AS n FROM coarse
 ), b AS (SELECT min(event_time) FILTER (through >= n * 0.6) AS t1, min(event_time) FILTER (through >= n * 0.8) AS t2 FROM o)

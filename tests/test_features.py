@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.operators import labels
+from barlake.operators import labels, training
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     FeatureConfig,
@@ -222,3 +222,51 @@ def test_split_by_time_shares_never_parts_a_time(spark):
     assert labels.quantile_split(table.limit(0)).count() == 0
     one = labels.quantile_split(table.where("n = 5")).first()
     assert one["split"] == "train"
+
+
+def training_rows(spark):
+    rows = [(n, "train" if n < 60 else "test", "ab"[n % 2], float(n % 7) if n % 5 else None, float("nan") if n == 3 else n * (1.0 + n % 2), 4.0, None) for n in range(90)]
+    schema = "n int, split string, label string, x double, y double, flat double, none double"
+    return rows, spark.createDataFrame(rows, schema).repartition(3)
+
+
+def test_preparation_learns_from_train_rows_only(spark):
+    rows, table = training_rows(spark)
+    names = ("x", "y", "flat", "none")
+    got = {r["column"]: r for r in training.fit_preparation(table, names).collect()}
+    changed = table.withColumn("x", F.when(F.col("split") == "train", F.col("x")).otherwise(1e9))
+    assert training.fit_preparation(changed, names).collect() == list(got.values())
+    for at, name in enumerate(names, 3):
+        held = sorted(r[at] for r in rows if r[1] == "train" and r[at] is not None and r[at] == r[at])
+        median = held[(len(held) - 1) // 2] if held else 0.0
+        full = [median if r[at] is None or r[at] != r[at] else r[at] for r in rows if r[1] == "train"]
+        mean = sum(full) / len(full)
+        scale = math.sqrt(sum((v - mean) ** 2 for v in full) / (len(full) - 1)) or 1.0
+        assert [got[name][c] for c in ("median", "mean", "scale")] == pytest.approx([median, mean, scale])
+    done = training.apply_preparation(table, training.fit_preparation(table, names))
+    sums = done.where("split = 'train'").agg(F.avg("x"), F.stddev_samp("y"), F.max("none")).first()
+    assert list(sums) == pytest.approx([0, 1, 0], abs=1e-9) and done.where("x IS NULL OR isnan(y)").isEmpty()
+    empty = training.fit_preparation(table.limit(0), names).collect()
+    assert [(r["median"], r["mean"], r["scale"]) for r in empty] == [(0, 0, 1)] * 4
+
+
+def test_ranking_equals_the_f_of_each_column(spark):
+    rows, table = training_rows(spark)
+    table = table.withColumn("told", F.when(F.col("label") == "a", 1.0).otherwise(2.0))
+    got = {r["column"]: r for r in training.rank_features(table, ("x", "y", "flat", "none", "told"), "label").collect()}
+    for name, at in (("x", 3), ("y", 4)):
+        by = {k: [r[at] for r in rows if r[1] == "train" and r[2] == k and r[at] is not None and r[at] == r[at]] for k in "ab"}
+        every = by["a"] + by["b"]
+        grand, means = sum(every) / len(every), {k: sum(v) / len(v) for k, v in by.items()}
+        across = sum(len(v) * (means[k] - grand) ** 2 for k, v in by.items())
+        inside = sum((x - means[k]) ** 2 for k, v in by.items() for x in v) / (len(every) - 2)
+        assert got[name]["f_value"] == pytest.approx(across / inside)
+    assert got["told"]["rank"] == 1 and got["told"]["f_value"] == math.inf
+    assert got["flat"]["f_value"] is None and got["none"]["f_value"] is None
+    ranking = training.rank_features(table, ("x", "y", "flat"), "label")
+    assert training.select_features(ranking, 2) == ["y", "x"]
+
+
+def test_binary_labels_drop_noise(spark):
+    made = spark.createDataFrame([("LONG", 1), ("HOLD", 2), ("SHORT", 3), (None, 4)], "label string, n int")
+    assert sorted((r["n"], r["target"]) for r in training.binary_labels(made).collect()) == [(1, 1), (3, 0)]
