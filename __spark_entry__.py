@@ -466,6 +466,10 @@ def missing_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(labels.missing_bars(_quarter_hours(spark, sf_dir)))
 
 
+def missing_in_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _naive(labels.missing_in_sessions(_quarter_hours(spark, sf_dir)))
+
+
 def signal_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels taken for signals: the report of their contract."""
     made = labels.forward_labels(_quarter_hours(spark, sf_dir), 1, 0.01)
@@ -532,6 +536,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_ranking": feature_ranking,
         "gap_report": gap_report,
         "missing_bars": missing_bars,
+        "missing_in_sessions": missing_in_sessions,
         "signal_contract": signal_contract,
     }
     for module in _text_modules():

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from barlake.functions import bars as B
 from barlake.operators.quality import DUPLICATE_KEY, Rule
 from barlake.operators.series import SERIES, with_position
-from barlake.schema import BUSINESS_KEY, SIGNAL_POSITIONS, TIMEFRAME_MINUTES
+from barlake.schema import BUSINESS_KEY, MARKET_ZONE, SIGNAL_POSITIONS, TIMEFRAME_MINUTES
 
 SIGNAL_KEY = ("pipeline_run_id", "strategy_name", *BUSINESS_KEY)
 
@@ -143,6 +143,51 @@ def missing_bars(bars: DataFrame) -> DataFrame:
     )
 
 
+#: Share of a series' days on which a bin must have a bar to belong to its session.
+SESSION_SHARE = 0.5
+
+
+def _day_bins(bars: DataFrame, zone: str) -> DataFrame:
+    """Distinct (series, trading_date, minute of the local day at which a bin starts)."""
+    minutes = _minutes(F.col("timeframe"))
+    local = F.from_utc_timestamp(F.col("event_time"), zone)
+    minute = F.hour(local) * 60 + F.minute(local)
+    rows = bars.where(minutes.isNotNull() & F.col("event_time").isNotNull())
+    return rows.select(*SERIES, "trading_date", (minute - F.pmod(minute, minutes)).cast("int").alias("minute")).distinct()
+
+
+def session_calendar(bars: DataFrame, zone: str = MARKET_ZONE, share: float = SESSION_SHARE) -> DataFrame:
+    """Per series the bins of its sessions: those with a bar on at least ``share`` of its days.
+
+    Learned by two aggregates that combine before their shuffle, so breaks, and bars that
+    stray outside the hours of trading, are no part of a session.
+    """
+    bins = _day_bins(bars, zone)
+    days = bins.groupBy(*SERIES).agg(F.count_distinct("trading_date").alias("days"))
+    held = bins.groupBy(*SERIES, "minute").agg(F.count(F.lit(1)).alias("held"))
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"d.{c}")) for c in SERIES]
+    both = held.alias("h").join(days.alias("d"), same).where(F.col("held") >= share * F.col("days"))
+    return both.select(*[F.col(f"h.{c}").alias(c) for c in SERIES], "minute", "held", "days")
+
+
+def missing_in_sessions(bars: DataFrame, zone: str = MARKET_ZONE, share: float = SESSION_SHARE) -> DataFrame:
+    """Start of every session bin without a bar, on each day the series has any bar.
+
+    Bins of a break are not missing; a bin lost in a session is, also at its ends. The days of
+    a series meet its session's bins by an equality join, at most one row a bin of a day.
+    """
+    bins = _day_bins(bars, zone)
+    calendar = session_calendar(bars, zone, share).drop("held", "days")
+    days = bins.select(*SERIES, "trading_date").distinct()
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in SERIES]
+    every = days.alias("d").join(calendar.alias("c"), same).select(*[f"d.{c}" for c in (*SERIES, "trading_date")], "minute")
+    keys = (*SERIES, "trading_date", "minute")
+    there = [F.col(f"e.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]
+    lost = every.alias("e").join(bins.alias("b"), there, "left_anti")
+    local = F.timestamp_seconds(F.unix_seconds(F.col("trading_date").cast("timestamp")) + F.col("minute") * 60)
+    return lost.select(*SERIES, "trading_date", F.to_utc_timestamp(local, zone).alias("event_time"))
+
+
 def signal_rules() -> list[Rule]:
     """Rules of the signals table in report order, for ``contract_report`` by ``SIGNAL_KEY``."""
     wanted = F.create_map(*[F.lit(x) for pair in SIGNAL_POSITIONS.items() for x in pair])

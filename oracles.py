@@ -564,6 +564,16 @@ SELECT *, expected - present AS missing FROM g""",
   FROM (SELECT symbol, timeframe, trading_date, min(event_time) AS low, max(event_time) AS high
         FROM coarse GROUP BY ALL))
 SELECT * FROM g ANTI JOIN coarse USING (symbol, timeframe, trading_date, event_time)""",
+        "missing_in_sessions": f"""{coarse15}, k AS (
+  SELECT symbol, timeframe, trading_date, event_time,
+         CAST(epoch(event_time + INTERVAL 7 HOUR) AS BIGINT) % 86400 AS second FROM coarse
+), d AS (SELECT DISTINCT symbol, timeframe, trading_date FROM k
+), n AS (SELECT symbol, timeframe, count(*) AS days FROM d GROUP BY ALL
+), c AS (SELECT symbol, timeframe, second FROM k JOIN n USING (symbol, timeframe) GROUP BY symbol, timeframe, second, days
+  HAVING count(*) >= 0.5 * days)
+SELECT symbol, timeframe, trading_date, CAST(trading_date AS TIMESTAMP) + to_seconds(second) - INTERVAL 7 HOUR AS event_time
+FROM d JOIN c USING (symbol, timeframe)
+WHERE (symbol, timeframe, trading_date, second) NOT IN (SELECT symbol, timeframe, trading_date, second FROM k)""",
         "signal_contract": f"""{coarse15}, l AS (
   SELECT lead(close) OVER (PARTITION BY symbol ORDER BY event_time) / close - 1 AS r FROM coarse)
 SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS duplicate_keys,

@@ -270,3 +270,18 @@ def test_ranking_equals_the_f_of_each_column(spark):
 def test_binary_labels_drop_noise(spark):
     made = spark.createDataFrame([("LONG", 1), ("HOLD", 2), ("SHORT", 3), (None, 4)], "label string, n int")
     assert sorted((r["n"], r["target"]) for r in training.binary_labels(made).collect()) == [(1, 1), (3, 0)]
+
+
+def test_breaks_are_no_missing_bars(spark):
+    """Two sessions with a break; one bar is lost inside, one at an end, one strays into the break."""
+    minutes = [*range(9 * 60, 11 * 60, 30), *range(13 * 60, 15 * 60, 30)]
+    rows = [(s, d, m) for s in ("a", None) for d in range(1, 6) for m in minutes]
+    lost = {("a", 2, 9 * 60 + 30), ("a", 3, 9 * 60), (None, 4, 14 * 60 + 30)}
+    rows = [r for r in rows if r not in lost] + [("a", 5, 12 * 60), ("a", 5, 12 * 60)]
+    made = [(s, f"2024-01-{d:02d}", f"2024-01-{d:02d} {m // 60 - 7:02d}:{m % 60:02d}:00", "30m") for s, d, m in rows]
+    bars = spark.createDataFrame(made, "symbol string, day string, at string, timeframe string").selectExpr(
+        "symbol", "CAST(day AS date) trading_date", "CAST(at AS timestamp) event_time", "timeframe"
+    )
+    found = {(r["symbol"], r["trading_date"].day, str(r["at"])) for r in labels.missing_in_sessions(bars).withColumn("at", F.date_format("event_time", "HH:mm")).collect()}
+    assert found == {(s, d, f"{m // 60 - 7:02d}:{m % 60:02d}") for s, d, m in lost}
+    assert labels.missing_in_sessions(bars.limit(0)).isEmpty()
