@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from barlake.operators import dedupe, events, labels, quality, training
+from barlake.operators import dedupe, events, labels, models, quality, training
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     add_features,
@@ -458,6 +458,14 @@ def feature_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.withColumn("f_value", F.round("f_value", 6))
 
 
+def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every classifier candidate on the features and labels of the quarter hours."""
+    bars = _quarter_hours(spark, sf_dir)
+    ahead = labels.forward_labels(bars, 4, 0.05).select(*BUSINESS_KEY, "label")
+    rows = labels.quantile_split(build_features(bars).join(ahead, list(BUSINESS_KEY)))
+    return models.compare_candidates(rows.where("feature_status = 'ready'"), FEATURE_COLUMNS, "label")
+
+
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.gap_report(_quarter_hours(spark, sf_dir))
 
@@ -534,6 +542,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preparation_parameters": preparation_parameters,
         "prepared_rows": prepared_rows,
         "feature_ranking": feature_ranking,
+        "candidate_scores": candidate_scores,
         "gap_report": gap_report,
         "missing_bars": missing_bars,
         "missing_in_sessions": missing_in_sessions,

@@ -3,7 +3,7 @@
 A key (including the all-null key of unreadable lines) may hold a large share
 of the input, so no window is partitioned by the key: counts and the newest row
 come from aggregates that reduce on the map side, and counts return to the rows
-through a join in which heavy keys never meet in one task.
+through a left join whose skewed partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from barlake.schema import BUSINESS_KEY, LAYER_COLUMNS
 
-_MAX_BROADCAST_KEYS = 10_000
-_MIN_HEAVY_ROWS = 1_000_000
-
 
 def key_stats(flagged: DataFrame) -> DataFrame:
     """Rows, valid rows and rejected rows per business key (nulls form keys too)."""
@@ -49,37 +46,22 @@ def quality_metrics(stats: DataFrame) -> DataFrame:
     )
 
 
-def _attach(rows: DataFrame, counts: DataFrame, small: bool = False) -> DataFrame:
-    renamed = counts.select(*[F.col(k).alias(f"key_{k}") for k in BUSINESS_KEY], "n")
-    same_key = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"key_{k}")) for k in BUSINESS_KEY],
-    )
-    other = F.broadcast(renamed) if small else renamed
-    return rows.join(other, same_key, "left").select(*rows.columns, "n")
-
-
-def with_duplicate_counts(
-    flagged: DataFrame, stats: DataFrame, heavy_rows: int | None = None
-) -> DataFrame:
+def with_duplicate_counts(flagged: DataFrame, stats: DataFrame) -> DataFrame:
     """Add ``duplicate_count`` and ``is_duplicate`` to every row.
 
-    Keys with at least ``heavy_rows`` rows go to a broadcast map; there are at
-    most ``input_rows / heavy_rows`` of them, and the default picks the threshold
-    so that this is at most ten thousand. All other repeated keys take the
-    shuffle join, where no key exceeds the threshold.
+    One left join with the counts of repeated keys, in which null parts are equal: one scan
+    of the rows and one of the counts. A key's rows need not meet in one task, because each
+    only looks its count up. Adaptive execution broadcasts few counts and otherwise splits
+    the partition of a hot key by the measured sizes of its map outputs, at any input size.
     """
-    if heavy_rows is None:
-        total = stats.agg(F.sum("duplicate_count")).first()[0] or 0
-        heavy_rows = max(_MIN_HEAVY_ROWS, -(-total // _MAX_BROADCAST_KEYS))
-    repeated = stats.filter("duplicate_count > 1").select(
-        *BUSINESS_KEY, F.col("duplicate_count").alias("n")
+    counts = stats.filter("duplicate_count > 1").select(
+        *[F.col(k).alias(f"key_{k}") for k in BUSINESS_KEY], F.col("duplicate_count").alias("n")
+    )
+    same_key = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"key_{k}")) for k in BUSINESS_KEY],
     )
-    heavy = repeated.filter(F.col("n") >= heavy_rows)
-    light = repeated.filter(F.col("n") < heavy_rows)
-    tagged = _attach(flagged, heavy, small=True)
-    rest = _attach(tagged.filter(F.col("n").isNull()).drop("n"), light)
-    counted = tagged.filter(F.col("n").isNotNull()).unionByName(rest)
+    counted = flagged.join(counts, same_key, "left").select(*flagged.columns, "n")
     return counted.withColumns(
         {
             "duplicate_count": F.coalesce("n", F.lit(1)).cast("bigint"),

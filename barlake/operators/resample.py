@@ -15,7 +15,8 @@ def resample(bars: DataFrame, timeframe: str, validate: bool = True) -> DataFram
     Provenance is per symbol and day: source and run id of the earliest row, latest
     ``ingested_at``. The first aggregate keeps only fixed-width buffers, so it runs
     as a hash aggregate with a map-side combine; the text columns ride along as
-    grouping keys and are settled on the few rows that are left.
+    grouping keys. What is left, at most a row a bin and origin, is dealt out by day once,
+    and both the bins and the day's provenance are settled there: two exchanges in all.
     """
     if timeframe not in TIMEFRAME_MINUTES:
         raise ContractError(f"unsupported target timeframe: {timeframe}")
@@ -40,7 +41,7 @@ def resample(bars: DataFrame, timeframe: str, validate: bool = True) -> DataFram
             F.max("ingested_at").alias("ingested_at"),
         )
     )
-    merged = by_origin.groupBy(*day, "bin").agg(
+    merged = by_origin.repartition(*day).groupBy(*day, "bin").agg(
         F.min_by("open", "first_at").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),

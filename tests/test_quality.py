@@ -107,15 +107,14 @@ def history(spark):
     return spark.createDataFrame([tuple(r[f.name] for f in fields) for r in rows], ddl)
 
 
-@pytest.mark.parametrize("heavy", [None, 2, 3])
-def test_counts_and_newest(spark, heavy):
+def test_counts_and_newest(spark):
     rows = quality.flag_events(history(spark))
     stats = dedupe.key_stats(rows)
     m = dedupe.quality_metrics(stats).first().asDict()
     assert m == dict(
         input_rows=7, distinct_business_keys=2, duplicate_rows=7, valid_rows=4, rejected_rows=3
     )
-    counted = dedupe.with_duplicate_counts(rows, stats, heavy)
+    counted = dedupe.with_duplicate_counts(rows, stats)
     assert sorted(r["duplicate_count"] for r in counted.collect()) == [2, 2, 2, 2, 3, 3, 3]
     newest = dedupe.newest_per_key(rows).collect()
     assert [(r["open"], r["duplicate_count"]) for r in newest] == [(10.3, 3)]
@@ -123,6 +122,55 @@ def test_counts_and_newest(spark, heavy):
     assert sorted(r["open"] for r in valid) == [10.3, 10.4]
 
 
+def executed_plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_key_is_split_by_measured_size(spark):
+    """Half of the rows hold one key: its partition is split, and rows and counts are scanned once each."""
+    at = F.timestamp_seconds(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") - F.col("id") % 4))
+    made = spark.range(0, 120_000, 1, 12).select(
+        F.when(F.col("id") % 2 == 1, "S").alias("symbol"), at.alias("event_time"), F.lit("1m").alias("timeframe"),
+        F.lit("valid").alias("quality_status"), F.xxhash64("id").alias("payload"),
+    )
+    rows = stage(made, "rows")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        counted = dedupe.with_duplicate_counts(rows, dedupe.key_stats(rows))
+        got = counted.select("symbol", "duplicate_count", "is_duplicate")
+        found = {}
+        for r in got.collect():
+            found[tuple(r)] = found.get(tuple(r), 0) + 1
+        plan = executed_plan(got).split("Initial Plan")[0]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert found == {(None, 60_000, True): 60_000, ("S", 2, True): 60_000}
+    assert "skew=true" in plan and plan.count("FileScan parquet") == 2
+
+
+def test_resampling_takes_two_exchanges(spark):
+    rows = [("A", datetime(2024, 1, 2, 1, m), "x" if m else "first", f"r{m % 2}", float(m)) for m in range(40)]
+    bars = spark.createDataFrame(rows, "symbol string, event_time timestamp, source string, ingest_run_id string, open double")
+    bars = bars.withColumns({c: F.col("open") for c in ("high", "low", "close", "volume")}).withColumns(
+        {"trading_date": F.to_date("event_time"), "ingested_at": F.col("event_time"), "timeframe": F.lit("1m")}
+    )
+    made = resample(bars.repartition(5), "15m", validate=False)
+    plan = executed_plan(made)
+    assert plan.count("Exchange hashpartitioning") == 2
+    got = [tuple(r) for r in made.orderBy("event_time").select("open", "high", "low", "close", "volume", "source", "ingest_run_id").collect()]
+    assert got == [(lo, hi, lo, hi, sum(range(int(lo), int(hi) + 1)), "first", "r0") for lo, hi in ((0.0, 14.0), (15.0, 29.0), (30.0, 39.0))]
+    assert {r["ingested_at"].minute for r in made.collect()} == {39}
+
+
 def test_batch_job_is_repeatable(spark, tmp_path):
     root = write_events(tmp_path, [event(), event(kafka_offset=2, open=10.6), event(close=0.0)], ["{x"])
     job = BatchJob(root, *(str(tmp_path / n) for n in ("bronze", "silver", "report")), run_id="one")
