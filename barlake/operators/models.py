@@ -124,27 +124,52 @@ def _prepared(column: str, median: float, mean: float, scale: float) -> Column:
     return (F.coalesce(training._finite(column), F.lit(median)) - mean) / scale
 
 
-def fit_candidate(
-    rows: DataFrame, columns: Sequence[str], label_col: str, candidate: Candidate, balanced: bool = True
-) -> Fitted:
-    """Train ``candidate`` on the labelled ``train`` rows of ``rows``.
+@dataclass(frozen=True)
+class Learned:
+    """What the train rows taught before any model: shared by all candidates."""
+
+    ranked: tuple[str, ...]
+    parameters: dict[str, tuple[float, float, float]]
+    weights: dict[str, float]
+
+
+def learn_columns(rows: DataFrame, columns: Sequence[str], label_col: str) -> Learned:
+    """Rank of the columns, their preparation and the class weights, from the labelled train rows.
 
     Columns are ranked by their one-way F between the labels; those without an F value are
-    left out, and the best ``candidate.top`` stay. Classes are in text order. Null labels do
-    not train. Fewer than two classes, more than ``MAX_CLASSES``, or no column that tells any
-    class apart are refused with ``ValueError``.
+    left out. Fewer than two classes, more than ``MAX_CLASSES``, or no column that tells any
+    class apart are refused with ``ValueError``. One aggregate each.
     """
     train = rows.where((F.col("split") == "train") & F.col(label_col).isNotNull())
-    found = {r["label"]: r["weight"] for r in class_weights(rows, label_col).limit(MAX_CLASSES + 1).collect()}
-    if not 2 <= len(found) <= MAX_CLASSES:
-        raise ValueError(f"no classifier for {len(found)} classes in the train rows")
-    classes = tuple(sorted(found))
+    weights = {r["label"]: r["weight"] for r in class_weights(rows, label_col).limit(MAX_CLASSES + 1).collect()}
+    if not 2 <= len(weights) <= MAX_CLASSES:
+        raise ValueError(f"no classifier for {len(weights)} classes in the train rows")
     ranking = training.rank_features(train, columns, label_col).where(F.col("f_value").isNotNull())
-    chosen = tuple(training.select_features(ranking, candidate.top))
-    if not chosen:
+    ranked = tuple(training.select_features(ranking, len(columns)))
+    if not ranked:
         raise ValueError("no column tells the classes of the train rows apart")
-    learned = {r["column"]: (r["median"], r["mean"], r["scale"]) for r in training.fit_preparation(train, chosen).collect()}
-    fitted = Fitted(candidate.name, chosen, classes, learned, ())
+    fitted = training.fit_preparation(train, ranked).collect()  # one row a column
+    return Learned(ranked, {r["column"]: (r["median"], r["mean"], r["scale"]) for r in fitted}, weights)
+
+
+def fit_candidate(
+    rows: DataFrame,
+    columns: Sequence[str],
+    label_col: str,
+    candidate: Candidate,
+    balanced: bool = True,
+    learned: Learned | None = None,
+) -> Fitted:
+    """Train ``candidate`` on the labelled ``train`` rows of ``rows``, with the best ``candidate.top`` columns.
+
+    Classes are in text order. Null labels do not train. ``learned`` spares the passes of
+    ``learn_columns`` when several candidates share their rows.
+    """
+    train = rows.where((F.col("split") == "train") & F.col(label_col).isNotNull())
+    learned = learned or learn_columns(rows, columns, label_col)
+    chosen, classes, found = learned.ranked[: candidate.top], tuple(sorted(learned.weights)), learned.weights
+    parameters = {c: learned.parameters[c] for c in chosen}
+    fitted = Fitted(candidate.name, chosen, classes, parameters, ())
     label = F.col(label_col).cast("string")
     number = F.array_position(F.array(*[F.lit(c) for c in classes]), label).cast("double") - 1
     weight = F.create_map(*[F.lit(x) for pair in found.items() for x in pair])[label] if balanced else F.lit(1.0)
@@ -157,7 +182,7 @@ def fit_candidate(
             models = (candidate.make().fit(table),)
     finally:
         unstage(rows.sparkSession, table)
-    return Fitted(candidate.name, chosen, classes, learned, models)
+    return Fitted(candidate.name, chosen, classes, parameters, models)
 
 
 def scores(predicted: DataFrame, fitted: Fitted, label_col: str) -> DataFrame:
@@ -198,9 +223,10 @@ def compare_candidates(
     """
     spark = rows.sparkSession
     rows = stage(rows.select("split", label_col, *columns), "labelled")
+    learned = learn_columns(rows, columns, label_col)
     reports = None
     for place, candidate in enumerate(candidates):
-        fitted = fit_candidate(rows, columns, label_col, candidate)
+        fitted = fit_candidate(rows, columns, label_col, candidate, learned=learned)
         report = scores(fitted.predict(rows), fitted, label_col).withColumn("place", F.lit(place))
         reports = report if reports is None else reports.unionByName(report)
     reports = stage(reports, "scores")  # a row a candidate and split

@@ -51,10 +51,19 @@ def _bucket_starts(counts: DataFrame) -> DataFrame:
     )
     placed = grouped.withColumn("in_group", F.coalesce(F.sum("n").over(in_group), F.lit(0)))
     return _join_series(placed, group_start, "grp").select(
-        *SERIES, "bucket", (F.col("group_start") + F.col("in_group")).alias("start")
+        *SERIES, "bucket", "n", (F.col("group_start") + F.col("in_group")).alias("start")
     )
 
 
+def _fitting_buckets(bars: DataFrame, max_bucket_rows: int) -> tuple[int, DataFrame]:
+    """The widest bucket whose fullest occurrence fits, and the rows of each of its buckets."""
+    for micros in _BUCKET_MICROS:
+        counts = stage(_bucket_counts(bars, micros), "bucket-counts")
+        if (counts.agg(F.max("n")).first()[0] or 0) <= max_bucket_rows:
+            break
+    return micros, counts
+
+
 def with_position(bars: DataFrame, max_bucket_rows: int = 1_000_000) -> DataFrame:
     """Add ``pos``, the zero-based rank of the row in its series by ``event_time``.
 
@@ -63,11 +72,8 @@ def with_position(bars: DataFrame, max_bucket_rows: int = 1_000_000) -> DataFram
     fits ``max_bucket_rows``; event times are unique in a series, so the narrowest
     bucket always fits. Spark picks the join by the size of the staged table.
     """
-    for micros in _BUCKET_MICROS:
-        counts = stage(_bucket_counts(bars, micros), "bucket-counts")
-        if (counts.agg(F.max("n")).first()[0] or 0) <= max_bucket_rows:
-            break
-    starts = stage(_bucket_starts(counts), "bucket-starts")
+    micros, counts = _fitting_buckets(bars, max_bucket_rows)
+    starts = stage(_bucket_starts(counts).drop("n"), "bucket-starts")
     order = Window.partitionBy(*SERIES, "bucket").orderBy("event_time")
     ranked = bars.withColumn("bucket", _bucket(micros)).withColumn(
         "rank", F.row_number().over(order)
@@ -95,3 +101,34 @@ def with_blocks(positioned: DataFrame, core: int, halo: int) -> DataFrame:
         ).alias("block"),
         "own",
     ).withColumn("is_core", F.col("block") == F.col("own")).drop("own")
+
+
+def in_blocks(bars: DataFrame, core: int, halo: int, max_bucket_rows: int | None = None) -> DataFrame:
+    """Add ``pos``, ``block`` and ``is_core`` as ``with_position`` and ``with_blocks`` do, in one wide shuffle.
+
+    A block is a run of whole time buckets, chosen from the buckets' measured counts alone, so
+    rows go to their block without having been ranked before; they are ranked there, by the
+    partitioning that the windows of features use too. Buckets that reach into the last
+    ``halo`` rows of a block also go to the next one. A block has at least ``core`` less
+    one bucket's rows and at most ``core`` plus one bucket's, besides its halo. A bucket holds
+    at most ``max_bucket_rows`` (an eighth of ``core`` if not given), unless event times repeat.
+    """
+    largest = max(1, core // 8) if max_bucket_rows is None else max_bucket_rows
+    if halo + largest > core:
+        raise ValueError("halo and one bucket must fit into a block")
+    micros, counts = _fitting_buckets(bars, largest)
+    placed = _bucket_starts(counts).withColumn("own", F.expr(f"start div {core}"))
+    block_end = F.max(F.col("start") + F.col("n")).over(Window.partitionBy(*SERIES, "own"))
+    buckets = stage(
+        placed.withColumn("reaches", F.col("start") + F.col("n") > block_end - halo).drop("n"), "bucket-blocks"
+    )
+    homes = F.when(F.col("reaches"), F.array("own", F.col("own") + 1)).otherwise(F.array("own"))
+    sent = _join_series(bars.withColumn("bucket", _bucket(micros)), buckets, "bucket").select(
+        *bars.columns, "start", "own", F.explode(homes).alias("block")
+    )
+    order = Window.partitionBy(*SERIES, "block").orderBy("event_time")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.first("start").over(so_far) + F.row_number().over(order) - 1
+    return sent.withColumns({"pos": pos, "is_core": F.col("own") == F.col("block")}).select(
+        *bars.columns, "pos", "block", "is_core"
+    )

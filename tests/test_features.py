@@ -14,7 +14,7 @@ from barlake.operators.features import (
     build_features,
     feature_families,
 )
-from barlake.operators.series import with_position
+from barlake.operators.series import in_blocks, with_position
 from barlake.schema import ContractError
 
 START = datetime(2024, 1, 1, 2, tzinfo=timezone.utc)
@@ -169,6 +169,36 @@ def test_many_blocks_match_brute_force(spark):
     compare(features_of(spark, rows, config), rows, 1)
 
 
+def test_a_build_of_many_blocks_matches_brute_force(spark):
+    """Blocks of whole buckets, of unequal size: ranks and features come from one wide shuffle."""
+    rows = wave(10_000)
+    built = build_features(frame(spark, rows).repartition(5), FeatureConfig(core_rows=400))
+    compare(built.orderBy("event_time").collect(), rows, 1)
+
+
+def test_blocks_of_buckets_hold_the_ranks_and_their_halo(spark):
+    rows = [r for r in wave(3000) if r[1].day % 3 or r[1].hour < 9] + wave(700, "BBB")
+    bars = frame(spark, rows).withColumn("symbol", F.when(F.col("symbol") == "AAA", "AAA")).repartition(4)
+    made = in_blocks(bars, 400, 150, 96)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    found = {}
+    for r in made.collect():
+        found.setdefault((r["symbol"], r["block"]), []).append((r["pos"], r["event_time"], r["is_core"]))
+    ranks = {(r["symbol"], r["event_time"]): r["pos"] for r in with_position(bars).collect()}
+    seen = []
+    for (symbol, block), held in found.items():
+        held.sort()
+        own = [p for p, _, core in held if core]
+        assert all(ranks[symbol, at] == p for p, at, _ in held)
+        assert [p for p, _, _ in held] == list(range(held[0][0], held[-1][0] + 1)) and len(own) <= 496
+        if own and own[0]:
+            assert own[0] - held[0][0] >= 150
+        seen += [(symbol is None, p) for p in own]
+    assert len(seen) == len(set(seen)) == len(rows)
+    assert in_blocks(bars.limit(0), 400, 150).isEmpty()
+
+
 def test_flat_prices_give_exact_zeros(spark):
     got = features_of(spark, wave(300, flat_from=100))
     assert got[250]["zclose_80"] == 0.0 and got[250]["volatility_80"] == 0.0
