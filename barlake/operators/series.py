@@ -103,7 +103,9 @@ def with_blocks(positioned: DataFrame, core: int, halo: int) -> DataFrame:
     ).withColumn("is_core", F.col("block") == F.col("own")).drop("own")
 
 
-def in_blocks(bars: DataFrame, core: int, halo: int, max_bucket_rows: int | None = None) -> DataFrame:
+def in_blocks(
+    bars: DataFrame, core: int, halo: int, max_bucket_rows: int | None = None, ahead: bool = False
+) -> DataFrame:
     """Add ``pos``, ``block`` and ``is_core`` as ``with_position`` and ``with_blocks`` do, in one wide shuffle.
 
     A block is a run of whole time buckets, chosen from the buckets' measured counts alone, so
@@ -111,18 +113,21 @@ def in_blocks(bars: DataFrame, core: int, halo: int, max_bucket_rows: int | None
     partitioning that the windows of features use too. Buckets that reach into the last
     ``halo`` rows of a block also go to the next one. A block has at least ``core`` less
     one bucket's rows and at most ``core`` plus one bucket's, besides its halo. A bucket holds
-    at most ``max_bucket_rows`` (an eighth of ``core`` if not given), unless event times repeat.
+    at most ``max_bucket_rows`` (an eighth of ``core`` if not given), unless event times repeat. With
+    ``ahead`` a block also gets the first bucket of the next one, for a look at the next row.
     """
     largest = max(1, core // 8) if max_bucket_rows is None else max_bucket_rows
     if halo + largest > core:
         raise ValueError("halo and one bucket must fit into a block")
     micros, counts = _fitting_buckets(bars, largest)
     placed = _bucket_starts(counts).withColumn("own", F.expr(f"start div {core}"))
-    block_end = F.max(F.col("start") + F.col("n")).over(Window.partitionBy(*SERIES, "own"))
-    buckets = stage(
-        placed.withColumn("reaches", F.col("start") + F.col("n") > block_end - halo).drop("n"), "bucket-blocks"
-    )
-    homes = F.when(F.col("reaches"), F.array("own", F.col("own") + 1)).otherwise(F.array("own"))
+    whole = Window.partitionBy(*SERIES, "own")
+    reaches = F.col("start") + F.col("n") > F.max(F.col("start") + F.col("n")).over(whole) - halo
+    opens = F.col("start") == F.min("start").over(whole)
+    buckets = stage(placed.withColumns({"reaches": reaches, "opens": opens}).drop("n"), "bucket-blocks")
+    next_one = F.when(F.col("reaches"), F.array(F.col("own") + 1)).otherwise(F.array())
+    last_one = F.when(F.col("opens") & F.lit(ahead), F.array(F.col("own") - 1)).otherwise(F.array())
+    homes = F.concat(F.array("own"), next_one, last_one)
     sent = _join_series(bars.withColumn("bucket", _bucket(micros)), buckets, "bucket").select(
         *bars.columns, "start", "own", F.explode(homes).alias("block")
     )

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.operators import labels, training
+from barlake.operators.contract_features import CONTRACT_COLUMNS, contract_features
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     FeatureConfig,
@@ -199,6 +200,47 @@ def test_blocks_of_buckets_hold_the_ranks_and_their_halo(spark):
     assert in_blocks(bars.limit(0), 400, 150).isEmpty()
 
 
+def test_contract_columns_match_brute_force(spark):
+    """6,000 bars over several blocks; a session ends where the next bar has another date."""
+    rows = wave(6000)
+    got = contract_features(frame(spark, rows).repartition(3), core_rows=400).orderBy("event_time").collect()
+    assert len(got) == 6000 and got[0].asDict().keys() >= set(CONTRACT_COLUMNS)
+    high, low, close, volume = ([r[k] for r in rows] for k in (5, 6, 7, 8))
+    tr = [max(h - l, *([abs(h - p), abs(l - p)] if p else [0.0])) for h, l, p in zip(high, low, [None, *close])]
+    moves = [(b - a) for a, b in zip(close, close[1:])]
+    gain, loss = ([None, *[max(0.0, s * m) for m in moves]] for s in (1, -1))
+    ups, downs = [0.0], [0.0]
+    for i in range(1, 6000):
+        up, down = high[i] - high[i - 1], low[i - 1] - low[i]
+        ups.append(up if up > down and up > 0 else 0.0)
+        downs.append(down if down > up and down > 0 else 0.0)
+    atr, g, l, pu, pd = (ewm(x, 1 / 14, 14) for x in (tr, gain, loss, ups, downs))
+    dx = [None if u is None else 100 * abs(u - d) / (u + d) if u + d > 0 else 0.0 for u, d in zip(pu, pd)]
+    adx, ema = ewm(dx, 1 / 14, 14), ewm(close, 2 / 21, 20)
+    for i, r in enumerate(got):
+        part = window(close, 20, i)
+        mean = sum(part) / 20 if part else None
+        std = math.sqrt(sum((c - mean) ** 2 for c in part) / 20) if part else None
+        line = window(close, 14, i)
+        slope = sum((k - 6.5) * c for k, c in enumerate(line)) / 227.5 if line else None
+        want = {
+            "atr_14": atr[i], "adx_14": adx[i], "ema_20": ema[i],
+            "rsi_14": None if g[i] is None else 100 * g[i] / (g[i] + l[i]),
+            "ema_slope": None if i == 0 or ema[i - 1] is None else ema[i] - ema[i - 1],
+            "bb_middle": mean, "bb_upper": mean and mean + 2 * std, "bb_lower": mean and mean - 2 * std,
+            "bb_width": mean and 4 * std / mean, "z_score": mean and (close[i] - mean) / std,
+            "lr_midline_14": line and sum(line) / 14 + 6.5 * slope,
+            "close_lag_5": close[i - 5] if i >= 5 else None, "return_3": close[i] / close[i - 3] - 1 if i >= 3 else None,
+            "volume_change": volume[i] / volume[i - 1] - 1 if i else None,
+            "is_session_end": rows[i][2] != rows[i + 1][2] if i < 5999 else None,
+        }
+        for name, value in want.items():
+            assert r[name] == (value if value is None else pytest.approx(value, rel=1e-7, abs=1e-7)), (i, name)
+        assert (r["hour"], r["day_of_week"]) == ((rows[i][1].hour + 7) % 24, rows[i][2].isoweekday() % 7 + 1)
+        assert r["available_at"] - r["event_time"] == timedelta(minutes=15)
+    assert contract_features(frame(spark, rows).limit(0)).isEmpty()
+
+
 def test_flat_prices_give_exact_zeros(spark):
     got = features_of(spark, wave(300, flat_from=100))
     assert got[250]["zclose_80"] == 0.0 and got[250]["volatility_80"] == 0.0
