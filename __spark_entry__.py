@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from barlake.operators import dedupe, events, labels, models, quality, training
+from barlake.operators.contract_features import contract_features
 from barlake.operators.features import (
     FEATURE_COLUMNS,
     add_features,
@@ -385,6 +386,13 @@ def feature_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract-only columns of the quarter hours, but for the exponential means."""
+    made = contract_features(_quarter_hours(spark, sf_dir))
+    rounded = [F.round(c, 5).alias(c) for c in oracles.CONTRACT_WINDOW_COLUMNS]
+    return _naive(made.select("symbol", "event_time", *rounded, "hour", "day_of_week", "is_session_end"))
+
+
 def feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_summary(build_features(event_bars(spark, sf_dir)))
 
@@ -535,6 +543,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out |= {
         "ft_status": feature_status,
         "ft_counts": feature_counts,
+        "contract_columns": contract_columns,
         "gold_layer": gold_layer,
         "forward_labels": forward_labels,
         "time_quantile_split": time_quantile_split,

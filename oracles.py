@@ -379,6 +379,34 @@ def _ft_session() -> str:
 _STATUS = "CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY event_time) > 121 THEN 'ready' ELSE 'warmup' END"
 
 
+#: Contract columns that plain windows give; the others are exponential means.
+CONTRACT_WINDOW_COLUMNS = (
+    "bb_upper", "bb_middle", "bb_lower", "bb_width", "z_score", "lr_midline_14",
+    *(f"close_lag_{k}" for k in range(1, 6)), *(f"return_{k}" for k in range(1, 4)), "volume_change",
+)
+
+
+def _contract_columns(coarse: str) -> str:
+    by = "PARTITION BY symbol ORDER BY event_time"
+    made = {
+        "bb_upper": "m + 2 * sd", "bb_middle": "m", "bb_lower": "m - 2 * sd", "bb_width": "4 * sd / nullif(m, 0)",
+        "z_score": "(close - m) / nullif(sd, 0)", "lr_midline_14": "m14 + 6.5 * slope",
+    }
+    made |= {f"close_lag_{k}": f"c{k}" for k in range(1, 6)}
+    made |= {f"return_{k}": f"close / nullif(c{k}, 0) - 1" for k in range(1, 4)}
+    made["volume_change"] = "volume / nullif(v1, 0) - 1"
+    rounded = ", ".join(f"round({made[c]}, 5) AS {c}" for c in CONTRACT_WINDOW_COLUMNS)
+    lags = ", ".join(f"lag(close, {k}) OVER ({by}) AS c{k}" for k in range(1, 6))
+    return f"""{coarse}, p AS (SELECT *, row_number() OVER ({by}) AS n FROM coarse), w AS (
+  SELECT *, {lags}, lag(volume) OVER ({by}) AS v1, lead(trading_date) OVER ({by}) AS next_day,
+         CASE WHEN n >= 20 THEN avg(close) OVER w20 END AS m, CASE WHEN n >= 20 THEN stddev_pop(close) OVER w20 END AS sd,
+         CASE WHEN n >= 14 THEN avg(close) OVER w14 END AS m14, regr_slope(close, n) OVER w14 AS slope
+  FROM p WINDOW w20 AS ({by} ROWS 19 PRECEDING), w14 AS ({by} ROWS 13 PRECEDING))
+SELECT symbol, event_time, {rounded}, hour(event_time + INTERVAL 7 HOUR) AS hour,
+       dayofweek(event_time + INTERVAL 7 HOUR) + 1 AS day_of_week, next_day <> trading_date AS is_session_end
+FROM w"""
+
+
 def all_queries() -> dict[str, str]:
     coarse15 = f"WITH {_BARS}, {_resampled(15)}"
     learned = " UNION ALL ".join(
@@ -521,6 +549,7 @@ SELECT count(*) AS rows, CAST(116 AS BIGINT) AS feature_count,
   FROM coarse WINDOW w AS (PARTITION BY symbol ORDER BY event_time))
 SELECT 'features_v1' AS feature_set_version, symbol, timeframe, trading_date, feature_status,
        count(*) AS bars, round(sum(move), 4) + 0.0 AS moves FROM s GROUP BY ALL""",
+        "contract_columns": _contract_columns(coarse15),
         "forward_labels": f"""{coarse15}, l AS (
   SELECT *, lead(close, 4) OVER (PARTITION BY symbol ORDER BY event_time) / close - 1 AS r FROM coarse)
 SELECT symbol, event_time, timeframe, trading_date, CAST(4 AS BIGINT) AS horizon_bars,
