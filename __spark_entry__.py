@@ -27,7 +27,7 @@ from barlake.operators.features import (
 )
 from barlake.operators.resample import resample
 from barlake.operators.series import with_position
-from barlake.plans.batch import BatchJob, run_batch
+from barlake.plans.batch import run_batch
 from barlake.plans.gold import build_gold
 from barlake.plans.landing import load_summary
 from barlake.runtime import scratch_path
@@ -198,21 +198,22 @@ def _newest(scope: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _batch_folders(root: str, raw: str) -> list[str]:
+    return [f"{root}/{name}" for name in (raw, "layer", "silver", "report")]
+
+
 def batch_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job over JSON files; returns the Silver layer read back."""
     root = scratch_path(spark, "batch-job")
     minute_events(spark, sf_dir).write.json(f"{root}/raw")
-    job = BatchJob(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/report")
-    run_batch(spark, job)
-    return _naive(read_silver(spark, job.silver_root))
+    run_batch(spark, *_batch_folders(root, "raw"))
+    return _naive(read_silver(spark, f"{root}/silver"))
 
 
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "batch-job")
     minute_events(spark, sf_dir).write.json(f"{root}/raw")
-    run_batch(
-        spark, BatchJob(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/report")
-    )
+    run_batch(spark, *_batch_folders(root, "raw"))
     return spark.read.parquet(f"{root}/report/parquet").drop(
         "run_id", "generated_at", "input_root"
     )
@@ -341,7 +342,7 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze of the stream through the batch job; returns the Silver layer."""
     root = _run_stream(spark, sf_dir)
-    run_batch(spark, BatchJob(f"{root}/bronze", f"{root}/b", f"{root}/silver", f"{root}/report"))
+    run_batch(spark, *_batch_folders(root, "bronze"))
     return _naive(read_silver(spark, f"{root}/silver"))
 
 

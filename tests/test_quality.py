@@ -10,7 +10,7 @@ from barlake.functions import times
 from barlake.operators import dedupe, quality
 from barlake.operators.resample import resample
 from barlake.operators.series import with_position
-from barlake.plans.batch import BatchJob, run_batch
+from barlake.plans.batch import run_batch
 from barlake.plans.landing import load_history
 from barlake.runtime import stage
 from barlake.schema import RAW_SCHEMA, ContractError
@@ -173,16 +173,15 @@ def test_resampling_takes_two_exchanges(spark):
 
 def test_batch_job_is_repeatable(spark, tmp_path):
     root = write_events(tmp_path, [event(), event(kafka_offset=2, open=10.6), event(close=0.0)], ["{x"])
-    job = BatchJob(root, *(str(tmp_path / n) for n in ("bronze", "silver", "report")), run_id="one")
-    first, second = run_batch(spark, job), run_batch(spark, job)
-    assert first == second
-    assert (first.input_rows, first.valid_rows, first.rejected_rows) == (4, 2, 2)
-    assert spark.read.parquet(job.bronze_root).count() == 4
-    assert [r["open"] for r in read_silver(spark, job.silver_root).collect()] == [10.6]
-    assert spark.read.json(f"{job.report_root}/json").first()["duplicate_rows"] == 3
+    bronze, silver, report = (str(tmp_path / n) for n in ("bronze", "silver", "report"))
+    first, second = (run_batch(spark, root, bronze, silver, report, run_id="one") for _ in range(2))
+    assert [(r["run_id"], r["input_rows"], r["valid_rows"], r["rejected_rows"]) for r in (first, second)] == [("one", 4, 2, 2)] * 2
+    assert spark.read.parquet(bronze).count() == 4
+    assert [r["open"] for r in read_silver(spark, silver).collect()] == [10.6]
+    assert spark.read.json(f"{report}/json").first()["duplicate_rows"] == 3
     (tmp_path / "none").mkdir()
     with pytest.raises(ContractError, match="no events"):
-        run_batch(spark, BatchJob(str(tmp_path / "none"), "b", "s", "r"))
+        run_batch(spark, str(tmp_path / "none"), "b", "s", "r")
 
 
 def test_history_and_resample(spark, tmp_path):
