@@ -234,6 +234,27 @@ def history_csv_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(bars.drop("source_record_id", "ingest_run_id", "ingested_at"))
 
 
+def history_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as one CSV file for each type, loaded as history: rows and times of each run id."""
+    root = scratch_path(spark, "history-files")
+    rows = event_bars(spark, sf_dir).select(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS'Z'").alias("Date"),
+        *[F.col(n).alias(n.capitalize()) for n in NUMERICS],
+        F.col("symbol").alias("type"),
+    )
+    sorted_files = rows.repartition("type").sortWithinPartitions("type", "Date")
+    sorted_files.write.option("header", "true").partitionBy("type").csv(root)
+    row = F.col("source_record_id").cast("bigint")
+    runs = history_csv.read_history(spark, root, "ALL").groupBy("ingest_run_id").agg(
+        F.count(F.lit(1)).alias("bars"),
+        F.min_by("event_time", row).alias("first_time"),
+        F.max_by("event_time", row).alias("last_time"),
+        F.max(row).alias("last_row"),
+        F.round(F.sum(row * F.col("close")), 2).alias("placed"),
+    )
+    return _naive(runs.drop("ingest_run_id"))
+
+
 def landing_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1m and 15m bars written twice to one landing layer: the second write replaces."""
     root = scratch_path(spark, "landing")
@@ -287,6 +308,23 @@ def payload_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(payloads.payload_bars(parsed, "market_api", "api"))
 
 
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One two-bar response per event, each event type broken in its own way."""
+    low, kind = F.col("value"), F.col("event_type")
+    pair = {n: F.array(low + d, low + d) for n, d in zip("ohlc", (1, 2, 0, 0.5))}
+    pair["h"] = F.when(kind == "click", F.array(low + 2)).otherwise(pair["h"])
+    pair["v"] = F.array(low, F.when(kind == "purchase", -1.0).otherwise(low))
+    stamps = F.array(F.lit(1_700_000_000), F.when(kind == "signup", 1_700_000_000).otherwise(1_700_000_060))
+    whole = F.to_json(F.struct(stamps.alias("t"), *[pair[n].alias(n) for n in "ohlcv"]))
+    responses = _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(kind == "error", F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole).alias("payload"),
+        kind.alias("symbol"),
+        F.when(F.col("event_id") % 10 == 0, "2").otherwise("5").alias("resolution"),
+    )
+    return payloads.rejected_payloads(payloads.parse_payloads(responses)).select("event_id", "timeframe", "error")
+
+
 # ---- events and streaming -----------------------------------------------------
 
 
@@ -307,7 +345,16 @@ def event_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = events.validate_messages(as_messages(raw_events(spark, sf_dir)))
     rows = events.dead_letters(checked.filter("error IS NOT NULL"))
-    return rows.select("schema_version", "original_key", "error_type", "error")
+    sent = F.from_json("payload", "symbol string, source_record_id string, low double, volume double")
+    return rows.withColumn("sent", sent).select("schema_version", "original_key", "error_type", "error", "sent.*")
+
+
+def foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events under keys that are partly another event's, or none."""
+    messages = events.to_messages(raw_events(spark, sf_dir), {"part": F.col("source_record_id").cast("bigint")})
+    sent = F.when(F.col("part") % 7 == 0, F.concat("key", F.lit("x"))).when(F.col("part") % 5 != 0, F.col("key"))
+    checked = events.validate_messages(messages.withColumn("key", sent))
+    return checked.groupBy("error_type", "error", (F.col("part") % 35).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,6 +441,25 @@ def contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(made.select("symbol", "event_time", *rounded, "hour", "day_of_week", "is_session_end"))
 
 
+def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as one series over several blocks: one bar for each order line."""
+    price = F.col("l_extendedprice")
+    lines = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min(price).alias("low"), F.max(price).alias("high"), F.max("l_quantity").alias("volume")
+    )
+    at = F.timestamp_seconds(F.lit(946_684_800) + 60 * (8 * F.col("l_orderkey") + F.col("l_linenumber")))
+    bars = lines.select(
+        F.lit("ALL").alias("symbol"),
+        at.alias("event_time"),
+        F.to_date(F.from_utc_timestamp(at, MARKET_ZONE)).alias("trading_date"),
+        F.lit("1m").alias("timeframe"),
+        F.col("low").alias("open"), "high", "low", F.col("high").alias("close"),
+        F.col("volume").cast("double").alias("volume"),
+    )
+    built = build_features(bars)
+    return _naive(built.select("symbol", "event_time", *[F.round(c, 5).alias(c) for c in oracles.LONG_SERIES]))
+
+
 def feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_summary(build_features(event_bars(spark, sf_dir)))
 
@@ -406,7 +472,11 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.read.parquet(f"{root}/gold")
         .groupBy("feature_set_version", "symbol", "timeframe", "trading_date", "feature_status")
-        .agg(F.count(F.lit(1)).alias("bars"), F.round(F.sum("mom_points_1"), 4).alias("moves"))
+        .agg(
+            F.count(F.lit(1)).alias("bars"),
+            F.round(F.sum("mom_points_1"), 4).alias("moves"),
+            *[F.round(F.sum(c), 3).alias(c) for c in oracles.GOLD_SUMS],
+        )
     )
 
 
@@ -527,12 +597,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_silver": batch_silver,
         "batch_report": batch_report,
         "history_csv_bars": history_csv_bars,
+        "history_runs": history_runs,
         "landing_layer": landing_layer,
         "landing_summary": landing_summary,
         "payload_bars": payload_bars,
+        "payload_rejects": payload_rejects,
         "event_json_key": event_json_key,
         "event_errors": event_errors,
         "dead_letters": dead_letters,
+        "foreign_keys": foreign_keys,
         "ingest_outcomes": ingest_outcomes,
         "stream_bronze": stream_bronze,
         "stream_outcomes": stream_outcomes,
@@ -544,6 +617,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out |= {
         "ft_status": feature_status,
         "ft_counts": feature_counts,
+        "ft_long_series": long_series,
         "contract_columns": contract_columns,
         "gold_layer": gold_layer,
         "forward_labels": forward_labels,

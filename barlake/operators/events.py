@@ -11,6 +11,7 @@ from barlake.functions.frames import evaluate_once
 from barlake.schema import (
     DLQ_SCHEMA_VERSION,
     EVENT_FIELDS,
+    EVENT_REASONS,
     EVENT_SCHEMA,
     MARKET_ZONE,
     NUMERICS,
@@ -117,44 +118,28 @@ def _event_error(key: Column | None) -> Column:
     required = F.array(*[F.lit(n) for n in sorted(REQUIRED_EVENT_FIELDS)])
     missing = F.when(p["gaps"], F.array_except(required, p["names"]))
     no_object = p["gaps"] & p["names"].isNull()
+    reason = {name: F.lit(text) for name, text in EVENT_REASONS.items()}
     rules = [
         (no_object & F.try_parse_json("value").isNull(), F.lit(_NOT_JSON)),
-        (no_object, F.lit("Kafka payload must be a JSON object")),
-        (
-            F.size(missing) > 0,
-            F.concat(F.lit("Missing event fields: "), F.array_join(missing, ", ")),
-        ),
+        (no_object, reason["no_object"]),
+        (F.size(missing) > 0, F.concat(reason["missing"], F.array_join(missing, ", "))),
         (
             unknown(p["schema_version"] == RAW_SCHEMA_VERSION),
-            F.concat(
-                F.lit("Unsupported schema_version: "),
-                F.coalesce(p["schema_version"], F.lit("null")),
-            ),
-        ),
-        (blank("symbol") | blank("timeframe"), F.lit("symbol and timeframe must not be empty")),
-        (~readable, F.lit("Invalid event value: unreadable timestamp")),
-        (unknown(p["aware"]), F.lit("Invalid event value: timestamps must be timezone-aware")),
-        (B.any_of([n.isNull() for n in numbers]), F.lit("Invalid event value: not a number")),
-        (
-            B.any_of([~B.is_finite(n) for n in numbers]),
-            F.lit("OHLCV values must be finite numbers"),
-        ),
-        (F.least(o, h, l, c) <= 0, F.lit("OHLC prices must be greater than zero")),
-        (
-            (h < F.greatest(o, c, l)) | (l > F.least(o, c, h)),
-            F.lit("OHLC bounds are invalid"),
+            F.concat(reason["version"], F.coalesce(p["schema_version"], F.lit("null"))),
         ),
-        (v < 0, F.lit("volume must not be negative")),
-        (unknown(p["trading_date"] == day), F.lit("trading_date does not match event_time")),
+        (blank("symbol") | blank("timeframe"), reason["empty"]),
+        (~readable, F.concat(reason["value"], F.lit("unreadable timestamp"))),
+        (unknown(p["aware"]), F.concat(reason["value"], reason["naive"])),
+        (B.any_of([n.isNull() for n in numbers]), F.concat(reason["value"], F.lit("not a number"))),
+        (B.any_of([~B.is_finite(n) for n in numbers]), reason["not_finite"]),
+        (F.least(o, h, l, c) <= 0, reason["not_positive"]),
+        ((h < F.greatest(o, c, l)) | (l > F.least(o, c, h)), reason["bounds"]),
+        (v < 0, reason["volume"]),
+        (unknown(p["trading_date"] == day), reason["day"]),
     ]
     if key is not None:
-        rules.append(
-            (
-                unknown(key == p["own_key"]),
-                F.lit("Kafka message key does not match the event business key"),
-            )
-        )
-    return F.coalesce(*[F.when(broken, reason) for broken, reason in rules])
+        rules.append((unknown(key == p["own_key"]), reason["key"]))
+    return F.coalesce(*[F.when(broken, text) for broken, text in rules])
 
 
 def validate_messages(messages: DataFrame, check_key: bool = True) -> DataFrame:

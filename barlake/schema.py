@@ -25,6 +25,20 @@ PAYLOAD_ALIASES = {
 EPOCH_MILLIS_FROM = 100_000_000_000
 EPSILON = 1e-12
 SIGNAL_POSITIONS = {"LONG": 1, "SHORT": -1, "HOLD": 0, "CLOSE": 0}
+EVENT_REASONS = {
+    "no_object": "Kafka payload must be a JSON object",
+    "missing": "Missing event fields: ",
+    "version": "Unsupported schema_version: ",
+    "empty": "symbol and timeframe must not be empty",
+    "value": "Invalid event value: ",
+    "naive": "timestamps must be timezone-aware",
+    "not_finite": "OHLCV values must be finite numbers",
+    "not_positive": "OHLC prices must be greater than zero",
+    "bounds": "OHLC bounds are invalid",
+    "volume": "volume must not be negative",
+    "day": "trading_date does not match event_time",
+    "key": "Kafka message key does not match the event business key",
+}
 # --- end of fixed values ---
 
 TIMEFRAME_MINUTES = {name: int(name[:-1]) for name in TIMEFRAMES}

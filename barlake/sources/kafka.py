@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ENVELOPE = ("key", "value", "partition", "offset")
 
 
+def as_text(data: Column) -> Column:
+    """Bytes read as UTF-8; what is not UTF-8 becomes U+FFFD, so a dead letter can hold any payload."""
+    return F.make_valid_utf8(data.cast("string"))
+
+
 def read_topic(
     spark: SparkSession, servers: str, topic: str, max_records: int | None = None
 ) -> DataFrame:
@@ -19,9 +25,8 @@ def read_topic(
     )
     if max_records is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_records)
-    return reader.load().selectExpr(
-        "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "partition", "offset"
-    )
+    texts = [as_text(F.col(name)).alias(name) for name in ("key", "value")]
+    return reader.load().select(*texts, "partition", "offset")
 
 
 def write_topic(messages: DataFrame, servers: str, topic: str) -> None:

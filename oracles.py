@@ -116,7 +116,7 @@ _MESSAGES = f"""{_RAW},
 messages AS (
   SELECT symbol || '|' || strftime(event_time, '%Y-%m-%dT%H:%M:%S') || 'Z|' || timeframe AS key,
          symbol, strftime(event_time, '%Y-%m-%dT%H:%M:%S') || 'Z' AS event_time, timeframe,
-         strftime(trading_date, '%Y-%m-%d') AS trading_date,
+         strftime(trading_date, '%Y-%m-%d') AS trading_date, source_record_id, low, volume,
          CASE WHEN not_positive THEN 'OHLC prices must be greater than zero'
               WHEN out_of_bounds THEN 'OHLC bounds are invalid'
               WHEN negative THEN 'volume must not be negative' END AS error
@@ -145,6 +145,9 @@ messages AS (
          open, high, low, close, volume, kafka_offset
   FROM minutes)"""
 
+#: Gold columns that are summed for each day, beside the price moves.
+GOLD_SUMS = ("close", "volume", "minute", "close_to_low", "mom_points_5")
+
 #: The first valid message of each key, by offset.
 _FIRST_MESSAGES = f"""{_MINUTE_MESSAGES},
 firsts AS (
@@ -167,12 +170,14 @@ def _roll(call: str, n: int, first: int = 0) -> str:
     return f"CASE WHEN i >= {first + n - 1} THEN {call} OVER {frame} END"
 
 
-def _features(ctes: str, last: str, features: dict[str, str], places: int = 5) -> str:
+def _features(
+    ctes: str, last: str, features: dict[str, str], places: int = 5, bars: str = f"{_BARS}, {_resampled(15)}"
+) -> str:
     body = ",\n  ".join(f"{sql} AS {name}" for name, sql in features.items())
     out = ",\n  ".join(
         f"round(lag({n}, 1) OVER {W}, {places}) + 0.0 AS {n}" for n in features
     )
-    return f"""WITH {_BARS}, {_resampled(15)},
+    return f"""WITH {bars},
 x AS (
   SELECT symbol, event_time, open AS o, high AS h, low AS l, close AS c, volume AS v,
          CAST(row_number() OVER (PARTITION BY symbol ORDER BY event_time) - 1 AS BIGINT) AS i
@@ -196,8 +201,16 @@ SELECT symbol, event_time, {out}
 FROM f"""
 
 
-def _ewm(name: str, source: str, means: dict[str, tuple[str, float, int, int]]) -> str:
-    """CTE ``name``: ``source`` plus exponential means (column, alpha, seed, min periods)."""
+def _ewm(
+    name: str, source: str, means: dict[str, tuple[str, float, int, int]], reach: int | None = None
+) -> str:
+    """CTE ``name``: ``source`` plus exponential means (column, alpha, seed, min periods).
+
+    ``reach`` ends the sums after so many rows, where what is left is beyond a double's digits.
+    """
+    earlier = f"{source} b ON a.symbol = b.symbol AND b.i <= a.i"
+    if reach:
+        earlier = f"{source} b ON b.symbol = a.symbol AND b.i = a.j"
     sums = ",\n         ".join(
         f"CASE WHEN a.i >= {seed + periods - 1} THEN sum(CASE WHEN b.i < {seed} THEN 0"
         f" WHEN b.i = {seed} THEN b.{x} ELSE {alpha!r} * b.{x} END"
@@ -208,7 +221,8 @@ def _ewm(name: str, source: str, means: dict[str, tuple[str, float, int, int]])
     return f""",
 {name}_sums AS (
   SELECT a.symbol, a.i, {sums}
-  FROM {source} a JOIN {source} b ON a.symbol = b.symbol AND b.i <= a.i
+  FROM {f"(SELECT symbol, i, unnest(range(i - {reach}, i + 1)) AS j FROM {source})" if reach else source} a
+  JOIN {earlier}
   GROUP BY a.symbol, a.i),
 {name} AS (
   SELECT s.*, {names} FROM {source} s JOIN {name}_sums USING (symbol, i))"""
@@ -249,6 +263,29 @@ def _ft_ema() -> str:
     return _features(ctes, "e", {f"ema_dist_{s}": f"(c - ema_{s}) / (ema_{s} + {E})" for s in spans})
 
 
+#: Features of the series that crosses blocks: lagged, rolling and exponential ones.
+LONG_SERIES = ("ret_55", "mom_points_1", "zclose_80", "volatility_20", "ema_dist_8", "ema_dist_13", "close_to_low")
+
+
+def _ft_long_series() -> str:
+    bars = """coarse AS (
+  SELECT 'ALL' AS symbol, TIMESTAMP '2000-01-01' + to_minutes(8 * l_orderkey + l_linenumber) AS event_time,
+         min(l_extendedprice) AS open, max(l_extendedprice) AS high, min(l_extendedprice) AS low,
+         max(l_extendedprice) AS close, max(l_quantity) AS volume
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+    means = {"ema_8": _span(8), "ema_13": _span(13)}
+    made = {
+        "ret_55": f"c / {_lag('c', 55)} - 1",
+        "mom_points_1": f"c - {_lag('c', 1)}",
+        "zclose_80": f"(c - {_roll('avg(c)', 80)}) / ({_roll('stddev_pop(c)', 80)} + {E})",
+        "volatility_20": _roll("stddev_pop(ret)", 20, 1),
+        "ema_dist_8": f"(c - ema_8) / (ema_8 + {E})",
+        "ema_dist_13": f"(c - ema_13) / (ema_13 + {E})",
+        "close_to_low": f"(c - l) / (c + {E})",
+    }
+    return _features(_ewm("e", "dm", means, 260), "e", made, bars=bars)
+
+
 def _ft_rsi() -> str:
     means, out = {}, {}
     for p in (7, 14, 28):
@@ -457,6 +494,11 @@ SELECT kafka_offset, kafka_partition, symbol, event_time, timeframe, trading_dat
         "history_csv_bars": f"""WITH {_BARS}
 SELECT 'ALL' AS symbol, event_time, trading_date, timeframe, open, high, low, close, volume,
        'historical_csv' AS source, 'valid' AS quality_status FROM bars""",
+        "history_runs": """WITH placed AS (
+  SELECT event_type, ts, value, row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS i FROM events)
+SELECT count(*) AS bars, min(ts) AS first_time, max(ts) AS last_time, max(i) AS last_row,
+       round(sum(i * (value + 1)), 2) AS placed
+FROM placed GROUP BY event_type""",
         "landing_layer": f"""{coarse15}, both_frames AS (
   SELECT symbol, timeframe, trading_date, volume FROM bars
   UNION ALL SELECT symbol, timeframe, trading_date, volume FROM coarse)
@@ -483,6 +525,13 @@ SELECT symbol, event_time, CAST(event_time + INTERVAL 7 HOUR AS DATE) AS trading
        'api:' || symbol || ':' || strftime(event_time, '%Y-%m-%dT%H:%M:%S+00:00')
          AS source_record_id
 FROM two""",
+        "payload_rejects": """SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN '5m' END AS timeframe,
+  CASE WHEN event_id % 10 = 0 THEN 'unsupported resolution'
+       WHEN event_type = 'error' THEN 'payload is not valid JSON'
+       WHEN event_type = 'click' THEN 'arrays have inconsistent lengths'
+       WHEN event_type = 'purchase' THEN 'negative volume'
+       WHEN event_type = 'signup' THEN 'duplicate timestamps' END AS error
+FROM events WHERE event_id % 10 = 0 OR event_type IN ('error', 'click', 'purchase', 'signup')""",
         "event_json_key": f"""WITH {_BARS}, built AS (
   SELECT upper(symbol) AS symbol, timeframe,
          CASE WHEN date_trunc('second', event_time) = event_time
@@ -497,7 +546,15 @@ SELECT key, CASE WHEN error IS NOT NULL THEN 'ContractViolation' END AS error_ty
        count(*) AS rows FROM messages GROUP BY ALL""",
         "dead_letters": f"""WITH {_MESSAGES}
 SELECT 'ohlcv_raw_dlq_v1' AS schema_version, key AS original_key,
-       'ContractViolation' AS error_type, error FROM messages WHERE error IS NOT NULL""",
+       'ContractViolation' AS error_type, error, symbol, source_record_id, low, volume
+FROM messages WHERE error IS NOT NULL""",
+        "foreign_keys": f"""WITH {_MESSAGES}, sent AS (
+  SELECT CAST(source_record_id AS BIGINT) AS part,
+         CASE WHEN error IS NOT NULL THEN error WHEN part % 7 = 0 OR part % 5 = 0
+              THEN 'Kafka message key does not match the event business key' END AS error
+  FROM messages)
+SELECT CASE WHEN error IS NOT NULL THEN 'ContractViolation' END AS error_type, error, part % 35 AS part,
+       count(*) AS rows FROM sent GROUP BY ALL""",
         "ingest_outcomes": _OUTCOMES,
         "stream_bronze": f"""WITH {_FIRST_MESSAGES}
 SELECT 'ohlcv_raw_v1' AS schema_version, symbol, event_time, trading_date, timeframe, open, high,
@@ -536,6 +593,7 @@ SELECT upper(symbol) || '|' || CASE WHEN date_trunc('second', event_time) = even
         "ft_candle": _ft_candle(),
         "ft_volume": _ft_volume(),
         "ft_session": _ft_session(),
+        "ft_long_series": _ft_long_series(),
         "ft_status": f"""{coarse15}
 SELECT symbol, event_time, event_time AS available_at, 'features_v1' AS feature_set_version,
        {_STATUS} AS feature_status FROM coarse""",
@@ -545,10 +603,16 @@ SELECT count(*) AS rows, CAST(116 AS BIGINT) AS feature_count,
        count(*) FILTER (st <> 'ready') AS warmup_rows FROM s""",
         "gold_layer": f"""{coarse15}, s AS (
   SELECT *, {_STATUS} AS feature_status,
-         lag(close, 1) OVER w - lag(close, 2) OVER w AS move
+         lag(close, 1) OVER w - lag(close, 2) OVER w AS move,
+         lag(close, 1) OVER w - lag(close, 6) OVER w AS move_5,
+         lag((close - low) / (close + {E}), 1) OVER w AS above_low,
+         lag(minute(event_time), 1) OVER w AS minute_before
   FROM coarse WINDOW w AS (PARTITION BY symbol ORDER BY event_time))
 SELECT 'features_v1' AS feature_set_version, symbol, timeframe, trading_date, feature_status,
-       count(*) AS bars, round(sum(move), 4) + 0.0 AS moves FROM s GROUP BY ALL""",
+       count(*) AS bars, round(sum(move), 4) + 0.0 AS moves, round(sum(close), 3) AS close,
+       round(sum(volume), 3) AS volume, round(sum(CAST(minute_before AS DOUBLE)), 3) AS minute,
+       round(sum(above_low), 3) AS close_to_low, round(sum(move_5), 3) + 0.0 AS mom_points_5
+FROM s GROUP BY ALL""",
         "contract_columns": _contract_columns(coarse15),
         "forward_labels": f"""{coarse15}, l AS (
   SELECT *, lead(close, 4) OVER (PARTITION BY symbol ORDER BY event_time) / close - 1 AS r FROM coarse)

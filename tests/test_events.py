@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barlake.operators import events as E
 from barlake.schema import ContractError
 from barlake.sources import payloads as P
+from barlake.sources.kafka import as_text
 from barlake.sources.raw_events import read_raw_events
 from barlake.streaming import ingest
 from barlake.streaming.ingest import (
@@ -254,3 +255,10 @@ def test_payload_shapes_and_errors(spark):
     five = got.filter("timeframe = '5m'").first()
     assert five["volume"] == 0.0 and five["symbol"] == "AAA"
     assert five["source_record_id"] == "api:AAA:2025-03-11T02:00:00+00:00"
+
+
+def test_broken_bytes_become_replacement_characters(spark):
+    data = [b'{"a": 1}', b'\xff{"a"', b"ok \xe2\x82 cut", "grüß".encode(), b"\xc3\x28\x80", b"", None]
+    rows = spark.createDataFrame([(bytearray(d) if d is not None else None,) for d in data], "value binary")
+    got = [r["text"] for r in rows.select(as_text(F.col("value")).alias("text")).collect()]
+    assert got == [d if d is None else d.decode("utf-8", "replace") for d in data]
