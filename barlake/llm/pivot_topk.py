@@ -10,7 +10,8 @@ cells, and inside a cell only the annuli of the sorted distances, whose bound
 ``(|q|^2 + M^2 - max(0, |d(q,p) - d(v,p)|)^2) / 2`` still reaches that score.
 
 Pivots are fitted on a bounded sample; every row is indexed, and the result is exact.
-Cells are cut into chunks of bounded size, queries are dealt out in blocks.
+Cells are cut into chunks of at most ``MOST_CHUNK`` vectors, queries are dealt out in
+blocks. A chunk is sent to the blocks that visit it only.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from barlake.runtime import stage
 K, SCALE, QUERY_STEP = 20, 64.0, 20
 #: Vectors that pivots are fitted on, and the most pivots.
 SAMPLE, MAX_PIVOTS = 4_096, 256
-#: Vectors of an annulus, queries of a block, vectors of a chunk at least.
-ANNULUS, QUERY_BLOCK, LEAST_CHUNK = 512, 8_192, 512
+#: Vectors of an annulus, queries of a block, vectors of a chunk at least and at most (about).
+ANNULUS, QUERY_BLOCK, LEAST_CHUNK, MOST_CHUNK = 512, 8_192, 512, 65_536
 #: Distances are rounded; bounds leave this much room, relative to the largest norm.
 ROOM = 1e-7
 
@@ -162,12 +163,11 @@ def top_k(
     )
     # A row for each pivot, so at most MAX_PIVOTS.
     cells = {r[0]: r[1:] for r in index.groupBy("pivot").agg(F.count("*"), F.min("d"), F.max("d")).collect()}
-    chunk = max(LEAST_CHUNK, 2 * n // len(pivots))
+    chunk = min(MOST_CHUNK, max(LEAST_CHUNK, 2 * n // len(pivots)))
     chunks = {p: -(-c[0] // chunk) for p, c in cells.items()}
     blocks = -(-n_queries // QUERY_BLOCK)
     count_of = F.create_map(*[F.lit(x) for pair in sorted(chunks.items()) for x in pair])
     placed = index.withColumn("chunk", F.pmod(F.xxhash64("_row"), count_of[F.col("pivot")]).cast("int"))
-    shelf = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     names = sorted(cells)
     low, high = np.array([cells[p][1] for p in names]), np.array([cells[p][2] for p in names])
     parts = np.array([chunks[p] for p in names])
@@ -230,6 +230,9 @@ def top_k(
 
     def meet(queries: DataFrame, first: bool) -> DataFrame:
         led = queries.mapInArrow(visits(first), visit)
+        # At most a row for each chunk and block; distances to pivots are computed again for it.
+        visited = led.select("pivot", "chunk", F.col("block").alias("_block")).distinct()
+        shelf = placed.join(visited, ["pivot", "chunk"]).select(*placed.columns, F.col("_block").alias("block"))
         return led.groupBy(*cell_key).cogroup(shelf.groupBy(*cell_key)).applyInArrow(search, found)
 
     unbound = asking.withColumn("bound", F.lit(float("-inf")))

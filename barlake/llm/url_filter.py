@@ -26,7 +26,9 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-_CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
+# ``canonical`` may be one of several rel words.
+_REL = r"""(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))"""
+_CANONICAL = rf"""(?is)<link\b[^>]*\brel\s*=\s*{_REL}[^>]*>"""
 _HREF = r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _REFRESH_URL = r"""(?is)\bcontent\s*=\s*["']?\s*[\d.]*\s*[;,]?\s*url\s*=\s*["']?\s*([^"'\s>]+)"""
@@ -68,8 +70,26 @@ def normal_url(url: Column) -> Column:
     return F.when(at > 0, F.concat(scheme, F.lit("://"), host_of(plain), F.when(tail == "", "/").otherwise(tail)))
 
 
+def without_dots(url: Column) -> Column:
+    """The url with ``.`` and ``..`` segments of its path carried out."""
+    site = F.regexp_extract(url, r"(?s)^([^:]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)^[^:]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(url, r"(?s)^[^?#]*(.*)$", 1)
+    # The first segment is empty and stays; a last one of dots leaves its folder.
+    segments = F.split(F.concat(path, F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")), "/")
+    kept = F.aggregate(
+        segments,
+        F.lit(None).cast("array<string>"),
+        lambda done, s: F.when(done.isNull(), F.array(s))
+        .when(s == ".", done)
+        .when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.array_append(done, s)),
+    )
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(site, F.array_join(kept, "/"), rest)).otherwise(url)
+
+
 def resolve(base: Column, link: Column) -> Column:
-    """A link of the page ``base`` as an absolute url."""
+    """A link of the page ``base`` as an absolute url, dot segments not yet carried out."""
     scheme = F.regexp_extract(base, r"^([^:]*):", 1)
     site = F.regexp_extract(base, r"^([^:]*://[^/?#]*)", 1)
     folder = F.regexp_extract(F.regexp_replace(base, r"[?#].*$", ""), r"^([^:]*://[^/]*(?:/.*/|/)?)", 1)
@@ -78,22 +98,26 @@ def resolve(base: Column, link: Column) -> Column:
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(site, link))
+        .when(link.startswith("?"), F.concat(F.regexp_replace(base, r"(?s)[?#].*$", ""), link))
         .otherwise(F.concat(folder, link))
     )
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Undirected (a, b) between a page's url and the urls its head points to."""
+    """Undirected (a, b) between a page's url and the urls that its canonical and refresh tags name."""
     html, url = F.col(html_col), F.col(url_col)
-    links = F.array(
-        F.regexp_extract(F.regexp_extract(html, _CANONICAL, 0), _HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), _REFRESH_URL, 1),
-    )
+
+    def named(tag: str, address: str) -> Column:
+        tags = F.regexp_extract_all(html, F.lit(tag), F.lit(0))
+        return F.transform(tags, lambda t: F.regexp_extract(t, address, 1))
+
+    links = F.concat(named(_CANONICAL, _HREF), named(_REFRESH, _REFRESH_URL))
     found = pages.where(url.contains("://")).select(url.alias("_u"), F.explode(links).alias("_l"))
     # Staged twice: a long expression over another one would be repeated by the optimizer.
     found = stage(found.where("_l <> ''"), "url-links")
     target = resolve(F.col("_u"), F.replace(F.col("_l"), F.lit("&amp;"), F.lit("&")))
     edges = stage(found.select(normal_url(F.col("_u")).alias("a"), target.alias("_t")), "url-targets")
+    edges = stage(edges.select("a", without_dots(F.col("_t")).alias("_t")), "url-paths")
     edges = stage(edges.select("a", normal_url(F.col("_t")).alias("b")), "url-edges")
     return edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct()
 
@@ -108,7 +132,7 @@ def judge(
     """One row per page: id, host, path, rule, verdict.
 
     A null url, or one without ``://``, has empty host and path, fits no rule and has no
-    aliases: it is allowed. Null html has no links. Repeated rows are judged alike. Other
+    aliases: it is allowed. Null html has no links. Html of any length is searched whole. Repeated rows are judged alike. Other
     columns are ignored, an empty table gives an empty result.
     """
     roots = connected_components(alias_edges(pages, url_col, html_col), "url-components")

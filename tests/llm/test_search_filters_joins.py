@@ -86,6 +86,8 @@ def test_top_k_is_exact(spark, monkeypatch):
     for k in (1, 20, 1000):
         got = sorted(map(tuple, pivot_topk.top_k(df, k=k).collect()))
         assert got == brute_top(rows, k, 20)
+    monkeypatch.setattr(pivot_topk, "MOST_CHUNK", 10)
+    assert sorted(map(tuple, pivot_topk.top_k(df, k=20).collect())) == brute_top(rows, 20, 20)
     assert pivot_topk.top_k(frame(spark, [], "vec_id long, embedding array<float>")).count() == 0
 
 
@@ -137,6 +139,21 @@ def test_rules_and_aliases(spark):
     assert url_filter.judge(frame(spark, [], "page_id long, url string, html string")).count() == 0
 
 
+def test_links_are_found_among_other_tags_and_resolved(spark):
+    tags = '<link rel="alternate canonical" href="../other/./b?x=1"><link rel=canonical href=\'?page=2\'>'
+    tags += '<link rel="canonicals" href="/wrong"><link rel="shortcut-canonical" href="/wrong2">'
+    more = "<meta http-equiv='refresh' content='5;url=/far/../../up/..'>"
+    rows = [(1, "https://a.org/en/dir/p?q#f", "x" * 3_000_000 + tags + more), (2, "https://a.org/en/other/b?x=1", None)]
+    edges = url_filter.alias_edges(frame(spark, rows, "page_id long, url string, html string"))
+    ends = {"https://a.org/en/other/b?x=1", "https://a.org/en/dir/p?page=2", "https://a.org/"}
+    assert {(r.a, r.b) for r in edges.collect()} == {("https://a.org/en/dir/p?q", end) for end in ends}
+    links = ["/a/b/../c", "/./a/", "/..", "/a/..", "/a/.", "/a..b/.c", "", "/a/../..//x?q=/../y#/./z"]
+    want = ["/a/c", "/a/", "/", "/", "/a/", "/a..b/.c", "", "//x?q=/../y#/./z"]
+    table = frame(spark, [(n, f"http://h{link}") for n, link in enumerate(links)], "n int, u string")
+    got = {r.n: r.d for r in table.select("n", url_filter.without_dots(F.col("u")).alias("d")).collect()}
+    assert got == {n: f"http://h{path}" for n, path in enumerate(want)}
+
+
 # ---- repeats ---------------------------------------------------------------------
 
 
