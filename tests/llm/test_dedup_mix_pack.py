@@ -106,6 +106,12 @@ def test_mix_edges(spark):
     assert len({r.taken for r in twice if r.doc_id is None}) == 1
 
 
+def test_mix_plan_is_native(spark):
+    data = rows(spark, [(1, "a", "s", None)])
+    for made in (mixing.assign(data), mixing.mix(data)):
+        assert not re.search("Python|Arrow|Pandas|CartesianProduct", made._jdf.queryExecution().toString())
+
+
 # ---- packing ---------------------------------------------------------------------
 
 

@@ -282,6 +282,41 @@ def test_quality_on_held_out_rows(spark):
     assert site_quality.score(frame(spark, [], SITES), frame(spark, labels, LABELS)).count() == 0
 
 
+def brute_strength(groups):
+    """(mean, n, good) of each group: how many documents the prior is worth."""
+    several = [(m, n, g / n) for m, n, g in groups if n >= 2]
+    spread = sum(n * (p - m) ** 2 for m, n, p in several)
+    chance = sum(m * (1 - m) for m, _, _ in several)
+    weight = sum(n * m * (1 - m) for m, n, _ in several)
+    beyond = (spread - chance) / weight if weight else 0
+    most = site_quality.MOST_STRENGTH
+    return min(most, max(1.0, 1 / beyond)) if beyond > 0 else most
+
+
+def test_site_posteriors_equal_a_recount(spark):
+    rows, labels = site_rows()
+    rows += [(9000, None, "s1", "en", 1.0, None), (9001, "", "new", "xx", 1.0, None)]
+    out = site_quality.score(frame(spark, rows, SITES), frame(spark, labels, LABELS)).collect()
+    paths, hosts = {}, {}
+    for r in out:
+        for counts, key in ((paths, (r.host, r.path)), (hosts, r.host)):
+            n, good = counts.get(key, (0, 0.0))
+            counts[key] = (n + 1, good + r.text_score)
+    mean = sum(r.text_score for r in out) / len(out)
+    prior = brute_strength([(mean, n, g) for n, g in hosts.values()])
+    host_mean = {h: (g + prior * mean) / (n + prior) for h, (n, g) in hosts.items()}
+    below = brute_strength([(host_mean[h], n, g) for (h, _), (n, g) in paths.items()])
+    logit = lambda p: math.log(p / (1 - p))
+    for r in out:
+        n, good = paths[r.host, r.path]
+        site = (good + below * host_mean[r.host]) / (n + below)
+        assert r.site_score == pytest.approx(site, abs=1e-9)
+        own = min(max(r.text_score, 1e-6), 1 - 1e-6)
+        if own == r.text_score:
+            assert logit(min(max(r.quality, 1e-12), 1 - 1e-12)) == pytest.approx(logit(own) + logit(site) - logit(mean), abs=1e-4)
+        assert r.keep == (r.quality >= site_quality.THRESHOLD)
+
+
 def test_sparse_sites_shrink_toward_their_host(spark):
     groups = spark.createDataFrame([("a", 1000.0, 900.0, 0.5), ("b", 1000.0, 100.0, 0.5)], "g string, n double, good double, m double")
     assert site_quality.strength(groups, "m", "n", "good") < 10
@@ -328,3 +363,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert pieces == Counter(mixed)
     ran = corpus_pipeline.run(spark, str(tmp_path))
     assert ran.count() == current.count() and tokenizer_file() and best_fit.WIDTH == 1024
+
+
+def test_pipeline_on_nulls_repeats_and_no_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    words = " ".join(f"wort{n}" for n in range(60))
+    rows = [(1, words, "en", "a", 1), (1, words, "en", "a", 1), (1, words.replace("wort7", "x"), None, None, None)]
+    rows += [(2, None, None, None, None), (3, "", "en", "a", 0), (None, "eins zwei drei", None, "b", 14)]
+    rows += [(4, "lang " * 200_000, "de", "b", 1_000_000)]
+    for name, data in (("some", rows), ("none", [])):
+        root = tmp_path / name
+        spark.createDataFrame(data, schema).write.parquet(f"{root}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0)] if data else [], LABELS).write.parquet(f"{root}/labels.parquet")
+        out = corpus_pipeline.run(spark, str(root)).collect()
+        if not data:
+            assert out == []
+        else:
+            assert {r.doc_id for r in out} <= {1, 2, 3, 4, None} and {1, 4} <= {r.doc_id for r in out}
+            filled = Counter()
+            for r in out:
+                filled[r.sequence_id] += r.length
+            assert max(filled.values()) <= best_fit.WIDTH
