@@ -130,9 +130,11 @@ def contract_report(
     """One row: ``total_rows``, ``duplicate_keys`` and the ordinal of the first broken rule.
 
     Each row carries only its key and one small integer into the shuffle, and a
-    repeated key is reduced to one row on the map side.
+    repeated key is reduced to one row on the map side. Without the key rule among ``rules``
+    repeated keys are counted, but break nothing.
     """
-    key_rank = [name for name, _ in rules].index(DUPLICATE_KEY)
+    names = [name for name, _ in rules]
+    key_rank = names.index(DUPLICATE_KEY) if DUPLICATE_KEY in names else None
     first_bad = F.coalesce(
         *[F.when(F.coalesce(bad, F.lit(False)), F.lit(n)) for n, (_, bad) in enumerate(rules)]
     )
@@ -141,7 +143,7 @@ def contract_report(
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"), F.min("bad").alias("bad"))
     )
-    repeated = F.when(F.col("n") > 1, F.lit(key_rank))
+    repeated = F.when(F.col("n") > 1, F.lit(key_rank).cast("int"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.count_if(F.col("n") > 1).alias("duplicate_keys"),
@@ -149,10 +151,12 @@ def contract_report(
     )
 
 
-def _assert(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule], label: str) -> int:
+def _assert(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule], label: str, unique_keys: bool) -> int:
     missing = [name for name in columns if name not in df.columns]
     if missing:
         raise ContractError(f"{label}: missing columns {missing}")
+    if not unique_keys:
+        rules = [rule for rule in rules if rule[0] != DUPLICATE_KEY]
     report = contract_report(df, rules).first()
     if report["total_rows"] == 0:
         raise ContractError(f"{label}: input is empty")
@@ -161,14 +165,17 @@ def _assert(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule], label:
     return report["total_rows"]
 
 
-def assert_landing(df: DataFrame) -> int:
-    """Raise on the first broken rule of the canonical table; return its row count."""
-    return _assert(df, CANONICAL_COLUMNS, landing_rules(), "canonical bars")
+def assert_landing(df: DataFrame, unique_keys: bool = True) -> int:
+    """Raise on the first broken rule of the canonical table; return its row count.
+
+    ``unique_keys=False`` is for rows of which several may share a time; every other rule holds.
+    """
+    return _assert(df, CANONICAL_COLUMNS, landing_rules(), "canonical bars", unique_keys)
 
 
-def assert_silver(df: DataFrame) -> int:
+def assert_silver(df: DataFrame, unique_keys: bool = True) -> int:
     """Raise on the first broken rule of the feature input; return its row count."""
-    return _assert(df, FEATURE_INPUTS, silver_rules(), "silver bars")
+    return _assert(df, FEATURE_INPUTS, silver_rules(), "silver bars", unique_keys)
 
 
 def as_feature_input(df: DataFrame) -> DataFrame:

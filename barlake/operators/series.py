@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.runtime import stage
+from barlake.schema import NUMERICS
 
 SERIES = ("symbol", "timeframe")
 _BUCKET_MICROS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
@@ -131,7 +132,8 @@ def in_blocks(
     sent = _join_series(bars.withColumn("bucket", _bucket(micros)), buckets, "bucket").select(
         *bars.columns, "start", "own", F.explode(homes).alias("block")
     )
-    order = Window.partitionBy(*SERIES, "block").orderBy("event_time")
+    # Bars of one time are ranked alike wherever they are sent.
+    order = Window.partitionBy(*SERIES, "block").orderBy("event_time", *NUMERICS)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pos = F.first("start").over(so_far) + F.row_number().over(order) - 1
     return sent.withColumns({"pos": pos, "is_core": F.col("own") == F.col("block")}).select(
