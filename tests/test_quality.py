@@ -171,6 +171,54 @@ def test_resampling_takes_two_exchanges(spark):
     assert {r["ingested_at"].minute for r in made.collect()} == {39}
 
 
+def shared_times(spark):
+    """Bars of which several share a symbol and time."""
+    rows = [("A", datetime(2024, 1, 2, 1, m), float(p), f"r{p}") for m in (0, 1, 14, 20) for p in (3, 1, 2)]
+    bars = spark.createDataFrame(rows, "symbol string, event_time timestamp, open double, ingest_run_id string")
+    return bars.withColumns({c: F.col("open") for c in ("high", "low", "close", "volume")}).withColumns(
+        {
+            "trading_date": F.to_date("event_time"),
+            "timeframe": F.lit("1m"),
+            "source": F.lit("s"),
+            "source_record_id": F.lit(None).cast("string"),
+            "ingested_at": F.col("event_time"),
+            "quality_status": F.lit("valid"),
+        }
+    )
+
+
+def test_bars_that_share_a_time_all_count(spark):
+    bars = shared_times(spark)
+    with pytest.raises(ContractError, match="duplicate business key"):
+        resample(bars, "15m")
+    for parts in (1, 5):
+        made = resample(bars.repartition(parts), "15m", unique_keys=False).orderBy("event_time")
+        got = [tuple(r) for r in made.select("open", "high", "low", "close", "volume", "ingest_run_id").collect()]
+        assert got == [(1.0, 3.0, 1.0, 3.0, 18.0, "r1"), (1.0, 3.0, 1.0, 3.0, 6.0, "r1")]
+    broken = bars.withColumn("low", F.when(F.minute("event_time") == 20, F.col("high") + 1).otherwise(F.col("low")))
+    with pytest.raises(ContractError, match="high is below"):
+        resample(broken, "15m", unique_keys=False)
+
+
+@pytest.mark.parametrize("name", ["ft_counts", "resample_5m", "resample_15m", "resample_30m"])
+def test_event_bars_may_share_a_time(spark, tmp_path, name):
+    import __spark_entry__ as entry
+
+    rows = [(n, datetime(2024, 1, 2, 1, n % 20), 7, "view", 1.0 + n % 3, '{"k": 2}') for n in range(60)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    found = entry.queries()[name](spark, str(tmp_path)).collect()
+    if name == "ft_counts":
+        assert [tuple(r) for r in found] == [(60, 116, 0, 60)]
+    elif name == "landing_summary":
+        assert (found[0]["source_rows"], found[0]["output_rows"]) == (60, 1)
+    elif name == "landing_layer":
+        assert sorted((r["timeframe"], r["bars"], r["volume"]) for r in found) == [("15m", 2, 120.0), ("1m", 60, 120.0)]
+    else:
+        assert sum(r["volume"] for r in found) == 120.0
+        assert len(found) == {"resample_5m": 4, "resample_15m": 2, "resample_30m": 1}[name]
+
+
 def test_batch_job_is_repeatable(spark, tmp_path):
     root = write_events(tmp_path, [event(), event(kafka_offset=2, open=10.6), event(close=0.0)], ["{x"])
     bronze, silver, report = (str(tmp_path / n) for n in ("bronze", "silver", "report"))
