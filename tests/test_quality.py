@@ -200,7 +200,7 @@ def test_bars_that_share_a_time_all_count(spark):
         resample(broken, "15m", unique_keys=False)
 
 
-@pytest.mark.parametrize("name", ["ft_counts", "resample_5m", "resample_15m", "resample_30m", "landing_layer"])
+@pytest.mark.parametrize("name", ["ft_counts", "resample_5m", "resample_15m", "resample_30m", "landing_layer", "landing_summary"])
 def test_event_bars_may_share_a_time(spark, tmp_path, name):
     import __spark_entry__ as entry
 
