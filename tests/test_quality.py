@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.functions import times
+from barlake.functions import bars, times
 from barlake.operators import dedupe, quality
 from barlake.operators.resample import resample
 from barlake.operators.series import with_position
@@ -336,3 +336,15 @@ def test_times(spark):
     assert got == [None, None, "2026-07-01T10:00:00Z", "2026-07-01T10:00:00Z"]
     micro = spark.createDataFrame([(datetime(2026, 1, 1, 0, 0, 0, 5),)], "t timestamp")
     assert micro.select(times.utc_iso(F.col("t"))).first()[0].endswith("00.000005Z")
+
+
+def test_short_ways_read_texts_as_the_long_ones_do(spark):
+    stamps = ["2024-01-02T03:04:05Z", " 2024-01-02T03:04:05Z ", "2024-01-02T03:04:05", "2024-01-02 03:04 +07:00", "Z", "", None,
+              "2024-01-02T03:04:05z", "2024-01-02T03:04:05.5Z", "2024-01-02T03:04:05Z\n", "x2024-01-02T03:04:05Z", "3:04 UTC"]
+    numbers = [" 1.5 ", "1e3", "NaN", " nan", "Infinity ", "-inf", "1,5", "", " ", "\t2", "1d", "0x1p3", "true", None, "1 2"]
+    rows = spark.createDataFrame([(t,) for t in stamps + numbers], "t string")
+    long_way = rows.select(F.trim("t").rlike(times._AWARE).alias("a"), F.trim("t").try_cast("double").alias("n"))
+    short_way = rows.select(times.has_offset(F.col("t")).alias("a"), bars.to_number(F.col("t")).alias("n"))
+    assert str(short_way.collect()) == str(long_way.collect())
+    plan = executed_plan(rows.select(bars.to_number(F.col("t"))))
+    assert "trim" not in plan
