@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from barlake.llm.common import arrow_rows
 from barlake.runtime import stage
 
 WIDTH, END_ID = 1024, 2
+#: Whole texts in one Arrow batch.
+BATCH_ROWS = 1000
 #: Fixed value: the pattern by which a byte-level vocabulary cuts texts before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -307,12 +310,9 @@ def pack(
     Null and empty texts give one piece, the end token. Repeated rows are packed as often
     as they occur. Other columns are ignored, an empty table gives an empty result.
     """
-    cut_up = stage(
-        token_pieces(docs, vocabulary, id_col, text_col, width, end_id).withColumn(
-            "_task", F.spark_partition_id()
-        ),
-        "pack-pieces",
-    )
+    pieces = token_pieces(docs, vocabulary, id_col, text_col, width, end_id)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        cut_up = stage(pieces.withColumn("_task", F.spark_partition_id()), "pack-pieces")
     by_task = cut_up.groupBy("length", "_task").agg(F.count(F.lit(1)).alias("n"))
     # At most `width` lengths reach the driver.
     counts = {r[0]: r[1] for r in by_task.groupBy("length").agg(F.sum("n")).collect()}
