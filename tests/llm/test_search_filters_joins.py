@@ -355,3 +355,22 @@ def test_unrelated_members_of_a_large_block_meet_over_parts(spark, monkeypatch):
         words = ["all", "share", "these", "five", "words"] + [f"v{rng.randrange(60)}" for _ in range(3)]
         rows.append((n, " ".join(words), "s", None))
     assert sorted(map(tuple, jaccard_join.assign(frame(spark, rows)).collect())) == brute_components(rows)
+
+
+def test_common_beginnings_are_found_in_steps_of_eight_bytes(monkeypatch):
+    rng = np.random.default_rng(5)
+    for letters in (1, 2, 256):
+        texts = [bytes(rng.integers(0, letters, n, dtype=np.uint8)) for n in rng.integers(50, 90, 30)]
+        index = repeat_index.RunIndex(texts)
+        joined = b"".join(t + b"\0" for t in texts)
+        rest = [joined[p : p + index.to_stop[p]] for p in range(index.size)]
+        a, b = rng.integers(0, index.size, (2, 3000))
+        steps = []
+        flat = np.searchsorted
+        monkeypatch.setattr(np, "searchsorted", lambda *x: steps.append(1) or flat(*x))
+        got = index._shared(np.frombuffer(joined, np.uint8), a, b).tolist()
+        monkeypatch.undo()
+        for i, j, n in zip(a.tolist(), b.tolist(), got):
+            least = min(len(rest[i]), len(rest[j]))
+            assert n == next((k for k in range(least) if rest[i][k] != rest[j][k]), least)
+        assert 1 <= len(steps) <= 12  # by single bytes it took up to 89
