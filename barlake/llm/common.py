@@ -70,7 +70,7 @@ class WordHashes(dict):
         places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return self.table[places]
 
-    def trim(self, most: int = 500_000) -> None:
+    def trim(self, most: int = 150_000) -> None:
         if len(self) > most:
             self.clear()
 

@@ -7,7 +7,9 @@ least 0.75. Steps:
 2. Classes are dealt into blocks: a pair that links shares one of its rarest shingles,
    the first ``n - ceil(0.75 n) + 1`` of each set in one order of all shingles. Shingles
    that a bounded sample shows to be frequent come last in that order, which only saves
-   work: any order keeps every pair. Blocks over ``BLOCK`` members are cut into parts.
+   work: any order keeps every pair. A pair is kept in the block of its first common shingle,
+   where what follows in both sets must still hold enough; members whose places in the order
+   allow them no partner of the block leave it. Blocks over ``BLOCK`` members are cut into parts.
 3. Shingles are hashed into groups, and a class is the point of its counts by group. An
    R-tree over a block's points bounds the overlap of two subtrees, and of two points, by
    the sum of the smaller coordinates; members without a partner that could still link
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import WordHashes, lower_words, mix, record_batch, without_rows
+from barlake.llm.common import WordHashes, arrow_rows, lower_words, mix, record_batch, without_rows
 from barlake.llm.components import connected_components
 from barlake.runtime import release, stage, staged_paths
 
@@ -44,6 +46,10 @@ ROUNDS = 2
 BLOCK, LEAF, GROUPS = 1_024, 24, 128
 #: Up to so many class names are broadcast to the scan of the texts; more are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Rows of an Arrow batch of texts, and rarest shingles that a task sends at once.
+TEXTS, SENT = 1_000, 1 << 20
+#: Bytes of a shingle inside its hash range.
+LOW = 5
 #: Documents that the frequent shingles are taken from, and how many of them hold one.
 SAMPLE, FREQUENT = 20_000, 4
 
@@ -65,10 +71,20 @@ def set_digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
+def prefix(n, percent: int = PERCENT):
+    """How many of its n shingles a set shows, of which every linking set holds one."""
+    return n - -(-percent * n // 100) + 1
+
+
+def largest_partner(n, place, percent: int = PERCENT):
+    """Size up to which a set can link that agrees with a set of n from ``place`` on at the earliest."""
+    return (100 * n - (100 + percent) * place) // percent
+
+
 def rarest(own: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The part of a set that every linking set meets."""
     n = len(own)
-    keep = n - -(-percent * n // 100) + 1
+    keep = prefix(n, percent)
     if len(frequent):
         common = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
         own = np.concatenate([own[~common], own[common]])
@@ -269,55 +285,93 @@ def _frequent_shingles(texts: DataFrame, rows: int) -> np.ndarray:
 
 
 def _emit_rarest(shards: int, carried) -> callable:
-    """Tasks send the rarest shingles of their classes as packed arrays by hash range."""
+    """Tasks send the rarest shingles of their classes as packed arrays by hash range.
+
+    Of a shingle its ``LOW`` low bytes, of its place in the order a 255th part of the shown
+    ones: shingles that fall together, and places taken too early, only add members.
+    """
     shift = np.uint64(64 - shards.bit_length() + 1)
-    names, kinds = ["shard", "s", "ref", "n"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    names, kinds = ["shard", "s", "ref", "n", "place"], [pa.int32(), *[pa.binary()] * 4]
+
+    def packed_rows(values: list, refs: list[int], sizes: list[int]) -> pa.RecordBatch:
+        value, lengths = np.concatenate(values), [len(v) for v in values]
+        ref, size = np.repeat(np.array(refs, np.int64), lengths), np.repeat(np.array(sizes, np.uint32), lengths)
+        place = np.concatenate([np.arange(n) * 255 // n for n in lengths]).astype(np.uint8)
+        order = np.argsort(value, kind="stable")
+        value, ref, size, place = value[order], ref[order], size[order], place[order]
+        low = value.view(np.uint8).reshape(-1, 8)[:, :LOW]
+        edges = np.flatnonzero(np.diff((value >> shift).astype(np.int64), prepend=-1, append=shards))
+        rows = [
+            (int(value[lo] >> shift), low[lo:hi].tobytes(), ref[lo:hi].tobytes(), _small(size[lo:hi]), place[lo:hi].tobytes())
+            for lo, hi in zip(edges[:-1], edges[1:])
+        ]
+        return record_batch(rows, names, kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, frequent = WordHashes(), carried.value
+        seen, values, refs, sizes, sent = set(), [], [], [], 0
         for batch in batches:
-            seen, values, refs, sizes = set(), [], [], []
             for own in _sets(batch, hashes):
                 digest = set_digest(own)
                 if len(own) and digest not in seen:
                     seen.add(digest)
-                    part = rarest(own, frequent)
-                    values.append(part)
-                    refs.append(np.full(len(part), _ref(digest), np.int64))
-                    sizes.append(np.full(len(part), len(own), np.uint32))
-            if not values:
-                continue
-            value, ref, size = map(np.concatenate, (values, refs, sizes))
-            order = np.argsort(value, kind="stable")
-            value, ref, size = value[order], ref[order], size[order]
-            edges = np.flatnonzero(np.diff((value >> shift).astype(np.int64), prepend=-1, append=shards))
-            rows = [
-                (int(value[lo] >> shift), value[lo:hi].tobytes(), ref[lo:hi].tobytes(), size[lo:hi].tobytes())
-                for lo, hi in zip(edges[:-1], edges[1:])
-            ]
-            yield record_batch(rows, names, kinds)
+                    values.append(rarest(own, frequent))
+                    refs.append(_ref(digest))
+                    sizes.append(len(own))
+                    sent += len(values[-1])
+                    if sent >= SENT:
+                        yield packed_rows(values, refs, sizes)
+                        seen, values, refs, sizes, sent = set(), [], [], [], 0
+        if values:
+            yield packed_rows(values, refs, sizes)
 
     return run
 
 
+def partnered(n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which members of a block, by size, may link with another one: both sizes within what the other allows.
+
+    In a block over 256 members the one that allows most may stay without such a partner.
+    """
+    if len(n) <= 256:
+        fits = n[:, None] <= most[None, :]
+        fits &= fits.T
+        np.fill_diagonal(fits, False)
+        return fits.any(axis=1)
+    within = np.searchsorted(n, most, side="right")
+    return (within > 0) & (np.maximum.accumulate(most)[np.maximum(within, 1) - 1] >= n)
+
+
 def _blocks(table: pa.Table) -> pa.Table:
     """Members of every block of a hash range: (block key, part, whether there are more, ref)."""
-    s = np.concatenate([np.frombuffer(x, np.uint64) for x in table["s"].to_pylist()])
+    low = np.concatenate([np.frombuffer(x, np.uint8) for x in table["s"].to_pylist()]).reshape(-1, LOW)
+    s = np.zeros((len(low), 8), np.uint8)
+    s[:, :LOW] = low
+    s = s.view(np.uint64).ravel()
     ref = np.concatenate([np.frombuffer(x, np.int64) for x in table["ref"].to_pylist()])
-    n = np.concatenate([np.frombuffer(x, np.uint32) for x in table["n"].to_pylist()]).astype(np.int64)
-    order = np.lexsort((ref, n, s))
-    s, ref, n = s[order], ref[order], n[order]
+    n = np.concatenate([_counts(x) for x in table["n"].to_pylist()]).astype(np.int64)
+    place = np.concatenate([np.frombuffer(x, np.uint8) for x in table["place"].to_pylist()])
+    most = largest_partner(n, place * prefix(n) // 255)
+    order = np.lexsort((-most, ref, n, s))
+    s, ref, n, most = s[order], ref[order], n[order], most[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (ref[1:] != ref[:-1])
-    s, ref, n = s[new], ref[new], n[new]
+    s, ref, n, most = s[new], ref[new], n[new], most[new]
     # A new block begins with another shingle, or where the sizes leave too wide a gap.
     cut = np.ones(len(s), bool)
     cut[1:] = (s[1:] != s[:-1]) | (n[1:] * PERCENT > n[:-1] * 100)
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], len(s))
+    # Most blocks have two members: those are judged at once.
+    last = ends - 1
+    open_ = (ends - starts > 2) | (ends - starts == 2) & (n[starts] <= most[last]) & (n[last] <= most[starts])
     keys, parts, large, members = [], [], [], []
-    for lo, hi in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
+    for lo, hi in zip(starts[open_], ends[open_]):
         own = ref[lo:hi]
+        if hi - lo > 2:
+            own = own[partnered(n[lo:hi], most[lo:hi])]
+            if len(own) < 2:
+                continue
         key = int.from_bytes(hashlib.blake2b(np.sort(own).tobytes(), digest_size=8).digest(), "little", signed=True)
         # Members are in size order, so a part holds neighbours in size.
         keys.append(np.full(len(own), key))
@@ -452,17 +506,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     earlier = staged_paths(spark)
     texts = _texts(docs, id_col, text_col)
-    described = stage(
-        texts.mapInArrow(_describe, "_id long, _row long, _hash long, digest binary, ref long, n long, counts binary"),
-        "join-sets",
-    )
-    rows = described.count()
-    frequent = spark.sparkContext.broadcast(_frequent_shingles(texts, rows))
+    row = "_id long, _row long, _hash long, digest binary, ref long, n long, counts binary"
+    with arrow_rows(spark, TEXTS):
+        described = stage(texts.mapInArrow(_describe, row), "join-sets")
+        rows = described.count()
+        frequent = spark.sparkContext.broadcast(_frequent_shingles(texts, rows))
     shards = 1 << max(4, (rows // 500).bit_length())
-    rare = texts.mapInArrow(_emit_rarest(shards, frequent), "shard int, s binary, ref binary, n binary")
-    blocks = stage(
-        rare.groupBy("shard").applyInArrow(_blocks, "key long, a int, large boolean, ref long").distinct(), "join-blocks"
-    )
+    rare = texts.mapInArrow(_emit_rarest(shards, frequent), "shard int, s binary, ref binary, n binary, place binary")
+    found = rare.groupBy("shard").applyInArrow(_blocks, "key long, a int, large boolean, ref long")
+    with arrow_rows(spark, TEXTS):
+        blocks = stage(found.distinct(), "join-blocks")
     frequent.destroy()
     points = described.groupBy("ref").agg(F.min("counts").alias("counts"), F.min("n").alias("n"))
     member = "key long, a int, b int, side int, ref long, n long"
@@ -484,9 +537,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     few = holders.count() <= BROADCAST_ROWS
     own = (F.col("_hash") == F.col("h")) & F.col("_id").eqNullSafe(F.col("i"))
     carried = texts.join(F.broadcast(holders) if few else holders, own)
-    sets = stage(
-        carried.select("digest", "text").mapInArrow(_member_texts, "digest binary, own binary"), "join-member-texts"
-    )
+    with arrow_rows(spark, TEXTS):
+        sets = stage(
+            carried.select("digest", "text").mapInArrow(_member_texts, "digest binary, own binary"), "join-member-texts"
+        )
     has_large = not members.where("large").isEmpty()
 
     def verified(tasks: DataFrame) -> DataFrame:
@@ -548,13 +602,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = stage(
         docs.select(
             F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-            F.col(id_col).alias("_id"),
-            F.col(text_col).alias("_text"),
             F.monotonically_increasing_id().alias("_row"),
         ),
         "join-rows",
     )
-    found = components(rows, "_id", "_text").where("root IS NOT NULL")
+    # Texts are staged once: id and text are read out of the document.
+    own = F.col("_doc").getField(id_col).alias("_id"), F.col("_doc").getField(text_col).alias("_text")
+    found = components(rows.select(*own, "_row"), "_id", "_text").where("root IS NOT NULL")
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     first = found.groupBy("root").agg(F.min(order)["_row"].alias("_first"))
     losers = found.join(first, "root").where("_row <> _first").select("_row")

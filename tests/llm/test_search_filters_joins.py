@@ -1,12 +1,15 @@
 """Search, url rules, repeats and near duplicates against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,6 +313,79 @@ def test_rarest_part_meets_every_linking_set(percent):
             assert len(np.intersect1d(jaccard_join.rarest(a, frequent), jaccard_join.rarest(b, frequent)))
 
 
+def block_pairs(sets):
+    """Pairs of sets that share a block, by the task functions of the join."""
+
+    class Frequent:
+        value = np.zeros(0, np.uint64)
+
+    texts = [" ".join(words).encode() for words in sets]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    sent = pa.Table.from_batches(list(jaccard_join._emit_rarest(4, Frequent())(iter([batch]))))
+    out = set()
+    for shard in set(sent["shard"].to_pylist()):
+        rows = jaccard_join._blocks(sent.filter(pc.equal(sent["shard"], shard))).to_pylist()
+        blocks = {}
+        for r in rows:
+            blocks.setdefault(r["key"], set()).add(r["ref"])
+        out.update(p for b in blocks.values() for p in itertools.combinations(sorted(b), 2))
+    return out
+
+
+def test_blocks_keep_linking_pairs_and_few_others():
+    """A pair is kept where its first common shingle leaves room for the overlap, a chance one at the end is not."""
+    rng = random.Random(3)
+    common = [[f"c{n}w{k}" for k in range(5)] for n in range(300)]  # some early, some late in the order of shingles
+    docs = []
+    for n in range(120):
+        own = [f"d{n}w{k}" for k in range(70)]
+        docs.append(own[:30] + sum(rng.sample(common, 4), []) + own[30:])
+        if n % 3 == 0:
+            near = list(docs[-1])
+            for _ in range(rng.randrange(3)):
+                near[rng.randrange(len(near))] = f"x{rng.random()}"
+            docs.append(near[: rng.randrange(len(near) - 8, len(near) + 1)])
+    hashes = WordHashes()
+    sets = [jaccard_join.shingles([w.encode() for w in d], hashes) for d in docs]
+    refs = [jaccard_join._ref(jaccard_join.set_digest(s)) for s in sets]
+    kept, linked, shown = block_pairs(docs), set(), set()
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        pair = tuple(sorted((refs[i], refs[j])))
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if refs[i] != refs[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            linked.add(pair)
+        none = np.zeros(0, np.uint64)
+        if len(np.intersect1d(jaccard_join.rarest(sets[i], none), jaccard_join.rarest(sets[j], none))):
+            shown.add(pair)
+    assert linked and linked <= kept
+    assert 4 * len(kept - linked) < 3 * len(shown - linked)
+
+
+def test_partners_of_a_block_are_found_at_any_size():
+    rng = np.random.default_rng(6)
+    for size in (3, 40, 600):
+        n = np.sort(rng.integers(50, 100, size))
+        most = jaccard_join.largest_partner(n, rng.integers(0, jaccard_join.prefix(n)))
+        want = ((n[:, None] <= most) & (n <= most[:, None]) & ~np.eye(size, dtype=bool)).any(axis=1)
+        got = jaccard_join.partnered(n, most)
+        assert (got | ~want).all() and (got & ~want).sum() <= (size > 256)
+
+
+def test_texts_are_staged_once_for_near_copies(spark, monkeypatch):
+    """Rows keep their text inside the document only; it stood there a second time before."""
+    columns = {}
+    plain = jaccard_join.stage
+
+    def noted(df, label):
+        columns.setdefault(label, df.columns)
+        return plain(df, label)
+
+    monkeypatch.setattr(jaccard_join, "stage", noted)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (None, None)], "doc_id long, text string")
+    assert jaccard_join.keep_first(docs).count() == 2
+    assert columns["join-rows"] == ["_doc", "_row"]
+
+
 def test_packed_arrays_come_back():
     rng = np.random.default_rng(4)
     values = np.sort(rng.integers(0, 1 << 64, 500, dtype=np.uint64))
