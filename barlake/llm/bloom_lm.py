@@ -7,14 +7,15 @@ false positive can only raise it, and seldom by more than one level.
 
     p1(w) = (c(w) + 1) / (N + V + 1)        p(w | h) = (c(h w) + k p1(w)) / (c(h) + k)
 
-The pair counts are gathered by a packed exchange: tasks send sorted arrays of pair
-hashes by hash range, whose number follows the number of rows, and each range is merged
-on its own. The filter takes about ``BITS_PER_ENTRY`` bits an entry however many there
-are. Up to ``MAX_BYTES`` it is broadcast. A larger one stays in its hash ranges: chunks of
-texts send the distinct keys they ask for to each range as packed arrays and get the
-levels back, so that the scores are those of a broadcast filter of that size. Word counts
-stay exact for the base score: the most frequent ``HEAD`` words are broadcast, all others
-meet their counts in a shuffle join.
+Texts are staged once as chunks of numbered words. Of each chunk the distinct keys go to
+their hash ranges as packed arrays with their training counts; the number of ranges follows
+the number of rows, and each range is merged on its own. The filter takes about
+``BITS_PER_ENTRY`` bits an entry however many there are. One up to ``MAX_BYTES`` is
+broadcast. A larger one stays in its ranges: a merged range still knows which of its keys
+each chunk asks for, so its part of the filter is built and probed there, a key once for all
+chunks, and only levels go back to the chunks. The scores are those of a broadcast filter of
+that size. Word counts stay exact for the base score: the most frequent ``HEAD`` words are
+broadcast, all others meet their counts in a shuffle join.
 """
 
 from __future__ import annotations
@@ -29,15 +30,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import in_fold, lower_words, mix, packed, record_batch, unpacked
+from barlake.llm.common import arrow_rows, in_fold, lower_words, mix, packed, record_batch, unpacked
 from barlake.runtime import release, stage, staged_paths, unstage
 
-BASE, HASHES, BITS_PER_ENTRY, MAX_BYTES = 1.5, 3, 10, 1 << 26
+BASE, HASHES, BITS_PER_ENTRY, MAX_BYTES = 1.5, 3, 10, 1 << 22
 #: Bits of a key inside its range.
 LOW_BITS = 40
+#: Chunks or merged ranges of an Arrow batch.
+ROWS = 8
+_RANGE = ["shard", "words", "counts", "keys", "levels"]
 HEAD, PRIOR = 150_000, 2_000.0
-#: Tokens handled at once, and words a worker remembers besides the head.
-CHUNK, REMEMBERED = 1_000_000, 500_000
+#: Tokens handled at once, words a worker remembers besides the head, rows of an Arrow batch of texts.
+CHUNK, REMEMBERED, TEXTS = 1_000_000, 500_000, 1_000
 END = b""
 xxh64 = xxhash.xxh64_intdigest
 
@@ -151,54 +155,92 @@ class _Index(dict):
 
 # ---- counting --------------------------------------------------------------------
 
-_PACKED = "kind int, shard int, words binary, keys binary, counts binary"
+_CHUNKS = "chunk long, ids array<long>, held array<boolean>, lengths binary, flat binary, words binary"
+_PACKED = "shard int, chunk long, words binary, times binary, keys binary, counts binary"
 _TABLE = (
     "shard int, words binary, counts binary, keys binary, levels binary,"
-    " tokens long, types long, entries long"
+    " tokens long, types long, entries long, chunks array<long>, asked array<binary>"
 )
 
 
-def _count_chunk(ids: list[list[int]], words: list[bytes], shards: int) -> Iterator[tuple]:
-    shift = np.uint64(64 - shards.bit_length() + 1)
-    part = (lambda k: (k >> shift).astype(np.int64)) if shards > 1 else (lambda k: np.zeros(len(k), np.int64))
-    flat = np.concatenate([np.array(x, dtype=np.int64) for x in ids])
+def _chunks(texts: DataFrame) -> DataFrame:
+    """Staged chunks of about ``CHUNK`` tokens: documents, their word numbers, the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in _CHUNKS.split(", ")]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
+        first, n = TaskContext.get().partitionId() << 32, 0
+        index, docs, ids, size = _Index([END]), [], [], 0
+
+        def chunk() -> pa.RecordBatch:
+            lengths = np.array([len(x) for x in ids], np.int64)
+            flat = packed(np.concatenate(ids))
+            row = (first + n, [d for d, _ in docs], [h for _, h in docs], lengths.tobytes(), flat, b" ".join(index.words))
+            return record_batch([row], names, kinds)
+
+        for batch in batches:
+            for doc, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                docs.append((doc, held))
+                ids.append(np.array([*map(index.__getitem__, lower_words(text.as_py())), 0], dtype=np.int32))
+                size += len(ids[-1])
+                if size >= CHUNK:
+                    yield chunk()
+                    index, docs, ids, size, n = _Index([END]), [], [], 0, n + 1
+        if docs:
+            yield chunk()
+
+    with arrow_rows(texts.sparkSession, TEXTS):
+        return stage(texts.mapInArrow(run, _CHUNKS), "lm-chunks")
+
+
+def _chunk_keys(words: list[bytes], flat: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Filter keys by word number, and of the pair that ends at each token."""
     hashes = word_hash(words)
-    counts = np.bincount(flat, minlength=len(words))
-    shard_of = part(narrow(word_key(hashes), shards))
-    order = np.argsort(shard_of, kind="stable")
-    edges = np.flatnonzero(np.diff(shard_of[order], prepend=-1, append=shards))
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        own = order[lo:hi]
-        yield 0, int(shard_of[own[0]]), b" ".join([words[i] for i in own]), None, packed(counts[own])
     # Every text ends with the end token, so the word before a text's first is that one too.
-    before = np.concatenate([[0], flat[:-1]])
-    pairs, times = np.unique(narrow(pair_hash(hashes[before], hashes[flat]), shards), return_counts=True)
-    shard_of = part(pairs)
-    edges = np.flatnonzero(np.diff(shard_of, prepend=-1, append=shards))
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        yield 1, int(shard_of[lo]), None, pack_keys(pairs[lo:hi], shards), packed(times[lo:hi].astype(np.int64))
+    pairs = pair_hash(hashes[np.concatenate([[0], flat[:-1]])], hashes[flat])
+    return narrow(word_key(hashes), shards), narrow(pairs, shards)
+
+
+def _send_chunk(row: dict, shards: int) -> Iterator[tuple]:
+    """What a chunk counts and asks for, by hash range: training words, and the keys of all its words and pairs."""
+    top = shards.bit_length() - 1
+    part = (lambda k: (k >> np.uint64(64 - top)).astype(np.int64)) if top else (lambda k: np.zeros(len(k), np.int64))
+    words, flat = row["words"].split(b" "), unpacked(row["flat"], np.int32)
+    lengths = np.frombuffer(row["lengths"], np.int64)
+    train = np.repeat(~np.array(row["held"], dtype=bool), lengths)
+    own, of_pair = _chunk_keys(words, flat, shards)
+    counts = np.bincount(flat[train], minlength=len(words))
+    seen = np.flatnonzero(counts)
+    seen = seen[np.argsort(part(own[seen]), kind="stable")]
+    word_ends = np.searchsorted(part(own[seen]), np.arange(shards + 1))
+    pairs, times = np.unique(of_pair[train], return_counts=True)
+    keys = np.unique(np.concatenate([own, pairs, of_pair[~train]]))
+    by_key = np.zeros(len(keys), np.int64)
+    by_key[np.searchsorted(keys, pairs)] = times
+    key_ends = np.searchsorted(part(keys), np.arange(shards + 1))
+    for shard in np.flatnonzero(np.diff(key_ends)).tolist():  # a word's key is among its range's keys
+        mine = seen[word_ends[shard] : word_ends[shard + 1]]
+        at = slice(key_ends[shard], key_ends[shard + 1])
+        named, often = b" ".join([words[i] for i in mine]), packed(counts[mine])
+        yield shard, row["chunk"], named, often, pack_keys(keys[at], shards), packed(by_key[at])
 
 
 def _merge(table: pa.Table, shards: int) -> pa.Table:
-    """One hash range: exact word counts, and the levels of its words and pairs."""
+    """One hash range: exact word counts, its keys with the levels of pairs, which keys each chunk asks for."""
     shard = table["shard"][0].as_py()
     totals: dict[bytes, int] = {}
-    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for row in table.to_pylist():
-        times = unpacked(row["counts"], np.int64)
-        if row["kind"]:
-            keys.append(unpack_keys(row["keys"], shard, shards))
-            counts.append(times)
-        else:
-            for word, n in zip(row["words"].split(b" "), times.tolist()):
-                totals[word] = totals.get(word, 0) + n
-    pairs, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    pair_counts = np.bincount(inverse, np.concatenate(counts), len(pairs))
+    keys, counts = [], []
+    for words, often, own, times in zip(*(table[c] for c in ("words", "times", "keys", "counts"))):
+        for word, n in zip(words.as_py().split(b" "), unpacked(often.as_py(), np.int64).tolist()):
+            totals[word] = totals.get(word, 0) + n
+        keys.append(unpack_keys(own.as_py(), shard, shards))
+        counts.append(unpacked(times.as_py(), np.int64))
+    every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    pair_counts = np.bincount(inverse, np.concatenate(counts), len(every))
+    level = np.zeros(len(every), np.uint8)
+    level[pair_counts > 0] = levels(pair_counts[pair_counts > 0])
     own = np.array(list(totals.values()), dtype=np.int64)
-    every = np.concatenate([narrow(word_key(word_hash(list(totals))), shards), pairs])
-    level = levels(np.concatenate([own, pair_counts])) if len(every) else np.zeros(0, np.uint8)
-    order = np.argsort(every, kind="stable")
-    every, level = every[order], level[order]
+    asked = np.split(inverse.astype(np.uint32), np.cumsum([len(k) for k in keys])[:-1])
     out = {
         "shard": [shard],
         "words": [b" ".join(totals)],
@@ -207,34 +249,37 @@ def _merge(table: pa.Table, shards: int) -> pa.Table:
         "levels": [packed(level)],
         "tokens": [int(own.sum())],
         "types": [len(own)],
-        "entries": [int(level.sum(dtype=np.int64))],
+        "entries": [int(level.sum(dtype=np.int64) + levels(own).sum(dtype=np.int64))],
+        "chunks": [table["chunk"].to_pylist()],
+        "asked": [[packed(np.diff(x, prepend=np.uint32(0))) for x in asked]],
     }
-    kinds = [pa.int32(), *[pa.binary()] * 4, *[pa.int64()] * 3]
+    kinds = [pa.int32(), *[pa.binary()] * 4, *[pa.int64()] * 3, pa.list_(pa.int64()), pa.list_(pa.binary())]
     return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)})
 
 
-def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
-    """Staged counts of words and levels of words and pairs, a row for each hash range.
-
-    ``texts`` has one binary column.
-    """
+def count_ngrams(chunks: DataFrame, shards: int) -> DataFrame:
+    """Staged counts of words and levels of pairs, a row for each hash range, with what the chunks ask for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["kind", "shard", "words", "keys", "counts"], [pa.int32(), pa.int32(), *[pa.binary()] * 3]
-        index, ids, size = _Index([END]), [], 0
+        names = [part.split()[0] for part in _PACKED.split(", ")]
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
         for batch in batches:
-            for text in batch.column(0):
-                found = [*map(index.__getitem__, lower_words(text.as_py())), 0]
-                ids.append(found)
-                size += len(found)
-                if size >= CHUNK:
-                    yield record_batch(list(_count_chunk(ids, index.words, shards)), names, kinds)
-                    index, ids, size = _Index([END]), [], 0
-        if ids:
-            yield record_batch(list(_count_chunk(ids, index.words, shards)), names, kinds)
+            for n in range(batch.num_rows):
+                yield record_batch(list(_send_chunk(batch.slice(n, 1).to_pylist()[0], shards)), names, kinds)
 
-    sent = texts.mapInArrow(run, _PACKED).groupBy("shard")
-    return stage(sent.applyInArrow(lambda t: _merge(t, shards), _TABLE), "lm-counts")
+    with arrow_rows(chunks.sparkSession, ROWS):
+        sent = chunks.mapInArrow(run, _PACKED).groupBy("shard")
+        return stage(sent.applyInArrow(lambda t: _merge(t, shards), _TABLE), "lm-counts")
+
+
+def _entered(row: dict, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All keys of a merged range; the keys that its filter part holds, and their levels."""
+    every, level = unpack_keys(row["keys"], row["shard"], shards), unpacked(row["levels"], np.uint8)
+    words = row["words"].split(b" ") if row["counts"] else []
+    own = narrow(word_key(word_hash(words)), shards)
+    there = np.flatnonzero(level)
+    entered = np.concatenate([own, every[there]])
+    return every, entered, np.concatenate([levels(np.frombuffer(row["counts"], np.int64)), level[there]])
 
 
 def filter_part_bits(shards: int, entries: int) -> int:
@@ -248,14 +293,11 @@ def build_filter(table: DataFrame, shards: int, part_bits: int) -> Filter:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (r["shard"], filter_part(unpack_keys(r["keys"], r["shard"], shards), unpacked(r["levels"], np.uint8), part_bits))
-                for r in batch.to_pylist()
-            ]
+            rows = [(r["shard"], filter_part(*_entered(r, shards)[1:], part_bits)) for r in batch.to_pylist()]
             yield record_batch(rows, ["shard", "bits"], [pa.int32(), pa.binary()])
 
     bits = np.zeros(shards * part_bits // 8, np.uint8)
-    for row in table.select("shard", "keys", "levels").mapInArrow(run, "shard int, bits binary").toLocalIterator():
+    for row in table.select(*_RANGE).mapInArrow(run, "shard int, bits binary").toLocalIterator():
         at = row["shard"] * part_bits // 8
         bits[at : at + part_bits // 8] = np.frombuffer(row["bits"], np.uint8)
     return Filter(bits, shards)
@@ -322,12 +364,14 @@ def _score_rows(
     head_logs[in_head] = head_log_count[head_at[in_head]]
     head_log = np.add.reduceat(head_logs, starts)
     known = np.add.reduceat(in_head.astype(np.int64), starts)
+    doc_of = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    rare, times = np.unique(doc_of[~in_head] * len(words) + flat[~in_head], return_counts=True)
+    ends = np.searchsorted(rare, np.arange(len(ids) + 1) * len(words)).tolist()
+    tail, times = [words[i] for i in (rare % len(words)).tolist()], times.tolist()
     out = []
     for n, (doc, held) in enumerate(docs):
-        rest = ~in_head[starts[n] : starts[n] + len(ids[n])]
-        rare, times = np.unique(ids[n][rest], return_counts=True)
-        tail = [words[i] for i in rare]
-        out.append((doc, held, len(ids[n]), head_log[n], known[n], scores[n], tail, times.tolist()))
+        at = slice(ends[n], ends[n + 1])
+        out.append((doc, held, len(ids[n]), head_log[n], known[n], scores[n], tail[at], times[at]))
     return out
 
 
@@ -379,82 +423,37 @@ class _Scorer:
 
 # ---- scoring with a filter that is not broadcast ---------------------------------
 
-_CHUNKS = "chunk long, ids array<long>, held array<boolean>, lengths binary, flat binary, words binary"
 
-
-def _chunks(texts: DataFrame) -> DataFrame:
-    """Staged chunks of about ``CHUNK`` tokens: documents, their word numbers, the words."""
+def _asked_levels(table: DataFrame, shards: int, part_bits: int) -> DataFrame:
+    """(chunk, shard, levels): answers to a chunk's distinct keys, in key order inside a range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [part.split()[0] for part in _CHUNKS.split(", ")]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
-        first, n = TaskContext.get().partitionId() << 32, 0
-        index, docs, ids, size = _Index([END]), [], [], 0
-
-        def chunk() -> pa.RecordBatch:
-            lengths = np.array([len(x) for x in ids], np.int64)
-            flat = packed(np.concatenate(ids))
-            row = (first + n, [d for d, _ in docs], [h for _, h in docs], lengths.tobytes(), flat, b" ".join(index.words))
-            return record_batch([row], names, kinds)
-
+        names, kinds = ["chunk", "shard", "levels"], [pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
-            for doc, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                docs.append((doc, held))
-                ids.append(np.array([*map(index.__getitem__, lower_words(text.as_py())), 0], dtype=np.int32))
-                size += len(ids[-1])
-                if size >= CHUNK:
-                    yield chunk()
-                    index, docs, ids, size, n = _Index([END]), [], [], 0, n + 1
-        if docs:
-            yield chunk()
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
+                every, *entered = _entered(row, shards)
+                found = Filter(np.frombuffer(filter_part(*entered, part_bits), np.uint8), 1).level(every)
+                told = [found[np.cumsum(unpacked(x, np.uint32), dtype=np.uint32)] for x in row["asked"]]
+                rows = [(chunk, row["shard"], packed(x)) for chunk, x in zip(row["chunks"], told)]
+                yield record_batch(rows, names, kinds)
 
-    return stage(texts.mapInArrow(run, _CHUNKS), "lm-chunks")
+    with arrow_rows(table.sparkSession, ROWS):
+        asked = table.select(*_RANGE, "chunks", "asked")
+        return stage(asked.mapInArrow(run, "chunk long, shard int, levels binary"), "lm-answers")
 
 
-def _chunk_keys(words: list[bytes], flat: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """Filter keys by word number, and of the pair that ends at each token."""
-    hashes = word_hash(words)
-    pairs = pair_hash(hashes[np.concatenate([[0], flat[:-1]])], hashes[flat])
-    return narrow(word_key(hashes), shards), narrow(pairs, shards)
+#: The head a worker met last, and the places of its words.
+_met: list = [None, {}]
 
 
-def _asked_levels(chunks: DataFrame, table: DataFrame, shards: int, part_bits: int) -> DataFrame:
-    """(chunk, shard, levels): answers to a chunk's distinct keys, in key order inside a range."""
-    shift = np.uint64(64 - shards.bit_length() + 1)
+def _places_of(head: list[bytes]) -> dict[bytes, int]:
+    if _met[0] is not head:
+        _met[:] = head, {w: n for n, w in enumerate(head)}
+    return _met[1]
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["shard", "chunk", "asked"], [pa.int32(), pa.int64(), pa.binary()]
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = np.unique(np.concatenate(_chunk_keys(row["words"].split(b" "), unpacked(row["flat"], np.int32), shards)))
-                shard_of = (keys >> shift).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
-                edges = np.flatnonzero(np.diff(shard_of, prepend=-1, append=shards))
-                parts = [(int(shard_of[lo]), row["chunk"], pack_keys(keys[lo:hi], shards)) for lo, hi in zip(edges[:-1], edges[1:])]
-                yield record_batch(parts, names, kinds)
-
-    def answer(part: pa.Table, asked: pa.Table) -> pa.Table:
-        entered = [unpack_keys(x, n, shards) for n, x in zip(part["shard"].to_pylist(), part["keys"].to_pylist())]
-        level = [unpacked(x, np.uint8) for x in part["levels"].to_pylist()]
-        keys = [unpack_keys(x, n, shards) for n, x in zip(asked["shard"].to_pylist(), asked["asked"].to_pylist())]
-        if entered and keys:
-            bits = np.frombuffer(filter_part(np.concatenate(entered), np.concatenate(level), part_bits), np.uint8)
-            found = Filter(bits, 1).level(np.concatenate(keys))
-        else:
-            found = np.zeros(sum(map(len, keys)), np.uint8)
-        ends = np.cumsum([len(k) for k in keys])
-        levels_of = [packed(x) for x in np.split(found, ends[:-1])] if keys else []
-        columns = {"chunk": asked["chunk"], "shard": asked["shard"], "levels": pa.array(levels_of, pa.binary())}
-        return pa.table(columns)
-
-    requests = chunks.select("chunk", "flat", "words").mapInArrow(ask, "shard int, chunk long, asked binary")
-    parts = table.select("shard", "keys", "levels").groupBy("shard")
-    answers = parts.cogroup(requests.groupBy("shard")).applyInArrow(answer, "chunk long, shard int, levels binary")
-    return stage(answers, "lm-answers")
-
-
-def _score_chunks(
-    texts: DataFrame, table: DataFrame, shards: int, part_bits: int, carried, total: float, prior: float
-) -> DataFrame:
+
+def _score_chunks(chunks: DataFrame, answers: DataFrame, shards: int, carried, total: float, prior: float) -> DataFrame:
     """Scored rows as of ``_Scorer``, the filter's parts probed where they lie."""
     names = [part.split()[0] for part in _SCORED.split(", ")]
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
@@ -468,7 +467,7 @@ def _score_chunks(
         # Ranges are the high bits of a key, so answers in range order are in key order.
         told = sorted(zip(answers["shard"].to_pylist(), answers["levels"].to_pylist()))
         found = EXPECTED[np.concatenate([unpacked(x, np.uint8) for _, x in told])]
-        place_of = {w: n for n, w in enumerate(head)}
+        place_of = _places_of(head)
         head_at = np.array([place_of.get(w, -1) for w in words], dtype=np.int64)
         ids = np.split(flat, np.cumsum(np.frombuffer(row["lengths"], np.int64))[:-1])
         rows = _score_rows(
@@ -485,9 +484,6 @@ def _score_chunks(
         )
         return pa.Table.from_batches([record_batch(rows, names, kinds)])
 
-    chunks = _chunks(texts)
-    answers = _asked_levels(chunks, table, shards, part_bits)
-    unstage(texts.sparkSession, table)
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, _SCORED)
 
 
@@ -517,7 +513,8 @@ def score(
     )
     earlier = staged_paths(spark)
     shards = 1 << max(4, (docs.count() // 1000).bit_length())
-    table = count_ngrams(texts.where("NOT held_out").select("text"), shards)
+    chunks = _chunks(texts)
+    table = count_ngrams(chunks, shards)
     tokens, types, entries = table.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "entries")]).first()
     counts = word_counts(table)
     words, times, least = frequent_words(counts, head)
@@ -545,10 +542,14 @@ def score(
                 yield record_batch(scorer.score(docs), names, kinds)
 
     if fits:
+        unstage(spark, chunks, table)
         rows = texts.mapInArrow(run, _SCORED)
     else:
-        rows = _score_chunks(texts, table, shards, part_bits, carried, total, prior)
-    scored = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
+        answers = _asked_levels(table, shards, part_bits)
+        unstage(spark, table)
+        rows = _score_chunks(chunks, answers, shards, carried, total, prior)
+    with arrow_rows(spark, TEXTS):
+        scored = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
     carried.destroy()
     rare = scored.select("_row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(
         "_row", F.col("t.tail").alias("word"), F.col("t.times").alias("times")

@@ -192,6 +192,21 @@ def test_filter_over_the_broadcast_bound_scores_alike(spark, monkeypatch, head):
         assert b.score == pytest.approx(a.score) and b.base_score == pytest.approx(a.base_score)
 
 
+def test_filter_probed_by_range_sends_a_key_once(spark, monkeypatch):
+    """A merged range knows what the chunks ask for: answers need no exchange, keys are sent once, for counting."""
+    monkeypatch.setattr(bloom_lm, "CHUNK", 300)
+    made, plain = {}, bloom_lm.stage
+
+    def noted(df, label):
+        made[label] = df._jdf.queryExecution().toString().count("Exchange ")
+        return plain(df, label)
+
+    monkeypatch.setattr(bloom_lm, "stage", noted)
+    rows = lm_rows()
+    assert bloom_lm.score(frame(spark, rows), max_bytes=1).count() == len(rows)
+    assert made["lm-answers"] == 0
+
+
 def test_score_against_an_exact_recount(spark):
     """The model with exact levels in place of probes: a false probe can only raise a count."""
     rows = [r for r in lm_rows() if r[0] is not None]
