@@ -201,6 +201,18 @@ def _chunk_keys(words: list[bytes], flat: np.ndarray, shards: int) -> tuple[np.n
     return narrow(word_key(hashes), shards), narrow(pairs, shards)
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order, by a sort: numpy's ``unique`` alone may build a hash table, many times slower."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def _places(own: np.ndarray, of_pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a chunk's word keys and pair keys among its distinct keys in order."""
+    _, at = np.unique(np.concatenate([own, of_pair]), return_inverse=True)
+    return at[: len(own)], at[len(own) :]
+
+
 def _send_chunk(row: dict, shards: int) -> Iterator[tuple]:
     """What a chunk counts and asks for, by hash range: training words, and the keys of all its words and pairs."""
     top = shards.bit_length() - 1
@@ -214,7 +226,7 @@ def _send_chunk(row: dict, shards: int) -> Iterator[tuple]:
     seen = seen[np.argsort(part(own[seen]), kind="stable")]
     word_ends = np.searchsorted(part(own[seen]), np.arange(shards + 1))
     pairs, times = np.unique(of_pair[train], return_counts=True)
-    keys = np.unique(np.concatenate([own, pairs, of_pair[~train]]))
+    keys = distinct(np.concatenate([own, pairs, of_pair[~train]]))
     by_key = np.zeros(len(keys), np.int64)
     by_key[np.searchsorted(keys, pairs)] = times
     key_ends = np.searchsorted(part(keys), np.arange(shards + 1))
@@ -462,8 +474,7 @@ def _score_chunks(chunks: DataFrame, answers: DataFrame, shards: int, carried, t
         _, head, head_counts = carried.value
         row = chunk.to_pylist()[0]
         words, flat = row["words"].split(b" "), unpacked(row["flat"], np.int32)
-        own, of_pair = _chunk_keys(words, flat, shards)
-        keys = np.unique(np.concatenate([own, of_pair]))
+        own_at, pair_at = _places(*_chunk_keys(words, flat, shards))
         # Ranges are the high bits of a key, so answers in range order are in key order.
         told = sorted(zip(answers["shard"].to_pylist(), answers["levels"].to_pylist()))
         found = EXPECTED[np.concatenate([unpacked(x, np.uint8) for _, x in told])]
@@ -476,8 +487,8 @@ def _score_chunks(chunks: DataFrame, answers: DataFrame, shards: int, carried, t
             head_at[flat],
             np.log10(head_counts + 1.0),
             words,
-            found[np.searchsorted(keys, own)],
-            found[np.searchsorted(keys, of_pair)],
+            found[own_at],
+            found[pair_at],
             0,
             total,
             prior,

@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from barlake.llm import best_fit, bloom_lm, site_quality, toxicity
+from barlake.llm.common import packed, unpacked
 from barlake.llm.queries import tokenizer_file
 
 TEXTS = "doc_id long, text string, score string, held_out string"
@@ -207,6 +208,37 @@ def test_filter_probed_by_range_sends_a_key_once(spark, monkeypatch):
     assert made["lm-answers"] == 0
 
 
+def test_distinct_keys_of_a_chunk_take_a_sort_and_no_hash_table(monkeypatch):
+    """numpy's unique without counts or places may build a hash table, many times slower than a sort."""
+    rng = random.Random(21)
+    words = [b""] + [b"w%d" % n for n in range(400)]
+    ids = [[*(rng.randrange(1, 401) for _ in range(rng.randrange(60))), 0] for _ in range(50)]
+    held = [n % 7 == 2 for n in range(50)]
+    flat = np.array(sum(ids, []), np.int32)
+    lengths = np.array([len(x) for x in ids], np.int64)
+    row = {"chunk": 5, "words": b" ".join(words), "flat": packed(flat), "lengths": lengths.tobytes(), "held": held}
+    plain = np.unique
+
+    def noted(values, **asked):
+        assert asked, "unique without counts or places"
+        return plain(values, **asked)
+
+    monkeypatch.setattr(np, "unique", noted)
+    for shards in (1, 16):
+        own, of_pair = bloom_lm._chunk_keys(words, flat, shards)
+        train = np.repeat(~np.array(held), lengths)
+        times = Counter(of_pair[train].tolist())
+        every = sorted({*own.tolist(), *of_pair.tolist()})
+        sent = list(bloom_lm._send_chunk(row, shards))
+        keys = np.concatenate([bloom_lm.unpack_keys(s[4], s[0], shards) for s in sent])
+        assert keys.tolist() == every
+        assert np.concatenate([unpacked(s[5], np.int64) for s in sent]).tolist() == [times[k] for k in every]
+        own_at, pair_at = bloom_lm._places(own, of_pair)
+        assert (keys[own_at] == own).all() and (keys[pair_at] == of_pair).all()
+    assert bloom_lm.distinct(np.zeros(0, np.uint64)).tolist() == []
+    assert bloom_lm.distinct(np.array([3, 1, 3], np.uint64)).tolist() == [1, 3]
+
+
 def test_score_against_an_exact_recount(spark):
     """The model with exact levels in place of probes: a false probe can only raise a count."""
     rows = [r for r in lm_rows() if r[0] is not None]
