@@ -315,7 +315,7 @@ def _emit_rarest(shards: int, carried) -> callable:
                 digest = set_digest(own)
                 if len(own) and digest not in seen:
                     seen.add(digest)
-                    values.append(rarest(own, frequent))
+                    values.append(rarest(own, frequent).copy())  # else the whole set stays in memory
                     refs.append(_ref(digest))
                     sizes.append(len(own))
                     sent += len(values[-1])

@@ -22,11 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.llm.common import arrow_rows
 from barlake.llm.toxicity import fit_logistic, training_rows
 from barlake.runtime import stage
 
 #: At most about so many labelled documents teach the text model.
 TRAIN_ROWS, THRESHOLD, FOLDS, HELD_FOLD = 40_000, 0.5, 3, 1
+#: Rows of an Arrow batch of texts; Spark holds a batch several times outside its heap.
+TEXTS = 1_000
 #: Most documents a site's prior strength may stand for.
 MOST_STRENGTH = 1e6
 _symbols = re.compile(r"[#$%&*|!<>{}\[\]=+~^_\\/@]").findall
@@ -77,7 +80,8 @@ def _probabilities(batches: Iterator[pa.RecordBatch], beta: np.ndarray | None) -
 
 def fit(labelled: DataFrame) -> np.ndarray:
     """Weights from staged (text, label) rows; a bounded number of feature rows is collected."""
-    rows = labelled.mapInArrow(lambda b: _probabilities(b, None), "x array<double>, label int").toArrow()
+    with arrow_rows(labelled.sparkSession, TEXTS):
+        rows = labelled.mapInArrow(lambda b: _probabilities(b, None), "x array<double>, label int").toArrow()
     y = rows["label"].to_numpy().astype(float)
     width = _expand(np.zeros((1, FEATURES))).shape[1]
     if not len(y) or y.min() == y.max():
@@ -127,7 +131,8 @@ def _judged(
         F.to_json(F.array(*[F.col(c).cast("string") for c in path_cols])).alias("path"),
     )
     schema = T.StructType([*chosen.schema.fields[1:], T.StructField("own", T.DoubleType())])
-    judged = stage(chosen.mapInArrow(lambda b: _probabilities(b, beta), schema), "quality-own")
+    with arrow_rows(docs.sparkSession, TEXTS):
+        judged = stage(chosen.mapInArrow(lambda b: _probabilities(b, beta), schema), "quality-own")
     # Grouped evidence: combined before the shuffle, a row for each path.
     good = 1 / (1 + F.exp(-F.col("own")))
     paths = stage(

@@ -329,6 +329,28 @@ def test_quality_on_held_out_rows(spark):
     assert site_quality.score(frame(spark, [], SITES), frame(spark, labels, LABELS)).count() == 0
 
 
+def test_texts_reach_the_model_in_small_batches(spark, tmp_path, monkeypatch):
+    """A whole split in one Arrow batch is held several times outside the heap of an executor."""
+    plain, seen = site_quality._probabilities, str(tmp_path)
+
+    def noted(batches, beta):
+        for batch in batches:
+            with open(f"{seen}/sizes", "a") as file:
+                file.write(f"{batch.num_rows}\n")
+            yield from plain(iter([batch]), beta)
+
+    monkeypatch.setattr(site_quality, "_probabilities", noted)
+    rows, labels = site_rows()
+    rows = [(n + 700 * k, *row) for k in range(4) for n, *row in rows]
+    docs = spark.createDataFrame(rows, SITES).coalesce(1)
+    labels = spark.createDataFrame([(n + 700 * k, *row) for k in range(4) for n, *row in labels], LABELS).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert site_quality.keep_good(docs, labels).count() > 0
+    sizes = [int(n) for n in (tmp_path / "sizes").read_text().split()]
+    assert max(sizes) <= 1_000 and sum(sizes) == len(rows) + sum(fold(n, 3) != 1 for n in range(len(rows)))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def brute_strength(groups):
     """(mean, n, good) of each group: how many documents the prior is worth."""
     several = [(m, n, g / n) for m, n, g in groups if n >= 2]
